@@ -50,83 +50,147 @@ def _values(df: DataFrame, column: str) -> DataFrame:
     return df.select(v.alias("v")).filter(keep)
 
 
-def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    probs: list[float] | tuple[float, ...],
-    bins: int = 4096,
-    exact_rows: int = 100_000,
-    max_passes: int = 64,
-) -> list[float | None]:
-    """Exact quantiles (see module doc). NULL and NaN are ignored;
-    an empty column gives ``None`` for every quantile."""
-    values = _values(df, column)
-    stats = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    n = int(stats["n"])
-    if n == 0:
-        return [None] * len(probs)
-
-    # Open ranks: rank -> (lo, hi, values below lo, values in [lo, hi]).
-    ranks = {target_rank(q, n) for q in probs}
-    open_ranks = {r: (stats["lo"], stats["hi"], 0, n) for r in ranks}
-    found: dict[int, object] = {}
-
-    for _ in range(max_passes):
-        for r, (lo, hi, _, _) in list(open_ranks.items()):
+class RankSelector:
+    """Exact order statistics of one column by histogram refinement.
+
+    Pass 1 counts the values and finds their range. Each later pass is one
+    ``groupBy(range, bucket).agg(count, min, max)`` for all still-open
+    ranks at once (see module doc). Histograms are kept, so a later rank
+    (e.g. a median that depends on earlier quantiles) descends the cached
+    tree first and only scans the data below the deepest cached level.
+
+    ``materialize=True`` first writes the values (one column) as Parquet to
+    the shared checkpoint folder, so the passes read that small table, with
+    row groups skipped by their min/max, instead of recomputing an expensive
+    source (CSV parsing, joins).
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        column: str,
+        bins: int = 1024,
+        exact_rows: int = 1024,
+        max_passes: int = 64,
+        materialize: bool = False,
+    ):
+        values = _values(df, column)
+        if materialize:
+            from brightwash.session import scratch_dir
+
+            path = scratch_dir(df.sparkSession, "quantile-values")
+            values.write.mode("overwrite").parquet(path)
+            values = df.sparkSession.read.parquet(path)
+        self.values = values
+        self.bins, self.exact_rows, self.max_passes = bins, exact_rows, max_passes
+        stats = values.agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+        ).first()
+        self.n = int(stats["n"])
+        self.root = (stats["lo"], stats["hi"], 0, self.n)
+        # range -> sorted buckets [(n, lo, hi)]; value -> (count below, count equal)
+        self._hist: dict[tuple, list[tuple]] = {}
+        self._found: dict[object, tuple[int, int]] = {}
+
+    def _descend(self, r: int) -> tuple[str, object]:
+        """Walk the cached histograms towards rank ``r``.
+
+        Returns ``("found", value)`` or ``("open", range)`` for the deepest
+        range that still has to be scanned.
+        """
+        state = self.root
+        while True:
+            lo, hi, below, cnt = state
             if lo == hi:
-                found[r] = lo
-                del open_ranks[r]
-        if not open_ranks:
-            break
-        # Ranks that share a range share one histogram; ranges of one pass
-        # come from one histogram, so they are disjoint and a row belongs to
-        # at most one of them.
-        ranges = sorted({(lo, hi, below, cnt) for lo, hi, below, cnt in open_ranks.values()})
+                self._found.setdefault(lo, (below, cnt))
+                return "found", lo
+            buckets = self._hist.get(state)
+            if buckets is None:
+                return "open", state
+            seen = below
+            for bn, blo, bhi in buckets:
+                if seen + bn >= r:
+                    state = (blo, bhi, seen, bn)
+                    break
+                seen += bn
+            else:  # pragma: no cover - counts always cover the rank
+                raise RuntimeError("rank not covered by histogram")
+
+    def _scan(self, ranges: list[tuple]) -> None:
+        """One aggregation pass building the histogram of each open range."""
         v = F.col("v")
-        range_id = None
-        key = None
+        range_id = key = None
         for i, (lo, hi, _, cnt) in enumerate(ranges):
             inside = v.between(F.lit(lo), F.lit(hi))
-            if cnt <= exact_rows:
+            if cnt <= self.exact_rows:
                 k = v.cast("double")
             else:
                 width = float(hi) - float(lo)
-                scaled = F.floor((v.cast("double") - float(lo)) / width * bins)
-                k = F.least(scaled, F.lit(bins - 1)).cast("double")
+                scaled = F.floor((v.cast("double") - float(lo)) / width * self.bins)
+                k = F.least(scaled, F.lit(self.bins - 1)).cast("double")
             range_id = F.when(inside, F.lit(i)) if range_id is None else range_id.when(inside, F.lit(i))
             key = F.when(inside, k) if key is None else key.when(inside, k)
-        hist = (
-            values.select(range_id.alias("rid"), key.alias("k"), "v")
+        rows = (
+            self.values.select(range_id.alias("rid"), key.alias("k"), "v")
             .filter(F.col("rid").isNotNull())
             .groupBy("rid", "k")
             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
             .collect()
         )
-        by_range: dict[int, list] = {}
-        for row in hist:
-            by_range.setdefault(row["rid"], []).append(row)
-        for r, state in list(open_ranks.items()):
-            lo, hi, below, cnt = state
-            rid = ranges.index(state)
-            buckets = sorted(by_range.get(rid, []), key=lambda row: row["k"])
-            seen = below
-            for row in buckets:
-                if seen + row["n"] >= r:
-                    # In exact mode every group is one distinct value; a
-                    # group with lo < hi (longs beyond 2**53 sharing one
-                    # double key) is refined further.
-                    if row["lo"] == row["hi"]:
-                        found[r] = row["lo"]
-                        del open_ranks[r]
-                    else:
-                        open_ranks[r] = (row["lo"], row["hi"], seen, int(row["n"]))
-                    break
-                seen += row["n"]
-            else:  # pragma: no cover - counts always cover the rank
-                raise RuntimeError("rank not covered by histogram")
-    if open_ranks:
-        raise RuntimeError(f"quantile refinement did not converge in {max_passes} passes")
-    return [found[target_rank(q, n)] for q in probs]
+        for i, state in enumerate(ranges):
+            mine = sorted((row["k"], int(row["n"]), row["lo"], row["hi"]) for row in rows if row["rid"] == i)
+            self._hist[state] = [(bn, blo, bhi) for _, bn, blo, bhi in mine]
+
+    def select(self, ranks: list[int]) -> list:
+        """Values at the 1-based ``ranks`` (each in ``1..n``)."""
+        for r in ranks:
+            if not 1 <= r <= self.n:
+                raise ValueError(f"rank {r} outside 1..{self.n}")
+        for _ in range(self.max_passes):
+            walks = [self._descend(r) for r in ranks]
+            # Ranges of one pass are leaves of one tree level or of disjoint
+            # subtrees, so they never overlap and a row belongs to at most one.
+            open_ranges = sorted({state for kind, state in walks if kind == "open"})
+            if not open_ranges:
+                return [value for _, value in walks]
+            self._scan(open_ranges)
+        raise RuntimeError(f"quantile refinement did not converge in {self.max_passes} passes")
+
+    def quantiles(self, probs: list[float] | tuple[float, ...]) -> list:
+        if self.n == 0:
+            return [None] * len(probs)
+        return self.select([target_rank(q, self.n) for q in probs])
+
+    def count_below(self, value) -> int:
+        """Values ``< value`` for a value returned by :meth:`select`."""
+        return self._found[value][0]
+
+    def count_at_most(self, value) -> int:
+        """Values ``<= value`` for a value returned by :meth:`select`."""
+        below, equal = self._found[value]
+        return below + equal
+
+    def trimmed_quantile(self, low_value, high_value, q: float):
+        """q-quantile of the values within ``[low_value, high_value]``, both
+        previously returned by :meth:`select`; reuses the cached passes."""
+        first = self.count_below(low_value)
+        inside = self.count_at_most(high_value) - first
+        if inside <= 0:
+            return None
+        return self.select([first + target_rank(q, inside)])[0]
+
+
+def exact_quantiles(
+    df: DataFrame,
+    column: str,
+    probs: list[float] | tuple[float, ...],
+    bins: int = 1024,
+    exact_rows: int = 1024,
+    materialize: bool = False,
+) -> list:
+    """Exact quantiles (see module doc). NULL and NaN are ignored;
+    an empty column gives ``None`` for every quantile."""
+    return RankSelector(df, column, bins, exact_rows, materialize=materialize).quantiles(probs)
 
 
 def approx_quantile_row(
@@ -162,10 +226,12 @@ def quantile_values(
     probs: list[float] | tuple[float, ...],
     method: str = "exact",
     accuracy: int = 10000,
+    materialize: bool = False,
 ) -> list:
     """Quantiles as literal columns (exact) or scalar subqueries (approx)."""
     if method == "exact":
-        return [F.lit(x).cast("double") for x in exact_quantiles(df, column, probs)]
+        values = exact_quantiles(df, column, probs, materialize=materialize)
+        return [F.lit(x).cast("double") for x in values]
     if method == "approx":
         return [c.cast("double") for c in approx_quantile_columns(df, column, probs, accuracy)]
     raise ValueError(f"unknown quantile method {method!r}")
@@ -178,8 +244,9 @@ def quantile_table(
     names: list[str],
     method: str = "exact",
     accuracy: int = 10000,
+    materialize: bool = False,
 ) -> DataFrame:
     """One row, one named column per quantile, plus ``n`` (non-NULL count)."""
-    cols = quantile_values(df, column, probs, method, accuracy)
+    cols = quantile_values(df, column, probs, method, accuracy, materialize)
     base = df.agg(F.count(column).alias("n"))
     return base.select("n", *[c.alias(name) for c, name in zip(cols, names)])

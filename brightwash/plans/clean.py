@@ -14,7 +14,7 @@ from brightwash.operators.dedup import dedup_rows
 from brightwash.operators.fill import drop_missing, fill_constants
 from brightwash.operators.geo import filter_box
 from brightwash.operators.price import add_clean_price, fill_price, trim_to_range
-from brightwash.operators.quantiles import quantile_values
+from brightwash.operators.quantiles import RankSelector, quantile_values
 from brightwash.operators.types import convert_types
 
 
@@ -42,32 +42,43 @@ def clean_listings(
     raw: DataFrame,
     params: ListingsParams = ListingsParams(),
     report_percentiles: tuple[float, ...] = PRICE_PERCENTILES,
-    materialize: bool = False,
+    materialize: bool = True,
 ) -> CleanListings:
     """Types, fills, required coordinates, box, price text, trim, median fill.
 
     Everything is one lazy plan of projections and filters over the source
     except the quantiles: with the exact method they are computed by a few
-    aggregation passes over the priced rows (``materialize=True`` first
-    checkpoints those rows to the shared checkpoint folder, worth it when
-    the source is expensive to recompute, e.g. CSV parsing or a join).
+    aggregation passes over the parsed price column (``materialize=True``
+    first writes that one column to the shared checkpoint folder, worth it
+    when the source is expensive to recompute, e.g. CSV parsing or a join).
+    The approximate method keeps them in the plan as scalar subqueries.
     """
     typed = convert_types(raw, params.types)
     filled = fill_constants(typed, params.fills)
     located = drop_missing(filled, params.required)
     boxed = filter_box(located, params.box)
     priced = add_clean_price(boxed, params.price_col, "price_clean")
-    if materialize:
-        priced = priced.checkpoint(eager=True)
 
     low_q, high_q = params.trim
     probs = sorted(set(report_percentiles) | {low_q, high_q})
-    values = quantile_values(priced, "price_clean", probs, params.quantile_method, params.accuracy)
-    by_q = dict(zip(probs, values))
-    trimmed = trim_to_range(priced, by_q[low_q], by_q[high_q])
-    (median,) = quantile_values(
-        trimmed, "price_clean", [params.fill_quantile], params.quantile_method, params.accuracy
-    )
+    if params.quantile_method == "exact":
+        selector = RankSelector(priced, "price_clean", materialize=materialize)
+        found = dict(zip(probs, selector.quantiles(probs)))
+        if found[low_q] is None or found[high_q] is None:
+            fill_value = None
+        else:
+            # The median of the kept rows is a rank among all values: the
+            # passes already made for the trim bounds are reused.
+            fill_value = selector.trimmed_quantile(found[low_q], found[high_q], params.fill_quantile)
+        by_q = {q: F.lit(x).cast("double") for q, x in found.items()}
+        median = F.lit(fill_value).cast("double")
+        trimmed = trim_to_range(priced, by_q[low_q], by_q[high_q])
+    else:
+        by_q = dict(zip(probs, quantile_values(priced, "price_clean", probs, "approx", params.accuracy)))
+        trimmed = trim_to_range(priced, by_q[low_q], by_q[high_q])
+        (median,) = quantile_values(
+            trimmed, "price_clean", [params.fill_quantile], "approx", params.accuracy
+        )
     final = fill_price(trimmed, median, params.price_col, "price_clean")
     return CleanListings(
         data=final,

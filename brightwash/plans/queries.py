@@ -39,6 +39,7 @@ from brightwash.sources.files import (
     verify_written,
     write_csv,
     write_parquet,
+    write_parquet_observed,
 )
 from brightwash.sources.schemas import LISTINGS_RAW
 
@@ -140,6 +141,7 @@ def q_price_percentiles(spark, sf_dir):
         list(PRICE_PERCENTILES),
         ["p1", "p5", "p95", "p99"],
         method="exact",
+        materialize=True,
     )
 
 
@@ -292,8 +294,8 @@ def q_parquet_roundtrip(spark, sf_dir):
     """Clean table written as Snappy Parquet, verified, read back."""
     final = _final(spark, sf_dir)
     path = scratch_dir(spark, "listings-clean")
-    write_parquet(final, path)
-    assert_verified(verify_written(spark, final, path))
+    written = write_parquet_observed(final, path)
+    assert_verified(verify_written(spark, path, written, final.schema))
     return spark.read.parquet(path)
 
 

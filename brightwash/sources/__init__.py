@@ -9,6 +9,7 @@ from brightwash.sources.files import (
     verify_written,
     write_csv,
     write_parquet,
+    write_parquet_observed,
 )
 from brightwash.sources.schemas import SCHEMAS
 
@@ -25,4 +26,5 @@ __all__ = [
     "verify_written",
     "write_csv",
     "write_parquet",
+    "write_parquet_observed",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -83,43 +83,67 @@ def write_parquet(
     writer.parquet(path)
 
 
-def table_fingerprint(df: DataFrame) -> DataFrame:
-    """One row: row count and an order-independent checksum of all columns.
+def _fingerprint_columns(df: DataFrame) -> list:
+    """Row count and an order-independent checksum of all columns.
 
     ``sum`` of a 64-bit row hash (widened to decimal so it cannot overflow)
     differs when a row is lost, added or changed, and unlike ``bit_xor`` it
     does not cancel duplicate rows.
     """
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(row_hash), F.lit(0).cast("decimal(38,0)")).alias("checksum"),
+    ]
+
+
+def table_fingerprint(df: DataFrame) -> DataFrame:
+    """One row: ``rows`` and ``checksum`` of the table (one aggregate)."""
+    return df.agg(*_fingerprint_columns(df))
+
+
+def write_parquet_observed(
+    df: DataFrame,
+    path: str,
+    files: int | None = None,
+    partition_by: tuple[str, ...] = (),
+    max_records_per_file: int | None = None,
+) -> dict:
+    """:func:`write_parquet` that also returns the fingerprint of what it wrote.
+
+    The fingerprint is an ``Observation`` attached to the write job itself,
+    so the (possibly expensive) upstream plan runs once, not twice.
+    """
+    obs = Observation("written")
+    write_parquet(
+        df.observe(obs, *_fingerprint_columns(df)), path, files, partition_by, max_records_per_file
     )
+    return dict(obs.get)
 
 
-def verify_written(spark: SparkSession, expected: DataFrame, path: str) -> DataFrame:
-    """Read ``path`` back and compare it with ``expected``.
+def verify_written(
+    spark: SparkSession,
+    path: str,
+    expected: dict,
+    schema: StructType,
+) -> DataFrame:
+    """Read ``path`` back and compare rows, schema and checksum.
 
-    Returns one row (``rows_expected, rows_read, columns, schema_ok,
-    content_ok``); :func:`assert_verified` turns a mismatch into an error.
-    Both fingerprints are aggregates, so only two rows reach the driver.
+    ``expected`` is the fingerprint of the source (from
+    :func:`write_parquet_observed` or :func:`table_fingerprint`). Returns one
+    row (``rows_expected, rows_read, columns, schema_ok, content_ok``);
+    :func:`assert_verified` turns a mismatch into an error. Partition columns
+    come back last, so the read-back is compared in the source column order.
     """
     written = spark.read.parquet(path)
-    schema_ok = [(f.name, f.dataType) for f in written.schema] == [
-        (f.name, f.dataType) for f in expected.schema
-    ]
-    exp = table_fingerprint(expected).first()
-    got = table_fingerprint(written).first()
+    names = [f.name for f in schema]
+    have = {f.name: f.dataType for f in written.schema}
+    schema_ok = set(have) == set(names) and all(have[f.name] == f.dataType for f in schema)
+    got = table_fingerprint(written.select(*names)).first() if schema_ok else None
+    rows_read = int(got["rows"]) if got else written.count()
+    content_ok = bool(got and got["checksum"] == expected["checksum"])
     return spark.createDataFrame(
-        [
-            (
-                int(exp["rows"]),
-                int(got["rows"]),
-                len(written.columns),
-                schema_ok,
-                bool(schema_ok and exp["checksum"] == got["checksum"]),
-            )
-        ],
+        [(int(expected["rows"]), rows_read, len(written.columns), schema_ok, content_ok)],
         "rows_expected long, rows_read long, columns int, schema_ok boolean, content_ok boolean",
     )
 

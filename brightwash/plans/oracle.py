@@ -276,6 +276,7 @@ SELECT position, step, rows_in, rows_out, rows_in - rows_out AS removed, values_
 ) s""",
     )
     q["dedup_reviews"] = f"WITH {REVIEWS.strip()} SELECT DISTINCT listing_id, date FROM reviews_raw"
+    q["stream_dedup_reviews"] = q["dedup_reviews"]
     q["duplicate_count"] = f"""WITH {REVIEWS.strip()}
 SELECT COUNT(*) AS rows,
        (SELECT COUNT(*) FROM (SELECT DISTINCT listing_id, date FROM reviews_raw)) AS distinct_rows,

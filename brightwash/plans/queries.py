@@ -31,6 +31,7 @@ from brightwash.plans.clean import (
     typed_and_filled,
 )
 from brightwash.session import scratch_dir
+from brightwash.streaming.reviews import review_stream, start_review_dedup
 from brightwash.sources import testdata
 from brightwash.sources.catalog import register_views
 from brightwash.sources.files import (
@@ -187,6 +188,24 @@ def q_duplicates_before_after(spark, sf_dir):
     return before.unionByName(after)
 
 
+def q_stream_dedup_reviews(spark, sf_dir):
+    """Reviews arriving as two waves of files (even and odd orders, which
+    share duplicate rows), deduplicated incrementally by a stream that reads
+    a few files per micro-batch; the sink equals the batch dedup."""
+    source = scratch_dir(spark, "review-feed")
+    sink = scratch_dir(spark, "review-sink")
+    ckpt = scratch_dir(spark, "review-stream-ckpt")
+    reviews = testdata.reviews_raw(spark, sf_dir, with_order=True)
+    for parity in (0, 1):
+        wave = reviews.filter(F.col("l_orderkey") % 2 == parity).drop("l_orderkey")
+        wave.write.mode("append").parquet(source)
+    query = start_review_dedup(review_stream(spark, source, max_files_per_trigger=4), sink, ckpt)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return spark.read.parquet(sink)
+
+
 def q_reviews_per_month(spark, sf_dir):
     return analytics.monthly_counts(clean_reviews(testdata.reviews_raw(spark, sf_dir)))
 

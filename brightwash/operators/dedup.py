@@ -40,10 +40,15 @@ def dedup_by_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFra
     hot key inside one task).
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    packed = F.struct(*[F.col(c) for c in order_by + rest]).alias("_first")
+    carried = order_by + rest
+    if len(carried) == 1:
+        # one fixed column: a plain min keeps the hash aggregate
+        return df.groupBy(*keys).agg(F.min(carried[0]).alias(carried[0])).select(*df.columns)
+    # a struct buffer is aggregated sort-based, still combined map-side
+    packed = F.struct(*[F.col(c) for c in carried]).alias("_first")
     return (
         df.groupBy(*keys)
         .agg(F.min(packed).alias("_first"))
-        .select(*keys, *[F.col("_first")[c].alias(c) for c in order_by + rest])
+        .select(*keys, *[F.col("_first")[c].alias(c) for c in carried])
         .select(*df.columns)
     )

@@ -7,7 +7,8 @@ whose cumulative share reaches q. It is always an element of the column.
 ``exact_quantiles`` never sorts the data and never moves a group of rows to
 one task. Each pass is one aggregation with map-side combine:
 
-1. ``count, min, max`` of the column.
+1. ``count, min, max`` of the column (observed during the write when the
+   column is materialized, so no pass of its own).
 2. For every rank still open, the value range known to contain it is split
    into ``bins`` equal-width buckets; ``groupBy(range, bucket).agg(count,
    min, max)`` gives a histogram of at most ``bins`` rows per open range.
@@ -30,10 +31,12 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from brightwash.session import scratch_dir
+
 
 def target_rank(q: float, n: int) -> int:
     """1-based rank of the q-quantile among n values, in exact arithmetic."""
@@ -75,17 +78,18 @@ class RankSelector:
         materialize: bool = False,
     ):
         values = _values(df, column)
+        stats_cols = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
         if materialize:
-            from brightwash.session import scratch_dir
-
+            # count / min / max are observed while writing: no extra pass
             path = scratch_dir(df.sparkSession, "quantile-values")
-            values.write.mode("overwrite").parquet(path)
+            obs = Observation("quantile-values")
+            values.observe(obs, *stats_cols).write.mode("overwrite").parquet(path)
+            stats = obs.get
             values = df.sparkSession.read.parquet(path)
+        else:
+            stats = values.agg(*stats_cols).first()
         self.values = values
         self.bins, self.exact_rows, self.max_passes = bins, exact_rows, max_passes
-        stats = values.agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-        ).first()
         self.n = int(stats["n"])
         self.root = (stats["lo"], stats["hi"], 0, self.n)
         # range -> sorted buckets [(n, lo, hi)]; value -> (count below, count equal)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from brightwash.config import FILL_DIMENSION_GROUP, PRICE_PERCENTILES, ListingsParams
@@ -31,6 +32,29 @@ class CleanListings:
     stages: dict[str, DataFrame] = field(default_factory=dict)
     percentiles: dict[float, Column] = field(default_factory=dict)
     median: Column | None = None
+    observations: dict[str, Observation] = field(default_factory=dict)
+
+    def observed_accounting(self, spark: SparkSession) -> DataFrame:
+        """Step accounting from the counts observed while the data ran.
+
+        Needs ``clean_listings(..., observe=True)`` and an action that has
+        run ``data`` (e.g. its write); no extra pass over the source.
+        """
+        if not self.observations:
+            raise ValueError("clean_listings was called without observe=True")
+        n = {name: obs.get for name, obs in self.observations.items()}
+        raw, located, boxed = n["raw"]["rows"], n["located"]["rows"], n["boxed"]["rows"]
+        trimmed, filled = n["trimmed"]["rows"], n["trimmed"]["filled"]
+        rows = [
+            (1, "drop_missing_coords", raw, located, raw - located, 0),
+            (2, "geo_box", located, boxed, located - boxed, 0),
+            (3, "price_trim", boxed, trimmed, boxed - trimmed, 0),
+            (4, "price_median_fill", trimmed, trimmed, 0, filled),
+        ]
+        return spark.createDataFrame(
+            rows,
+            "position int, step string, rows_in long, rows_out long, removed long, values_filled long",
+        )
 
 
 def typed_and_filled(raw: DataFrame, params: ListingsParams = ListingsParams()) -> DataFrame:
@@ -43,6 +67,7 @@ def clean_listings(
     params: ListingsParams = ListingsParams(),
     report_percentiles: tuple[float, ...] = PRICE_PERCENTILES,
     materialize: bool = True,
+    observe: bool = False,
 ) -> CleanListings:
     """Types, fills, required coordinates, box, price text, trim, median fill.
 
@@ -52,11 +77,28 @@ def clean_listings(
     first writes that one column to the shared checkpoint folder, worth it
     when the source is expensive to recompute, e.g. CSV parsing or a join).
     The approximate method keeps them in the plan as scalar subqueries.
+
+    ``observe=True`` attaches row counters to the stages (see
+    :meth:`CleanListings.observed_accounting`): the step counts are then
+    collected by the passes that run anyway. The counter on the raw input
+    keeps filters from being pushed into its scan, which reads every row
+    to count it in any case.
     """
-    typed = convert_types(raw, params.types)
+    if observe and params.quantile_method != "exact":
+        raise ValueError("observe=True needs the exact quantile method")
+    observations: dict[str, Observation] = {}
+
+    def watch(df: DataFrame, name: str, *extra: Column) -> DataFrame:
+        if not observe:
+            return df
+        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        observations[name] = obs
+        return df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
+
+    typed = convert_types(watch(raw, "raw"), params.types)
     filled = fill_constants(typed, params.fills)
-    located = drop_missing(filled, params.required)
-    boxed = filter_box(located, params.box)
+    located = watch(drop_missing(filled, params.required), "located")
+    boxed = watch(filter_box(located, params.box), "boxed")
     priced = add_clean_price(boxed, params.price_col, "price_clean")
 
     low_q, high_q = params.trim
@@ -76,6 +118,8 @@ def clean_listings(
     else:
         by_q = dict(zip(probs, quantile_values(priced, "price_clean", probs, "approx", params.accuracy)))
         trimmed = trim_to_range(priced, by_q[low_q], by_q[high_q])
+    trimmed = watch(trimmed, "trimmed", F.count_if(F.col("price_clean").isNull()).alias("filled"))
+    if params.quantile_method != "exact":
         (median,) = quantile_values(
             trimmed, "price_clean", [params.fill_quantile], "approx", params.accuracy
         )
@@ -92,6 +136,7 @@ def clean_listings(
         },
         percentiles={q: by_q[q] for q in report_percentiles},
         median=median,
+        observations=observations,
     )
 
 

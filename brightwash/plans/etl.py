@@ -51,10 +51,12 @@ def run_etl(
 
     ``files`` optionally fixes the file count per table (``repartition``,
     never ``coalesce(1)``). Verification compares the read-back table with
-    the row count and checksum observed while writing.
+    the row count and checksum observed while writing; the step accounting
+    of the listings is observed the same way, without a pass of its own.
     """
     files = files or {}
-    listings = clean_listings(listings_raw, params, materialize=materialize)
+    observe = params.quantile_method == "exact"
+    listings = clean_listings(listings_raw, params, materialize=materialize, observe=observe)
     clean = {
         "listings": listings.data,
         "neighbourhoods": clean_neighbourhoods(neighbourhoods_raw),
@@ -71,9 +73,13 @@ def run_etl(
     verification = checks[0]
     for c in checks[1:]:
         verification = verification.unionByName(c)
-    accounting = step_accounting(
-        listings_raw, listings.percentiles[params.trim[0]], listings.percentiles[params.trim[1]], params
-    )
+    if observe:
+        # counted while the price column and the clean table were written
+        accounting = listings.observed_accounting(spark)
+    else:
+        accounting = step_accounting(
+            listings_raw, listings.percentiles[params.trim[0]], listings.percentiles[params.trim[1]], params
+        )
     return EtlRun(paths, verification, accounting, listings, written)
 
 

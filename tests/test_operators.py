@@ -65,6 +65,13 @@ def test_dedup_by_key_keeps_first_and_handles_hot_key(spark):
     ]
 
 
+def test_dedup_by_key_carries_other_columns(spark):
+    rows = [(1, 5, "late"), (1, 2, "b"), (1, 2, "a"), (2, 7, "x")]
+    df = spark.createDataFrame(rows, "k long, o long, payload string")
+    out = dedup_by_key(df, ["k"], ["o"])
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 2, "a"), (2, 7, "x")]
+
+
 def test_null_profile_and_empty_table(spark):
     df = spark.createDataFrame([(1, None), (None, "a"), (None, None)], "a int, b string")
     assert [tuple(r) for r in null_profile(df).collect()] == [(0, "a", 2), (1, "b", 2)]

@@ -260,6 +260,7 @@ FROM priced""",
     q["price_median_fill"] = with_listings("final", "SELECT id, price FROM final")
     q["clean_listings_full"] = with_listings("final", f"SELECT {LISTING_COLUMNS_SQL} FROM final")
     q["parquet_roundtrip"] = q["clean_listings_full"]
+    q["csv_clean_listings"] = q["clean_listings_full"]
     q["partitioned_read"] = with_listings(
         "final", f"SELECT {LISTING_COLUMNS_SQL} FROM final WHERE room_type = '1-URGENT'"
     )

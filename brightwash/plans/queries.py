@@ -92,6 +92,16 @@ def q_csv_roundtrip(spark, sf_dir):
     return convert_types(back, PARAMS.types)
 
 
+def q_csv_clean_listings(spark, sf_dir):
+    """The whole listings cleaning from a CSV source (text columns, quoted
+    fields, explicit schema): equal to cleaning the source directly."""
+    path = scratch_dir(spark, "listings-csv-src")
+    raw = _raw(spark, sf_dir)
+    write_csv(raw.select(*[F.col(c).cast("string") for c in raw.columns]), path, null_value=r"\N")
+    source = read_csv(spark, path, schema=LISTINGS_RAW, null_value=r"\N")
+    return clean_listings(source, PARAMS).data
+
+
 def q_fill_constants(spark, sf_dir):
     return _stages(spark, sf_dir)["filled"].select(
         "id", "name", "host_name", "neighbourhood_group", "reviews_per_month", "minimum_nights"

@@ -52,6 +52,28 @@ def _norm(v, tol):
     return v
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_mismatches(spark_dtypes, duck_description, duck_types):
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    duck = dict(zip([d[0] for d in duck_description], duck_types))
+    bad = []
+    for name, t in spark_dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        if str(duck.get(name)) != want:
+            bad.append((name, t, str(duck.get(name))))
+    return bad
+
+
 def rows_of(columns, rows, tol):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [tuple(_norm(r[i], tol) for i in order) for r in rows], sorted(columns)
@@ -84,6 +106,8 @@ def main(argv):
             print(f"{name:28s} rows={len(srows)} (no oracle) {ts:.1f}s")
             continue
         try:
+            rel = con.sql(sql[name])
+            dtypes = rel.types
             res = con.execute(sql[name])
             dcols = [d[0] for d in res.description]
             drows = res.fetchall()
@@ -95,7 +119,8 @@ def main(argv):
         b, bc = rows_of(dcols, drows, tol)
         ok = ac == bc and Counter(a) == Counter(b)
         status = "OK " if ok else "MISMATCH"
-        print(f"{name:28s} {status} spark={len(a)} duck={len(b)} {ts:.1f}s")
+        tbad = type_mismatches(df.dtypes, res.description, dtypes)
+        print(f"{name:28s} {status} spark={len(a)} duck={len(b)} {ts:.1f}s" + (f" TYPES {tbad}" if tbad else ""))
         if not ok:
             bad += 1
             if ac != bc:

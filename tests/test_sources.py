@@ -109,3 +109,22 @@ def test_stream_dedup_is_exact_across_batches_and_replays(spark):
     # replaying a batch writes nothing twice
     stored = spark.read.parquet(sink)
     assert new_reviews(wave1.unionByName(wave2), stored).count() == 0
+
+
+def test_neighbourhood_csv_all_empty_group_and_non_ascii(spark):
+    from brightwash.plans.clean import clean_neighbourhoods
+
+    folder = _local(scratch_dir(spark, "neigh-csv"))
+    os.makedirs(folder)
+    names = ["Barrio Ñandú", "Colón Alto", "Quebrada Árida"] + [f"Sector {i}" for i in range(29)]
+    with open(os.path.join(folder, "n.csv"), "w", encoding="utf-8") as fh:
+        fh.write("neighbourhood_group,neighbourhood\n")
+        fh.writelines(f",{n}\n" for n in names)
+    inferred = read_csv(spark, folder)
+    assert inferred.dtypes == [("neighbourhood_group", "string"), ("neighbourhood", "string")]
+    typed = read_csv(spark, folder, schema=NEIGHBOURHOODS)
+    clean = clean_neighbourhoods(typed)
+    rows = clean.collect()
+    assert len(rows) == 32
+    assert {r.neighbourhood_group for r in rows} == {"Grupo_No_Especificado"}
+    assert {r.neighbourhood for r in rows} == set(names)

@@ -95,6 +95,7 @@ class RankSelector:
         # range -> sorted buckets [(n, lo, hi)]; value -> (count below, count equal)
         self._hist: dict[tuple, list[tuple]] = {}
         self._found: dict[object, tuple[int, int]] = {}
+        self.passes = 0
 
     def _descend(self, r: int) -> tuple[str, object]:
         """Walk the cached histograms towards rank ``r``.
@@ -145,8 +146,13 @@ class RankSelector:
             mine = sorted((row["k"], int(row["n"]), row["lo"], row["hi"]) for row in rows if row["rid"] == i)
             self._hist[state] = [(bn, blo, bhi) for _, bn, blo, bhi in mine]
 
-    def select(self, ranks: list[int]) -> list:
-        """Values at the 1-based ``ranks`` (each in ``1..n``)."""
+    def select(self, ranks: list[int], speculate=None) -> list:
+        """Values at the 1-based ``ranks`` (each in ``1..n``).
+
+        ``speculate`` (optional) is called before every pass and returns
+        further ranks whose ranges should be refined in the same pass, e.g.
+        the possible ranks of a quantile that depends on these ones.
+        """
         for r in ranks:
             if not 1 <= r <= self.n:
                 raise ValueError(f"rank {r} outside 1..{self.n}")
@@ -154,12 +160,54 @@ class RankSelector:
             walks = [self._descend(r) for r in ranks]
             # Ranges of one pass are leaves of one tree level or of disjoint
             # subtrees, so they never overlap and a row belongs to at most one.
-            open_ranges = sorted({state for kind, state in walks if kind == "open"})
+            open_ranges = {state for kind, state in walks if kind == "open"}
             if not open_ranges:
                 return [value for _, value in walks]
-            self._scan(open_ranges)
+            if speculate is not None:
+                for r in speculate():
+                    kind, state = self._descend(r)
+                    if kind == "open":
+                        open_ranges.add(state)
+            self._scan(sorted(open_ranges))
+            self.passes += 1
         raise RuntimeError(f"quantile refinement did not converge in {self.max_passes} passes")
 
+    def _rank_bounds(self, r: int) -> tuple[int, int, int, int]:
+        """Known bounds of ``count(< x)`` and ``count(<= x)`` for the value x
+        at rank ``r``: ``(lt_min, lt_max, le_min, le_max)``."""
+        kind, state = self._descend(r)
+        if kind == "found":
+            below, equal = self._found[state]
+            return below, below, below + equal, below + equal
+        _, _, below, cnt = state
+        return below, below + cnt - 1, below + 1, below + cnt
+
+    def trimmed(self, probs, low_q: float, high_q: float, fill_q: float) -> tuple[list, object]:
+        """Quantiles ``probs`` (which hold ``low_q`` and ``high_q``) and the
+        ``fill_q``-quantile of the values within ``[q(low_q), q(high_q)]``.
+
+        The trimmed quantile's rank among all values is bounded as soon as
+        the trim bounds are narrowed to a bucket, so its ranges are refined
+        in the same passes (usually no pass of its own).
+        """
+        if self.n == 0:
+            return [None] * len(probs), None
+        ranks = [target_rank(q, self.n) for q in probs]
+        r_low, r_high = target_rank(low_q, self.n), target_rank(high_q, self.n)
+
+        def speculate():
+            lt_min, lt_max, _, _ = self._rank_bounds(r_low)
+            _, _, le_min, le_max = self._rank_bounds(r_high)
+            out = []
+            for lt, le in ((lt_min, le_min), (lt_max, le_max)):
+                if le > lt:
+                    out.append(lt + target_rank(fill_q, le - lt))
+            return out
+
+        values = self.select(ranks, speculate)
+        by_q = dict(zip(probs, values))
+        return values, self.trimmed_quantile(by_q[low_q], by_q[high_q], fill_q)
+
     def quantiles(self, probs: list[float] | tuple[float, ...]) -> list:
         if self.n == 0:
             return [None] * len(probs)

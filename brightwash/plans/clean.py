@@ -105,13 +105,10 @@ def clean_listings(
     probs = sorted(set(report_percentiles) | {low_q, high_q})
     if params.quantile_method == "exact":
         selector = RankSelector(priced, "price_clean", materialize=materialize)
-        found = dict(zip(probs, selector.quantiles(probs)))
-        if found[low_q] is None or found[high_q] is None:
-            fill_value = None
-        else:
-            # The median of the kept rows is a rank among all values: the
-            # passes already made for the trim bounds are reused.
-            fill_value = selector.trimmed_quantile(found[low_q], found[high_q], params.fill_quantile)
+        # The median of the kept rows is a rank among all values, refined in
+        # the same passes as the trim bounds.
+        values, fill_value = selector.trimmed(probs, low_q, high_q, params.fill_quantile)
+        found = dict(zip(probs, values))
         by_q = {q: F.lit(x).cast("double") for q, x in found.items()}
         median = F.lit(fill_value).cast("double")
         trimmed = trim_to_range(priced, by_q[low_q], by_q[high_q])

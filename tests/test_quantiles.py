@@ -87,3 +87,19 @@ def test_approx_equals_exact_when_accuracy_exceeds_rows(spark):
     names = [f"q{i}" for i in range(len(PROBS) - 2)]
     approx = approx_quantile_row(df, "v", PROBS[1:-1], accuracy=10000, names=names).first()
     assert [approx[n] for n in names] == [brute(values, q) for q in PROBS[1:-1]]
+
+
+def test_trimmed_speculation_matches_brute_force_and_saves_passes(spark):
+    rnd = random.Random(7)
+    values = [round(rnd.lognormvariate(10, 1), 1) for _ in range(20000)] + [None] * 50
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    probs = [0.01, 0.05, 0.95, 0.99]
+    sel = RankSelector(df, "v", bins=64, exact_rows=64)
+    got, median = sel.trimmed(probs, 0.01, 0.99, 0.5)
+    assert got == [brute(values, q) for q in probs]
+    kept = [v for v in values if v is not None and got[0] <= v <= got[-1]]
+    assert median == brute(kept, 0.5)
+    plain = RankSelector(df, "v", bins=64, exact_rows=64)
+    p_low, p_high = plain.quantiles([0.01, 0.99])
+    plain.trimmed_quantile(p_low, p_high, 0.5)
+    assert sel.passes <= plain.passes

@@ -95,7 +95,8 @@ def clean_listings(
         observations[name] = obs
         return df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
 
-    typed = convert_types(watch(raw, "raw"), params.types)
+    raw_nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(raw.columns)]
+    typed = convert_types(watch(raw, "raw", *raw_nulls), params.types)
     filled = fill_constants(typed, params.fills)
     located = watch(drop_missing(filled, params.required), "located")
     boxed = watch(filter_box(located, params.box), "boxed")

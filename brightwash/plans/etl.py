@@ -8,12 +8,13 @@ DataFrames; nothing row-level is collected.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from brightwash.config import ListingsParams
+from brightwash.config import TOP_NULLS_K, ListingsParams
 from brightwash.operators import analytics, dedup, report
 from brightwash.plans.clean import (
     CleanListings,
@@ -35,6 +36,51 @@ class EtlRun:
     accounting: DataFrame
     listings: CleanListings
     written: dict[str, dict] = field(default_factory=dict)
+    # name -> {"rows": n, "nulls": {column: n}} before and after cleaning
+    raw_profile: dict[str, dict] = field(default_factory=dict)
+    clean_profile: dict[str, dict] = field(default_factory=dict)
+
+    def observed_report(self, spark: SparkSession, top_k: int = TOP_NULLS_K) -> dict[str, DataFrame]:
+        """Reduction table, top NULL columns and review duplicates from the
+        counts observed during the run: no pass over any table.
+
+        Full-row dedup removes exactly the duplicates, so the raw duplicate
+        count is raw rows minus rows written.
+        """
+        reduction = []
+        for name in ("listings", "neighbourhoods", "reviews"):
+            initial = self.raw_profile[name]["rows"]
+            final = self.clean_profile[name]["rows"]
+            pct = round((1 - final / initial) * 100, 2) if initial else 0.0
+            reduction.append((name, initial, final, pct))
+        raw_nulls = self.raw_profile["listings"]["nulls"]
+        final_nulls = self.clean_profile["listings"]["nulls"]
+        ranked = sorted(raw_nulls.items(), key=lambda kv: (-kv[1], kv[0]))[:top_k]
+        top = [(c, n, final_nulls.get(c, 0)) for c, n in ranked]
+        raw_rev, clean_rev = self.raw_profile["reviews"]["rows"], self.clean_profile["reviews"]["rows"]
+        dups = [("raw", raw_rev, clean_rev, raw_rev - clean_rev), ("clean", clean_rev, clean_rev, 0)]
+        return {
+            "reduction": spark.createDataFrame(
+                reduction, "dataset string, initial long, final long, pct_reduction double"
+            ),
+            "top_nulls": spark.createDataFrame(
+                top, "column_name string, nulls_raw long, nulls_final long"
+            ),
+            "duplicates": spark.createDataFrame(
+                dups, "stage string, rows long, distinct_rows long, duplicates long"
+            ),
+        }
+
+
+def _null_metrics(df: DataFrame) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(df.columns)]
+
+
+def _profile(columns: list[str], metrics: dict) -> dict:
+    return {
+        "rows": int(metrics["rows"]),
+        "nulls": {c: int(metrics[f"nulls_{i}"]) for i, c in enumerate(columns)},
+    }
 
 
 def run_etl(
@@ -57,15 +103,22 @@ def run_etl(
     files = files or {}
     observe = params.quantile_method == "exact"
     listings = clean_listings(listings_raw, params, materialize=materialize, observe=observe)
+    raw_obs: dict[str, Observation] = {}
+    inputs = {}
+    for name, df in (("neighbourhoods", neighbourhoods_raw), ("reviews", reviews_raw)):
+        raw_obs[name] = Observation(f"raw-{name}-{uuid.uuid4().hex[:8]}")
+        inputs[name] = df.observe(raw_obs[name], F.count(F.lit(1)).alias("rows"), *_null_metrics(df))
     clean = {
         "listings": listings.data,
-        "neighbourhoods": clean_neighbourhoods(neighbourhoods_raw),
-        "reviews": clean_reviews(reviews_raw),
+        "neighbourhoods": clean_neighbourhoods(inputs["neighbourhoods"]),
+        "reviews": clean_reviews(inputs["reviews"]),
     }
     paths, written, checks = {}, {}, []
     for name, df in clean.items():
         path = os.path.join(out_dir, f"{name}_clean.parquet")
-        written[name] = write_parquet_observed(df, path, files=files.get(name))
+        written[name] = write_parquet_observed(
+            df, path, files=files.get(name), extra=_null_metrics(df)
+        )
         check = verify_written(spark, path, written[name], df.schema)
         assert_verified(check)
         checks.append(check.select(F.lit(name).alias("dataset"), "*"))
@@ -80,7 +133,17 @@ def run_etl(
         accounting = step_accounting(
             listings_raw, listings.percentiles[params.trim[0]], listings.percentiles[params.trim[1]], params
         )
-    return EtlRun(paths, verification, accounting, listings, written)
+    clean_profile = {name: _profile(clean[name].columns, written[name]) for name in clean}
+    raw_profile = {name: _profile(raw_cols, obs.get) for name, obs, raw_cols in (
+        ("neighbourhoods", raw_obs["neighbourhoods"], neighbourhoods_raw.columns),
+        ("reviews", raw_obs["reviews"], reviews_raw.columns),
+    )}
+    if observe:
+        raw_profile["listings"] = _profile(listings_raw.columns, listings.observations["raw"].get)
+    else:
+        counted = listings_raw.agg(F.count(F.lit(1)).alias("rows"), *_null_metrics(listings_raw)).first()
+        raw_profile["listings"] = _profile(listings_raw.columns, counted.asDict())
+    return EtlRun(paths, verification, accounting, listings, written, raw_profile, clean_profile)
 
 
 def load_clean(spark: SparkSession, paths: dict[str, str], register: bool = True) -> dict[str, DataFrame]:

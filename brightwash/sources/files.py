@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -108,16 +110,17 @@ def write_parquet_observed(
     files: int | None = None,
     partition_by: tuple[str, ...] = (),
     max_records_per_file: int | None = None,
+    extra: list | None = None,
 ) -> dict:
     """:func:`write_parquet` that also returns the fingerprint of what it wrote.
 
-    The fingerprint is an ``Observation`` attached to the write job itself,
-    so the (possibly expensive) upstream plan runs once, not twice.
+    The fingerprint (and any ``extra`` aggregate columns, e.g. NULL counts)
+    is an ``Observation`` attached to the write job itself, so the (possibly
+    expensive) upstream plan runs once, not twice.
     """
-    obs = Observation("written")
-    write_parquet(
-        df.observe(obs, *_fingerprint_columns(df)), path, files, partition_by, max_records_per_file
-    )
+    obs = Observation(f"written-{uuid.uuid4().hex[:8]}")
+    metrics = _fingerprint_columns(df) + list(extra or [])
+    write_parquet(df.observe(obs, *metrics), path, files, partition_by, max_records_per_file)
     return dict(obs.get)
 
 

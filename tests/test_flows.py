@@ -104,6 +104,10 @@ def test_etl_run_writes_verifies_and_reports(spark):
     dups = {r.stage: r.duplicates for r in reports["duplicates"].collect()}
     assert dups == {"raw": 33, "clean": 0}
     assert reports["top_expensive"].count() == 0  # no neighbourhood has 50 listings at sf0.001
+    # the observed report equals the one computed from the tables
+    observed = run.observed_report(spark)
+    for key in ("reduction", "top_nulls", "duplicates"):
+        assert sorted(observed[key].collect()) == sorted(reports[key].collect()), key
     # the observed accounting equals the one-pass aggregate
     c = run.listings
     direct = step_accounting(raw["listings"], c.percentiles[0.01], c.percentiles[0.99])

@@ -10,13 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, IntegralType, StringType
-from pyspark.sql.types import _parse_datatype_string
 
 from brightwash.functions.predicates import is_missing_text
 
 
 def _as_type(target: DataType | str) -> DataType:
-    return _parse_datatype_string(target) if isinstance(target, str) else target
+    return DataType.fromDDL(target) if isinstance(target, str) else target
 
 
 def text_to_integral(c: Column, target: DataType | str = "bigint") -> Column:

@@ -1,6 +1,11 @@
 """Inputs and outputs: schemas, CSV / Parquet, catalog, derived test tables."""
 
-from brightwash.sources.catalog import load_or_build, path_exists, register_views, table_exists
+from brightwash.sources.catalog import (
+    load_or_build,
+    read_parquet_if_present,
+    register_views,
+    table_exists,
+)
 from brightwash.sources.files import (
     assert_verified,
     read_csv,
@@ -17,7 +22,7 @@ __all__ = [
     "SCHEMAS",
     "assert_verified",
     "load_or_build",
-    "path_exists",
+    "read_parquet_if_present",
     "read_csv",
     "read_parquet",
     "register_views",

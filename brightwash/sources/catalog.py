@@ -19,16 +19,20 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of the session.
+def read_parquet_if_present(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """The Parquet table at ``path``, or ``None`` when there is none yet.
 
-    Works for any scheme the cluster is configured for (local, HDFS, object
-    stores), unlike ``os.path.exists``.
+    Only a missing (or empty) location is treated as absent; any other error
+    surfaces. Works for every file system the session is configured for.
     """
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    if not path:
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def load_or_build(
@@ -36,14 +40,6 @@ def load_or_build(
     parquet_path: str | None,
     build: Callable[[], DataFrame],
 ) -> DataFrame:
-    """The stored clean table when it exists, otherwise the cleaning plan.
-
-    Only the Parquet read is attempted; a missing or unreadable path falls
-    back to ``build()``, any other error surfaces.
-    """
-    if parquet_path and path_exists(spark, parquet_path):
-        try:
-            return spark.read.parquet(parquet_path)
-        except AnalysisException:
-            pass
-    return build()
+    """The stored clean table when it exists, otherwise the cleaning plan."""
+    stored = read_parquet_if_present(spark, parquet_path)
+    return stored if stored is not None else build()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from brightwash.sources.catalog import path_exists
+from brightwash.sources.catalog import read_parquet_if_present
 from brightwash.sources.schemas import REVIEWS
 
 
@@ -67,8 +67,7 @@ def start_review_dedup(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stored = spark.read.parquet(sink_path) if path_exists(spark, sink_path) else None
+        stored = read_parquet_if_present(batch.sparkSession, sink_path)
         new_reviews(batch, stored).write.mode("append").parquet(sink_path)
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)

@@ -66,8 +66,13 @@ def start_review_dedup(
     scheduling); otherwise ``processing_time`` sets the trigger interval.
     """
 
+    spark = stream.sparkSession
+    if read_parquet_if_present(spark, sink_path) is None:
+        # an empty table with the feed's schema, so every batch can read it
+        spark.createDataFrame([], stream.schema).write.mode("append").parquet(sink_path)
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        stored = read_parquet_if_present(batch.sparkSession, sink_path)
+        stored = batch.sparkSession.read.parquet(sink_path)
         new_reviews(batch, stored).write.mode("append").parquet(sink_path)
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)

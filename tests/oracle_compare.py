@@ -87,7 +87,17 @@ def main(argv):
         del argv[i : i + 2]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):
+        # a session without the engine defaults, like a foreign driver's
+        from pyspark.sql import SparkSession
+
+        spark = (
+            SparkSession.builder.master("local[8]")
+            .config("spark.sql.session.timeZone", os.environ.get("PLAIN_TZ", "America/Santiago"))
+            .getOrCreate()
+        )
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     qs, sql = entry.queries(), entry.oracle_sql()
     bad = 0

@@ -2,6 +2,8 @@
 
 import math
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from brightwash.config import Box
@@ -102,3 +104,26 @@ def test_nan_is_not_missing_in_fills(spark):
     assert math.isnan(rows[0].r) and rows[1].r == 0.0 and rows[1].m == 1
     assert dict(filled.dtypes)["m"] == "int"
     assert drop_missing(df, ("r",)).count() == 1
+
+
+def _python_price(text):
+    """Plain-Python statement of the price rule, for comparison."""
+    if text is None or text in ("", "NULL"):
+        return None
+    kept = "".join(ch for ch in text if ch.isascii() and (ch.isdigit() or ch == "."))
+    if kept.startswith("."):
+        kept = "0" + kept
+    try:
+        return float(kept)
+    except ValueError:
+        return None
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789.,$ -abcNUL€", max_size=12)), min_size=200, max_size=200))
+def test_price_text_matches_rule_on_random_text(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select(
+        F.col("s"), clean_price_text(F.col("s")).alias("p")
+    )
+    got = [(r.s, r.p) for r in df.collect()]
+    assert got == [(t, _python_price(t)) for t in texts]

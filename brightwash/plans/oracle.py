@@ -261,6 +261,7 @@ FROM priced""",
     q["clean_listings_full"] = with_listings("final", f"SELECT {LISTING_COLUMNS_SQL} FROM final")
     q["parquet_roundtrip"] = q["clean_listings_full"]
     q["csv_clean_listings"] = q["clean_listings_full"]
+    q["load_or_build"] = q["clean_listings_full"]
     q["partitioned_read"] = with_listings(
         "final", f"SELECT {LISTING_COLUMNS_SQL} FROM final WHERE room_type = '1-URGENT'"
     )

@@ -33,7 +33,7 @@ from brightwash.plans.clean import (
 from brightwash.session import scratch_dir
 from brightwash.streaming.reviews import review_stream, start_review_dedup
 from brightwash.sources import testdata
-from brightwash.sources.catalog import register_views
+from brightwash.sources.catalog import load_or_build, register_views
 from brightwash.sources.files import (
     assert_verified,
     read_csv,
@@ -328,6 +328,20 @@ def q_parquet_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def q_load_or_build(spark, sf_dir):
+    """First call builds the clean table (nothing stored yet) and stores it;
+    the second call finds the stored table and reads it instead."""
+    path = scratch_dir(spark, "listings-stored")
+    built = load_or_build(spark, path, lambda: _final(spark, sf_dir))
+    write_parquet(built, path)
+    return load_or_build(spark, path, lambda: _final(spark, sf_dir))
+
+
+def q_schema_listing(spark, sf_dir):
+    """Schema of the clean table as rows (metadata of the cleaned plan)."""
+    return profile.schema_table(spark, _final(spark, sf_dir))
+
+
 def q_partitioned_read(spark, sf_dir):
     """Clean table written partitioned by room type; a filter on the
     partition column reads one folder only."""

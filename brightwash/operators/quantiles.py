@@ -85,7 +85,7 @@ class RankSelector:
             obs = Observation("quantile-values")
             values.observe(obs, *stats_cols).write.mode("overwrite").parquet(path)
             stats = obs.get
-            values = df.sparkSession.read.parquet(path)
+            values = df.sparkSession.read.schema(values.schema).parquet(path)
         else:
             stats = values.agg(*stats_cols).first()
         self.values = values

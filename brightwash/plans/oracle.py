@@ -288,6 +288,30 @@ FROM reviews_raw"""
 SELECT l_partkey AS listing_id, CAST(l_shipdate AS DATE) AS date, MIN(l_orderkey) AS l_orderkey
 FROM lineitem GROUP BY 1, 2"""
     q["null_profile"] = with_listings("raw", _null_profile("raw", RAW_COLUMNS))
+    q["raw_null_profiles"] = with_listings(
+        "raw",
+        "SELECT 'listings' AS dataset, * FROM (" + _null_profile("raw", RAW_COLUMNS) + ")\nUNION ALL\n"
+        "SELECT 'neighbourhoods', * FROM (" + _null_profile("neighbourhoods_raw", ["neighbourhood_group", "neighbourhood"]) + ")\nUNION ALL\n"
+        "SELECT 'reviews', * FROM (" + _null_profile("reviews_raw", ["listing_id", "date"]) + ")",
+        extra=NEIGHBOURHOODS + "," + REVIEWS,
+    )
+    q["raw_duplicates"] = with_listings(
+        "raw",
+        """
+SELECT 'listings' AS dataset, COUNT(*) AS rows,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM raw)) AS distinct_rows,
+       COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM raw)) AS duplicates
+FROM raw
+UNION ALL
+SELECT 'neighbourhoods', COUNT(*), (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM neighbourhoods_raw)),
+       COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM neighbourhoods_raw))
+FROM neighbourhoods_raw
+UNION ALL
+SELECT 'reviews', COUNT(*), (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM reviews_raw)),
+       COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM reviews_raw))
+FROM reviews_raw""",
+        extra=NEIGHBOURHOODS + "," + REVIEWS,
+    )
     q["row_counts"] = """
 SELECT 'listings' AS dataset, COUNT(*) AS rows FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey

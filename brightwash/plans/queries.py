@@ -227,6 +227,32 @@ def q_null_profile(spark, sf_dir):
     return profile.null_profile(_raw(spark, sf_dir))
 
 
+def _raw_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    return {
+        "listings": _raw(spark, sf_dir),
+        "neighbourhoods": testdata.neighbourhoods_raw(spark, sf_dir),
+        "reviews": testdata.reviews_raw(spark, sf_dir),
+    }
+
+
+def q_raw_null_profiles(spark, sf_dir):
+    """NULL count of every column of the three raw tables."""
+    parts = [
+        profile.null_profile(df).select(F.lit(name).alias("dataset"), "*")
+        for name, df in _raw_tables(spark, sf_dir).items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_raw_duplicates(spark, sf_dir):
+    """Full-row duplicates of the three raw tables (one shuffle each)."""
+    parts = [
+        dedup.duplicate_stats(df).select(F.lit(name).alias("dataset"), "*")
+        for name, df in _raw_tables(spark, sf_dir).items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def q_row_counts(spark, sf_dir):
     return profile.row_counts(
         {

@@ -71,7 +71,8 @@ def _clean(spark: SparkSession, sf_dir: str):
     return clean_listings(_raw(spark, sf_dir), PARAMS)
 
 
-def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned listings derived from the tables in ``sf_dir``."""
     return _clean(spark, sf_dir).data
 
 
@@ -161,11 +162,11 @@ def q_price_trim(spark, sf_dir):
 
 
 def q_price_median_fill(spark, sf_dir):
-    return _final(spark, sf_dir).select("id", "price")
+    return clean_table(spark, sf_dir).select("id", "price")
 
 
 def q_clean_listings_full(spark, sf_dir):
-    return _final(spark, sf_dir)
+    return clean_table(spark, sf_dir)
 
 
 def q_step_accounting(spark, sf_dir):
@@ -264,7 +265,7 @@ def q_row_counts(spark, sf_dir):
 
 
 def q_describe_numeric(spark, sf_dir):
-    return profile.describe_numeric(_final(spark, sf_dir), DESCRIBE_COLUMNS, digits=6)
+    return profile.describe_numeric(clean_table(spark, sf_dir), DESCRIBE_COLUMNS, digits=6)
 
 
 def q_distinct_price(spark, sf_dir):
@@ -273,7 +274,7 @@ def q_distinct_price(spark, sf_dir):
 
 def q_column_preview(spark, sf_dir):
     return profile.preview(
-        _final(spark, sf_dir), ["id", "name", "neighbourhood", "room_type", "price"], 5, ["id"]
+        clean_table(spark, sf_dir), ["id", "name", "neighbourhood", "room_type", "price"], 5, ["id"]
     )
 
 
@@ -281,25 +282,25 @@ def q_column_preview(spark, sf_dir):
 
 
 def q_group_count(spark, sf_dir):
-    return analytics.group_count(_final(spark, sf_dir), "room_type")
+    return analytics.group_count(clean_table(spark, sf_dir), "room_type")
 
 
 def q_top10_groups(spark, sf_dir):
-    return analytics.top_groups(_final(spark, sf_dir), "neighbourhood", 10)
+    return analytics.top_groups(clean_table(spark, sf_dir), "neighbourhood", 10)
 
 
 def q_price_by_group(spark, sf_dir):
-    return analytics.value_by_group(_final(spark, sf_dir), "room_type")
+    return analytics.value_by_group(clean_table(spark, sf_dir), "room_type")
 
 
 def q_price_overall(spark, sf_dir):
-    return analytics.value_overall(_final(spark, sf_dir))
+    return analytics.value_overall(clean_table(spark, sf_dir))
 
 
 def _with_views(spark, sf_dir) -> None:
     register_views(
         {
-            "listings": _final(spark, sf_dir),
+            "listings": clean_table(spark, sf_dir),
             "neighbourhoods": clean_neighbourhoods(testdata.neighbourhoods_raw(spark, sf_dir)),
             "reviews": clean_reviews(testdata.reviews_raw(spark, sf_dir)),
         }
@@ -329,7 +330,7 @@ def q_reduction_table(spark, sf_dir):
     raw_neighb = testdata.neighbourhoods_raw(spark, sf_dir)
     return report.reduction_table(
         [
-            ("listings", _raw(spark, sf_dir), _final(spark, sf_dir)),
+            ("listings", _raw(spark, sf_dir), clean_table(spark, sf_dir)),
             ("neighbourhoods", raw_neighb, clean_neighbourhoods(raw_neighb)),
             ("reviews", raw_reviews, clean_reviews(raw_reviews)),
         ]
@@ -337,17 +338,17 @@ def q_reduction_table(spark, sf_dir):
 
 
 def q_top_nulls(spark, sf_dir):
-    return report.top_nulls(_raw(spark, sf_dir), _final(spark, sf_dir))
+    return report.top_nulls(_raw(spark, sf_dir), clean_table(spark, sf_dir))
 
 
 def q_ref_integrity(spark, sf_dir):
     dim = testdata.neighbourhoods_raw(spark, sf_dir, max_nationkey=20)
-    return analytics.orphans(_final(spark, sf_dir), dim)
+    return analytics.orphans(clean_table(spark, sf_dir), dim)
 
 
 def q_parquet_roundtrip(spark, sf_dir):
     """Clean table written as Snappy Parquet, verified, read back."""
-    final = _final(spark, sf_dir)
+    final = clean_table(spark, sf_dir)
     path = scratch_dir(spark, "listings-clean")
     written = write_parquet_observed(final, path)
     assert_verified(verify_written(spark, path, written, final.schema))
@@ -358,20 +359,20 @@ def q_load_or_build(spark, sf_dir):
     """First call builds the clean table (nothing stored yet) and stores it;
     the second call finds the stored table and reads it instead."""
     path = scratch_dir(spark, "listings-stored")
-    built = load_or_build(spark, path, lambda: _final(spark, sf_dir))
+    built = load_or_build(spark, path, lambda: clean_table(spark, sf_dir))
     write_parquet(built, path)
-    return load_or_build(spark, path, lambda: _final(spark, sf_dir))
+    return load_or_build(spark, path, lambda: clean_table(spark, sf_dir))
 
 
 def q_schema_listing(spark, sf_dir):
     """Schema of the clean table as rows (metadata of the cleaned plan)."""
-    return profile.schema_table(spark, _final(spark, sf_dir))
+    return profile.schema_table(spark, clean_table(spark, sf_dir))
 
 
 def q_partitioned_read(spark, sf_dir):
     """Clean table written partitioned by room type; a filter on the
     partition column reads one folder only."""
-    final = _final(spark, sf_dir)
+    final = clean_table(spark, sf_dir)
     path = scratch_dir(spark, "listings-by-room")
     write_parquet(final, path, partition_by=("room_type",))
     back = spark.read.parquet(path).filter(F.col("room_type") == "1-URGENT")

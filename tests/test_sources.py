@@ -128,3 +128,17 @@ def test_neighbourhood_csv_all_empty_group_and_non_ascii(spark):
     assert len(rows) == 32
     assert {r.neighbourhood_group for r in rows} == {"Grupo_No_Especificado"}
     assert {r.neighbourhood for r in rows} == set(names)
+
+
+def test_count_only_verification(spark):
+    df = spark.createDataFrame([(i,) for i in range(10)], "id long")
+    path = scratch_dir(spark, "pq-count")
+    written = write_parquet_observed(df, path)
+    check = verify_written(spark, path, written, df.schema, content=False).first()
+    assert check.rows_read == 10 and check.schema_ok and check.content_ok
+    bad = verify_written(spark, path, {"rows": 11, "checksum": 0}, df.schema, content=False)
+    try:
+        assert_verified(bad)
+        raise AssertionError("mismatch not detected")
+    except AssertionError as exc:
+        assert "differs" in str(exc)

@@ -20,7 +20,6 @@ from brightwash.plans.clean import (
     CleanListings,
     clean_listings,
     clean_neighbourhoods,
-    clean_reviews,
     step_accounting,
 )
 from brightwash.sources.catalog import register_views, table_exists
@@ -107,15 +106,29 @@ def run_etl(
     files = files or {}
     observe = params.quantile_method == "exact"
     listings = clean_listings(listings_raw, params, materialize=materialize, observe=observe)
-    raw_obs: dict[str, Observation] = {}
-    inputs = {}
-    for name, df in (("neighbourhoods", neighbourhoods_raw), ("reviews", reviews_raw)):
-        raw_obs[name] = Observation(f"raw-{name}-{uuid.uuid4().hex[:8]}")
-        inputs[name] = df.observe(raw_obs[name], F.count(F.lit(1)).alias("rows"), *_null_metrics(df))
+    # Counters sit in the result stage of each write (after any shuffle):
+    # there Spark applies each task's update once, even when tasks or map
+    # stages are re-run after an executor loss.
+    raw_obs = {name: Observation(f"raw-{name}-{uuid.uuid4().hex[:8]}") for name in ("neighbourhoods", "reviews")}
+    neighbourhoods = neighbourhoods_raw.observe(
+        raw_obs["neighbourhoods"], F.count(F.lit(1)).alias("rows"), *_null_metrics(neighbourhoods_raw)
+    )
+    # Full-row dedup as an aggregate that keeps the number of copies, so the
+    # raw counts are sums over the (post-shuffle) groups.
+    copies = F.col("_copies")
+    grouped = reviews_raw.groupBy(*reviews_raw.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    reviews = grouped.observe(
+        raw_obs["reviews"],
+        F.coalesce(F.sum(copies), F.lit(0)).alias("rows"),
+        *[
+            F.coalesce(F.sum(F.when(F.col(c).isNull(), copies)), F.lit(0)).alias(f"nulls_{i}")
+            for i, c in enumerate(reviews_raw.columns)
+        ],
+    ).drop("_copies")
     clean = {
         "listings": listings.data,
-        "neighbourhoods": clean_neighbourhoods(inputs["neighbourhoods"]),
-        "reviews": clean_reviews(inputs["reviews"]),
+        "neighbourhoods": clean_neighbourhoods(neighbourhoods),
+        "reviews": reviews,
     }
     paths, written, checks = {}, {}, []
     for name, df in clean.items():

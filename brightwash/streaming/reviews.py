@@ -59,21 +59,30 @@ def start_review_dedup(
     checkpoint_path: str,
     available_now: bool = True,
     processing_time: str | None = None,
+    partition_by_date: bool = False,
 ) -> StreamingQuery:
     """Start the incremental dedup into a Parquet table at ``sink_path``.
 
     ``available_now`` processes everything present and stops (batch-like
     scheduling); otherwise ``processing_time`` sets the trigger interval.
+    ``partition_by_date`` stores one folder per review date, so each batch's
+    date-range filter on the stored rows prunes whole folders.
     """
 
     spark = stream.sparkSession
+    schema = stream.schema
+    parts = ["date"] if partition_by_date else []
+
+    def append(df: DataFrame) -> None:
+        df.write.mode("append").partitionBy(*parts).parquet(sink_path)
+
     if read_parquet_if_present(spark, sink_path) is None:
         # an empty table with the feed's schema, so every batch can read it
-        spark.createDataFrame([], stream.schema).write.mode("append").parquet(sink_path)
+        append(spark.createDataFrame([], schema))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        stored = batch.sparkSession.read.parquet(sink_path)
-        new_reviews(batch, stored).write.mode("append").parquet(sink_path)
+        stored = batch.sparkSession.read.schema(schema).parquet(sink_path).select(*schema.names)
+        append(new_reviews(batch, stored))
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
     if available_now:

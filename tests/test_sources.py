@@ -89,7 +89,11 @@ def test_schemas_shape():
     assert REVIEWS.names == ["listing_id", "date"]
 
 
-def test_stream_dedup_is_exact_across_batches_and_replays(spark):
+import pytest
+
+
+@pytest.mark.parametrize("by_date", [False, True])
+def test_stream_dedup_is_exact_across_batches_and_replays(spark, by_date):
     import datetime as dt
 
     source = scratch_dir(spark, "feed")
@@ -99,15 +103,16 @@ def test_stream_dedup_is_exact_across_batches_and_replays(spark):
     wave1 = spark.createDataFrame([(1, d), (1, d), (2, d)], REVIEWS)
     wave2 = spark.createDataFrame([(1, d), (3, d), (None, None)], REVIEWS)
     wave1.write.mode("append").parquet(source)
-    q = start_review_dedup(review_stream(spark, source, max_files_per_trigger=1), sink, ckpt)
-    q.awaitTermination()
+    stream = review_stream(spark, source, max_files_per_trigger=1)
+    start_review_dedup(stream, sink, ckpt, partition_by_date=by_date).awaitTermination()
     wave2.write.mode("append").parquet(source)
-    q = start_review_dedup(review_stream(spark, source, max_files_per_trigger=1), sink, ckpt)
-    q.awaitTermination()
-    got = sorted(spark.read.parquet(sink).collect(), key=lambda r: (r.listing_id is None, r.listing_id or 0))
+    stream = review_stream(spark, source, max_files_per_trigger=1)
+    start_review_dedup(stream, sink, ckpt, partition_by_date=by_date).awaitTermination()
+    stored = spark.read.schema(REVIEWS).parquet(sink).select(*REVIEWS.names)
+    got = sorted(stored.collect(), key=lambda r: (r.listing_id is None, r.listing_id or 0))
     assert [r.listing_id for r in got] == [1, 2, 3, None]
+    assert [r.date for r in got] == [d, d, d, None]
     # replaying a batch writes nothing twice
-    stored = spark.read.parquet(sink)
     assert new_reviews(wave1.unionByName(wave2), stored).count() == 0
 
 

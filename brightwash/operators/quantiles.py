@@ -33,7 +33,7 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from brightwash.session import scratch_dir
 
@@ -46,6 +46,8 @@ def target_rank(q: float, n: int) -> int:
 
 
 def _values(df: DataFrame, column: str) -> DataFrame:
+    if not isinstance(df.schema[column].dataType, NumericType):
+        raise TypeError(f"quantiles need a numeric column, {column} is {df.schema[column].dataType}")
     v = F.col(column)
     keep = v.isNotNull()
     if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):

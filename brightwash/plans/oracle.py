@@ -222,6 +222,9 @@ def oracle_queries() -> dict[str, str]:
         "SELECT COALESCE(CAST(NULL AS VARCHAR), 'Grupo_No_Especificado') AS neighbourhood_group, "
         "n_name AS neighbourhood FROM nation"
     )
+    q["null_group_rows"] = (
+        f"WITH {NEIGHBOURHOODS.strip()} SELECT * FROM neighbourhoods_raw WHERE neighbourhood_group IS NULL"
+    )
     q["drop_missing_coords"] = with_listings("located", "SELECT id, latitude, longitude FROM located")
     q["geo_stats"] = with_listings(
         "located",

@@ -109,6 +109,12 @@ def q_fill_constants(spark, sf_dir):
     )
 
 
+def q_null_group_rows(spark, sf_dir):
+    """Neighbourhood rows whose group is missing (before the fill)."""
+    raw = testdata.neighbourhoods_raw(spark, sf_dir)
+    return raw.filter(F.col("neighbourhood_group").isNull())
+
+
 def q_fill_dimension(spark, sf_dir):
     return clean_neighbourhoods(testdata.neighbourhoods_raw(spark, sf_dir))
 

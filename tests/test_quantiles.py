@@ -103,3 +103,9 @@ def test_trimmed_speculation_matches_brute_force_and_saves_passes(spark):
     p_low, p_high = plain.quantiles([0.01, 0.99])
     plain.trimmed_quantile(p_low, p_high, 0.5)
     assert sel.passes <= plain.passes
+
+
+def test_non_numeric_column_is_rejected(spark):
+    df = spark.createDataFrame([("a",)], "v string")
+    with pytest.raises(TypeError):
+        exact_quantiles(df, "v", [0.5])

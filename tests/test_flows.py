@@ -128,3 +128,46 @@ def test_published_mean_is_consistent_with_median_fill():
     overall mean 79,964.47840909091 over 14,960 rows (fill after trim)."""
     overall = (12983 * 85521.71354848648 + 1977 * 43470) / 14960
     assert overall == pytest.approx(79964.47840909091, rel=1e-12)
+
+
+def _raw_like(spark, rows):
+    from brightwash.sources.schemas import LISTINGS_RAW
+
+    return spark.createDataFrame(rows, LISTINGS_RAW)
+
+
+def _row(i, price, lat="-33.5", lon="-70.5"):
+    values = {c: None for c in
+              ("name", "host_id", "host_name", "neighbourhood_group", "room_type", "minimum_nights",
+               "number_of_reviews", "last_review", "reviews_per_month", "calculated_host_listings_count",
+               "availability_365", "number_of_reviews_ltm", "license")}
+    values.update(id=str(i), neighbourhood="N", latitude=lat, longitude=lon, price=price)
+    from brightwash.sources.schemas import LISTING_COLUMNS
+
+    return tuple(values[c] for c in LISTING_COLUMNS)
+
+
+@pytest.mark.parametrize("method", ["exact", "approx"])
+def test_empty_input_does_not_fail(spark, method):
+    raw = _raw_like(spark, [])
+    c = clean_listings(raw, ListingsParams(quantile_method=method))
+    assert c.data.count() == 0
+    acc = step_accounting(raw, c.percentiles[0.01], c.percentiles[0.99]).collect()
+    assert all(r.rows_in == 0 and r.removed == 0 for r in acc)
+
+
+def test_all_prices_missing_keeps_rows_with_null_fill(spark):
+    raw = _raw_like(spark, [_row(i, p) for i, p in enumerate([None, "", "NULL", "n/a"])] + [_row(9, "$5", lat="-40")])
+    c = clean_listings(raw)
+    rows = c.data.collect()
+    assert len(rows) == 4 and all(r.price is None for r in rows)
+
+
+def test_observed_run_on_empty_tables(spark):
+    raw = _raw_like(spark, [])
+    empty_n = spark.createDataFrame([], "neighbourhood_group string, neighbourhood string")
+    empty_r = spark.createDataFrame([], "listing_id long, date date")
+    run = run_etl(spark, raw, empty_n, empty_r, scratch_dir(spark, "etl-empty"))
+    assert [r.rows_in for r in run.accounting.collect()] == [0, 0, 0, 0]
+    red = {r.dataset: r.pct_reduction for r in run.observed_report(spark)["reduction"].collect()}
+    assert red == {"listings": 0.0, "neighbourhoods": 0.0, "reviews": 0.0}

@@ -80,6 +80,7 @@ class RankSelector:
         materialize: bool = False,
     ):
         values = _values(df, column)
+        self._materialized = None
         stats_cols = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
         if materialize:
             # count / min / max are observed while writing: no extra pass
@@ -88,6 +89,7 @@ class RankSelector:
             values.observe(obs, *stats_cols).write.mode("overwrite").parquet(path)
             stats = obs.get
             values = df.sparkSession.read.schema(values.schema).parquet(path)
+            self._materialized = path
         else:
             stats = values.agg(*stats_cols).first()
         self.values = values
@@ -99,6 +101,18 @@ class RankSelector:
         self._found: dict[object, tuple[int, int]] = {}
         self.passes = 0
 
+    def release(self) -> None:
+        """Drop the materialized values from the shared folder.
+
+        Overwriting the table with an empty one removes its data files (the
+        public API has no delete); the selector cannot scan afterwards.
+        """
+        if self._materialized:
+            spark = self.values.sparkSession
+            spark.createDataFrame([], self.values.schema).write.mode("overwrite").parquet(self._materialized)
+            self._materialized = None
+            self.values = None
+
     def _descend(self, r: int) -> tuple[str, object]:
         """Walk the cached histograms towards rank ``r``.
 
@@ -244,7 +258,10 @@ def exact_quantiles(
 ) -> list:
     """Exact quantiles (see module doc). NULL and NaN are ignored;
     an empty column gives ``None`` for every quantile."""
-    return RankSelector(df, column, bins, exact_rows, materialize=materialize).quantiles(probs)
+    selector = RankSelector(df, column, bins, exact_rows, materialize=materialize)
+    values = selector.quantiles(probs)
+    selector.release()
+    return values
 
 
 def approx_quantile_row(

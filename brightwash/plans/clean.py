@@ -109,6 +109,7 @@ def clean_listings(
         # The median of the kept rows is a rank among all values, refined in
         # the same passes as the trim bounds.
         values, fill_value = selector.trimmed(probs, low_q, high_q, params.fill_quantile)
+        selector.release()  # the values are literals from here on
         found = dict(zip(probs, values))
         by_q = {q: F.lit(x).cast("double") for q, x in found.items()}
         median = F.lit(fill_value).cast("double")

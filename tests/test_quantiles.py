@@ -74,11 +74,14 @@ def test_trimmed_quantile_reuses_passes(spark):
     assert sel.trimmed_quantile(p1, p99, 0.5) == brute(kept, 0.5)
 
 
-def test_materialized_values_give_same_result(spark):
+def test_materialized_values_give_same_result_and_are_released(spark):
     values = [float(i % 97) for i in range(2000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    a = RankSelector(df, "v", materialize=True).quantiles(PROBS)
-    assert a == [brute(values, q) for q in PROBS]
+    sel = RankSelector(df, "v", materialize=True)
+    path = sel._materialized
+    assert sel.quantiles(PROBS) == [brute(values, q) for q in PROBS]
+    sel.release()
+    assert spark.read.parquet(path).count() == 0
 
 
 def test_approx_equals_exact_when_accuracy_exceeds_rows(spark):

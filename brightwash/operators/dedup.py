@@ -16,13 +16,22 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def dedup_with_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
+    """Distinct rows plus the number of copies each had (one aggregate).
+
+    Same rows as :func:`dedup_rows`; the extra column lets raw counts be
+    computed after the shuffle (``sum(copies)`` = raw rows).
+    """
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies))
+
+
 def duplicate_stats(df: DataFrame) -> DataFrame:
     """One row: ``rows, distinct_rows, duplicates`` in one shuffle.
 
     Grouping by every column counts the copies of each distinct row; the
     totals follow from one more (tiny) aggregate. An empty table gives zeros.
     """
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    groups = dedup_with_copies(df, "_copies")
     return groups.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("rows"),
         F.count(F.lit(1)).alias("distinct_rows"),

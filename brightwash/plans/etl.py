@@ -109,15 +109,16 @@ def run_etl(
     # Counters sit in the result stage of each write (after any shuffle):
     # there Spark applies each task's update once, even when tasks or map
     # stages are re-run after an executor loss.
-    raw_obs = {name: Observation(f"raw-{name}-{uuid.uuid4().hex[:8]}") for name in ("neighbourhoods", "reviews")}
+    raw_obs = {
+        name: Observation(f"raw-{name}-{uuid.uuid4().hex[:8]}") for name in ("neighbourhoods", "reviews")
+    }
     neighbourhoods = neighbourhoods_raw.observe(
         raw_obs["neighbourhoods"], F.count(F.lit(1)).alias("rows"), *_null_metrics(neighbourhoods_raw)
     )
-    # Full-row dedup as an aggregate that keeps the number of copies, so the
-    # raw counts are sums over the (post-shuffle) groups.
+    # Full-row dedup that keeps the number of copies, so the raw counts are
+    # sums over the (post-shuffle) groups.
     copies = F.col("_copies")
-    grouped = reviews_raw.groupBy(*reviews_raw.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    reviews = grouped.observe(
+    reviews = dedup.dedup_with_copies(reviews_raw, "_copies").observe(
         raw_obs["reviews"],
         F.coalesce(F.sum(copies), F.lit(0)).alias("rows"),
         *[
@@ -152,10 +153,10 @@ def run_etl(
             listings_raw, listings.percentiles[params.trim[0]], listings.percentiles[params.trim[1]], params
         )
     clean_profile = {name: _profile(clean[name].columns, written[name]) for name in clean}
-    raw_profile = {name: _profile(raw_cols, obs.get) for name, obs, raw_cols in (
-        ("neighbourhoods", raw_obs["neighbourhoods"], neighbourhoods_raw.columns),
-        ("reviews", raw_obs["reviews"], reviews_raw.columns),
-    )}
+    raw_profile = {
+        "neighbourhoods": _profile(neighbourhoods_raw.columns, raw_obs["neighbourhoods"].get),
+        "reviews": _profile(reviews_raw.columns, raw_obs["reviews"].get),
+    }
     if observe:
         raw_profile["listings"] = _profile(listings_raw.columns, listings.observations["raw"].get)
     else:

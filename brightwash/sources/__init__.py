@@ -2,6 +2,7 @@
 
 from brightwash.sources.catalog import (
     load_or_build,
+    path_exists,
     read_parquet_if_present,
     register_views,
     table_exists,
@@ -22,6 +23,7 @@ __all__ = [
     "SCHEMAS",
     "assert_verified",
     "load_or_build",
+    "path_exists",
     "read_parquet_if_present",
     "read_csv",
     "read_parquet",

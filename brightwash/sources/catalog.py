@@ -19,14 +19,33 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists, asked of the session's Hadoop file system.
+
+    That file system is the one the cluster is configured for (HDFS, object
+    stores, local), which a driver-side ``os.path`` check would not see.
+    PySpark has no public call for it, so the JVM gateway is used; ``None``
+    means the question cannot be asked (e.g. Spark Connect).
+    """
+    try:
+        jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    except Exception:  # noqa: BLE001 - no JVM gateway in this client
+        return None
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop_path.getFileSystem(jsc.hadoopConfiguration()).exists(hadoop_path))
+
+
 def read_parquet_if_present(spark: SparkSession, path: str | None) -> DataFrame | None:
     """The Parquet table at ``path``, or ``None`` when there is none yet.
 
     Only a missing (or empty) location is treated as absent; any other error
-    surfaces. Works for every file system the session is configured for.
+    surfaces.
     """
     if not path:
         return None
+    exists = path_exists(spark, path)
+    if exists is False:
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as exc:

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from brightwash.sources.catalog import read_parquet_if_present
 from brightwash.sources.schemas import REVIEWS
 
 
@@ -76,9 +75,9 @@ def start_review_dedup(
     def append(df: DataFrame) -> None:
         df.write.mode("append").partitionBy(*parts).parquet(sink_path)
 
-    if read_parquet_if_present(spark, sink_path) is None:
-        # an empty table with the feed's schema, so every batch can read it
-        append(spark.createDataFrame([], schema))
+    # Appending no rows creates the table when it is missing and changes
+    # nothing when it exists, so every batch can read it.
+    append(spark.createDataFrame([], schema))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         stored = batch.sparkSession.read.schema(schema).parquet(sink_path).select(*schema.names)

@@ -28,13 +28,20 @@ def build_session(
     app_name: str = "brightwash",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    partition_mb: int | None = None,
 ) -> SparkSession:
     """Return a session with the engine defaults.
 
     ``master`` is only set for local runs; on a cluster the launcher decides.
-    ``shuffle_partitions`` should be sized so one shuffle partition fits an
-    executor core's memory (about 128-256 MB of shuffle data each); AQE then
-    coalesces what is too small.
+
+    Sizing for large inputs: ``shuffle_partitions`` is the initial number of
+    shuffle partitions; pick it so that the largest shuffle (bytes after the
+    map-side partial aggregate, e.g. the review dedup) gives about
+    ``partition_mb`` per partition, i.e. it fits one executor core's
+    execution memory. AQE then merges partitions down to ``partition_mb``
+    (``advisoryPartitionSizeInBytes``) and splits skewed ones, so a generous
+    initial number costs little. ``partition_mb`` also sets the scan split
+    size (``maxPartitionBytes``).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -42,6 +49,9 @@ def build_session(
     conf = dict(_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if partition_mb:
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = f"{partition_mb}m"
+        conf["spark.sql.files.maxPartitionBytes"] = f"{partition_mb}m"
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -14,9 +14,9 @@ one task. Each pass is one aggregation with map-side combine:
    min, max)`` gives a histogram of at most ``bins`` rows per open range.
    The bucket holding the rank becomes the new range (its own min and max),
    so the range shrinks at least ``bins``-fold per pass.
-3. When a range holds at most ``exact_rows`` values (or a single distinct
-   value), one more pass groups those values exactly and the rank is read off
-   the cumulative counts.
+3. When a range holds at most ``exact_rows`` values, or about that many
+   distinct values (a HyperLogLog estimate kept per bucket), the next pass
+   groups its values exactly and the rank is read off the cumulative counts.
 
 Only histograms (bounded by ``bins`` rows per rank) reach the driver. A
 value repeated in a third of all rows is one histogram row, not a hot task.
@@ -38,6 +38,11 @@ from pyspark.sql.types import DoubleType, FloatType, NumericType
 from brightwash.session import scratch_dir
 
 
+# Relative error of the per-bucket distinct estimate (HyperLogLog++); it only
+# decides when a range is grouped by value, never the result.
+DISTINCT_RSD = 0.05
+
+
 def target_rank(q: float, n: int) -> int:
     """1-based rank of the q-quantile among n values, in exact arithmetic."""
     if not 0.0 <= q <= 1.0:
@@ -81,7 +86,12 @@ class RankSelector:
     ):
         values = _values(df, column)
         self._materialized = None
-        stats_cols = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+        stats_cols = [
+            F.count(F.lit(1)).alias("n"),
+            F.min("v").alias("lo"),
+            F.max("v").alias("hi"),
+            F.approx_count_distinct("v", DISTINCT_RSD).alias("nd"),
+        ]
         if materialize:
             # count / min / max are observed while writing: no extra pass
             path = scratch_dir(df.sparkSession, "quantile-values")
@@ -95,8 +105,9 @@ class RankSelector:
         self.values = values
         self.bins, self.exact_rows, self.max_passes = bins, exact_rows, max_passes
         self.n = int(stats["n"])
-        self.root = (stats["lo"], stats["hi"], 0, self.n)
-        # range -> sorted buckets [(n, lo, hi)]; value -> (count below, count equal)
+        # a range: (lo, hi, values below lo, values in range, ~distinct values)
+        self.root = (stats["lo"], stats["hi"], 0, self.n, int(stats["nd"]))
+        # range -> sorted buckets [(n, lo, hi, ~distinct)]; value -> (count below, count equal)
         self._hist: dict[tuple, list[tuple]] = {}
         self._found: dict[object, tuple[int, int]] = {}
         self.passes = 0
@@ -121,7 +132,7 @@ class RankSelector:
         """
         state = self.root
         while True:
-            lo, hi, below, cnt = state
+            lo, hi, below, cnt, _ = state
             if lo == hi:
                 self._found.setdefault(lo, (below, cnt))
                 return "found", lo
@@ -129,9 +140,9 @@ class RankSelector:
             if buckets is None:
                 return "open", state
             seen = below
-            for bn, blo, bhi in buckets:
+            for bn, blo, bhi, bnd in buckets:
                 if seen + bn >= r:
-                    state = (blo, bhi, seen, bn)
+                    state = (blo, bhi, seen, bn, bnd)
                     break
                 seen += bn
             else:  # pragma: no cover - counts always cover the rank
@@ -141,9 +152,11 @@ class RankSelector:
         """One aggregation pass building the histogram of each open range."""
         v = F.col("v")
         range_id = key = None
-        for i, (lo, hi, _, cnt) in enumerate(ranges):
+        for i, (lo, hi, _, cnt, distinct) in enumerate(ranges):
             inside = v.between(F.lit(lo), F.lit(hi))
-            if cnt <= self.exact_rows:
+            # Exact mode groups by value: its size is the number of distinct
+            # values, which can be small even when the range holds many rows.
+            if cnt <= self.exact_rows or distinct <= self.exact_rows:
                 k = v.cast("double")
             else:
                 width = float(hi) - float(lo)
@@ -155,12 +168,21 @@ class RankSelector:
             self.values.select(range_id.alias("rid"), key.alias("k"), "v")
             .filter(F.col("rid").isNotNull())
             .groupBy("rid", "k")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.min("v").alias("lo"),
+                F.max("v").alias("hi"),
+                F.approx_count_distinct("v", DISTINCT_RSD).alias("nd"),
+            )
             .collect()
         )
         for i, state in enumerate(ranges):
-            mine = sorted((row["k"], int(row["n"]), row["lo"], row["hi"]) for row in rows if row["rid"] == i)
-            self._hist[state] = [(bn, blo, bhi) for _, bn, blo, bhi in mine]
+            mine = sorted(
+                (row["k"], int(row["n"]), row["lo"], row["hi"], int(row["nd"]))
+                for row in rows
+                if row["rid"] == i
+            )
+            self._hist[state] = [(bn, blo, bhi, bnd) for _, bn, blo, bhi, bnd in mine]
 
     def select(self, ranks: list[int], speculate=None) -> list:
         """Values at the 1-based ``ranks`` (each in ``1..n``).
@@ -195,7 +217,7 @@ class RankSelector:
         if kind == "found":
             below, equal = self._found[state]
             return below, below, below + equal, below + equal
-        _, _, below, cnt = state
+        _, _, below, cnt, _ = state
         return below, below + cnt - 1, below + 1, below + cnt
 
     def trimmed(self, probs, low_q: float, high_q: float, fill_q: float) -> tuple[list, object]:

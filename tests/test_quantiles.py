@@ -112,3 +112,12 @@ def test_non_numeric_column_is_rejected(spark):
     df = spark.createDataFrame([("a",)], "v string")
     with pytest.raises(TypeError):
         exact_quantiles(df, "v", [0.5])
+
+
+def test_few_distinct_values_need_one_pass(spark):
+    # 50,000 rows, 300 distinct prices: grouped by value right away
+    values = [float(i % 300) * 10.0 + 0.5 for i in range(50000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    sel = RankSelector(df, "v", bins=64, exact_rows=1024)
+    assert sel.quantiles(PROBS) == [brute(values, q) for q in PROBS]
+    assert sel.passes == 1

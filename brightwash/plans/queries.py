@@ -208,7 +208,7 @@ def q_duplicates_before_after(spark, sf_dir):
 def q_stream_dedup_reviews(spark, sf_dir):
     """Reviews arriving as two waves of files (even and odd orders, which
     share duplicate rows), deduplicated incrementally by a stream that reads
-    a few files per micro-batch; the sink equals the batch dedup."""
+    one file per micro-batch; the sink equals the batch dedup."""
     source = scratch_dir(spark, "review-feed")
     sink = scratch_dir(spark, "review-sink")
     ckpt = scratch_dir(spark, "review-stream-ckpt")
@@ -216,7 +216,7 @@ def q_stream_dedup_reviews(spark, sf_dir):
     for parity in (0, 1):
         wave = reviews.filter(F.col("l_orderkey") % 2 == parity).drop("l_orderkey")
         wave.write.mode("append").parquet(source)
-    query = start_review_dedup(review_stream(spark, source, max_files_per_trigger=4), sink, ckpt)
+    query = start_review_dedup(review_stream(spark, source, max_files_per_trigger=1), sink, ckpt)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))

@@ -14,9 +14,11 @@ one task. Each pass is one aggregation with map-side combine:
    min, max)`` gives a histogram of at most ``bins`` rows per open range.
    The bucket holding the rank becomes the new range (its own min and max),
    so the range shrinks at least ``bins``-fold per pass.
-3. When a range holds at most ``exact_rows`` values, or about that many
-   distinct values (a HyperLogLog estimate kept per bucket), the next pass
-   groups its values exactly and the rank is read off the cumulative counts.
+3. When a range holds at most ``exact_rows`` values (for the whole column:
+   about that many distinct values, by a HyperLogLog estimate from pass 1),
+   the next pass groups its values exactly and the rank is read off the
+   cumulative counts. Histogram rows stay small (count, min, max per bucket),
+   so a pass shuffles about ``bins`` short records per map task.
 
 Only histograms (bounded by ``bins`` rows per rank) reach the driver. A
 value repeated in a third of all rows is one histogram row, not a hot task.
@@ -38,8 +40,9 @@ from pyspark.sql.types import DoubleType, FloatType, NumericType
 from brightwash.session import scratch_dir
 
 
-# Relative error of the per-bucket distinct estimate (HyperLogLog++); it only
-# decides when a range is grouped by value, never the result.
+# Relative error of the distinct estimate of the whole column (one
+# HyperLogLog++ per task in the first pass); it only decides whether the
+# column is grouped by value right away, never the result.
 DISTINCT_RSD = 0.05
 
 
@@ -107,7 +110,7 @@ class RankSelector:
         self.n = int(stats["n"])
         # a range: (lo, hi, values below lo, values in range, ~distinct values)
         self.root = (stats["lo"], stats["hi"], 0, self.n, int(stats["nd"]))
-        # range -> sorted buckets [(n, lo, hi, ~distinct)]; value -> (count below, count equal)
+        # range -> sorted buckets [(n, lo, hi, distinct bound)]; value -> (count below, count equal)
         self._hist: dict[tuple, list[tuple]] = {}
         self._found: dict[object, tuple[int, int]] = {}
         self.passes = 0
@@ -168,21 +171,13 @@ class RankSelector:
             self.values.select(range_id.alias("rid"), key.alias("k"), "v")
             .filter(F.col("rid").isNotNull())
             .groupBy("rid", "k")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.min("v").alias("lo"),
-                F.max("v").alias("hi"),
-                F.approx_count_distinct("v", DISTINCT_RSD).alias("nd"),
-            )
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
             .collect()
         )
         for i, state in enumerate(ranges):
-            mine = sorted(
-                (row["k"], int(row["n"]), row["lo"], row["hi"], int(row["nd"]))
-                for row in rows
-                if row["rid"] == i
-            )
-            self._hist[state] = [(bn, blo, bhi, bnd) for _, bn, blo, bhi, bnd in mine]
+            mine = sorted((row["k"], int(row["n"]), row["lo"], row["hi"]) for row in rows if row["rid"] == i)
+            # a bucket's row count bounds its distinct values
+            self._hist[state] = [(bn, blo, bhi, bn) for _, bn, blo, bhi in mine]
 
     def select(self, ranks: list[int], speculate=None) -> list:
         """Values at the 1-based ``ranks`` (each in ``1..n``).

@@ -94,6 +94,7 @@ def main(argv):
         spark = (
             SparkSession.builder.master("local[8]")
             .config("spark.sql.session.timeZone", os.environ.get("PLAIN_TZ", "America/Santiago"))
+            .config("spark.sql.ansi.enabled", os.environ.get("PLAIN_ANSI", "true"))
             .getOrCreate()
         )
     else:

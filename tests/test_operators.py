@@ -157,3 +157,10 @@ def test_row_counts_schema_preview(spark):
     assert {r.dataset: r.rows for r in row_counts({"a": a, "b": a.limit(0)}).collect()} == {"a": 2, "b": 0}
     assert [tuple(r) for r in schema_table(spark, a).collect()] == [(0, "id", "bigint", True)]
     assert [r.id for r in preview(a, ["id"], 1, ["id"]).collect()] == [1]
+
+
+def test_clean_price_on_numeric_column_is_a_cast(spark):
+    from brightwash.operators.price import add_clean_price
+
+    df = spark.createDataFrame([(1.0e7,), (0.75,), (None,)], "price double")
+    assert [r.price_clean for r in add_clean_price(df).collect()] == [1.0e7, 0.75, None]

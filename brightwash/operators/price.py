@@ -10,18 +10,21 @@ from brightwash.functions.predicates import null_or_between
 from brightwash.functions.text import clean_price_text
 
 
-def add_clean_price(df: DataFrame, src: str = "price", dst: str = "price_clean") -> DataFrame:
-    """Append the parsed price as a double column.
+def price_value(df: DataFrame, src: str = "price") -> Column:
+    """The price of ``df`` as a double expression.
 
     Text goes through the price rule; a column that is already numeric is
     only cast (rendering a double as text could give ``1.0E7``, which the
     rule would misread).
     """
     if isinstance(df.schema[src].dataType, StringType):
-        parsed = clean_price_text(F.col(src))
-    else:
-        parsed = F.col(src).try_cast("double")
-    return df.withColumn(dst, parsed)
+        return clean_price_text(F.col(src))
+    return F.col(src).try_cast("double")
+
+
+def add_clean_price(df: DataFrame, src: str = "price", dst: str = "price_clean") -> DataFrame:
+    """Append the parsed price as a double column."""
+    return df.withColumn(dst, price_value(df, src))
 
 
 def trim_to_range(df: DataFrame, low: Column, high: Column, col: str = "price_clean") -> DataFrame:

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 
 from brightwash.config import FILL_DIMENSION_GROUP, PRICE_PERCENTILES, ListingsParams
 from brightwash.functions.predicates import all_not_null, in_box, null_or_between
-from brightwash.functions.text import clean_price_text
 from brightwash.operators.dedup import dedup_rows
 from brightwash.operators.fill import drop_missing, fill_constants
 from brightwash.operators.geo import filter_box
-from brightwash.operators.price import add_clean_price, fill_price, trim_to_range
+from brightwash.operators.price import add_clean_price, fill_price, price_value, trim_to_range
 from brightwash.operators.quantiles import RankSelector, quantile_values
 from brightwash.operators.types import convert_types
 
@@ -153,7 +152,7 @@ def step_accounting(
     base = typed_and_filled(raw, params)
     has_coords = all_not_null(*params.required)
     inside = has_coords & in_box(params.box)
-    price = clean_price_text(F.col(params.price_col))
+    price = price_value(base, params.price_col)
     kept = inside & null_or_between(price, trim_low, trim_high)
     counts = base.agg(
         F.count(F.lit(1)).alias("raw"),

@@ -151,6 +151,23 @@ class RankSelector:
             else:  # pragma: no cover - counts always cover the rank
                 raise RuntimeError("rank not covered by histogram")
 
+    def _bucket(self, v: Column, lo, hi, exact: bool) -> Column:
+        """Histogram key of ``v`` within ``[lo, hi]``, monotone in ``v``.
+
+        Exact mode keys by value. Otherwise ``bins`` equal-width buckets are
+        computed on halved values, so finite extremes (e.g. +-1e308) cannot
+        overflow the width; infinite endpoints are split off first.
+        """
+        x = v.cast("double")
+        lo_f, hi_f = float(lo), float(hi)
+        half_width = hi_f / 2 - lo_f / 2
+        if exact or half_width == 0.0:
+            return x
+        if math.isinf(lo_f) or math.isinf(hi_f):
+            return F.when(x == lo_f, F.lit(0.0)).when(x == hi_f, F.lit(2.0)).otherwise(F.lit(1.0))
+        scaled = F.floor((x / 2 - lo_f / 2) / half_width * self.bins)
+        return F.least(scaled, F.lit(self.bins - 1)).cast("double")
+
     def _scan(self, ranges: list[tuple]) -> None:
         """One aggregation pass building the histogram of each open range."""
         v = F.col("v")
@@ -159,12 +176,7 @@ class RankSelector:
             inside = v.between(F.lit(lo), F.lit(hi))
             # Exact mode groups by value: its size is the number of distinct
             # values, which can be small even when the range holds many rows.
-            if cnt <= self.exact_rows or distinct <= self.exact_rows:
-                k = v.cast("double")
-            else:
-                width = float(hi) - float(lo)
-                scaled = F.floor((v.cast("double") - float(lo)) / width * self.bins)
-                k = F.least(scaled, F.lit(self.bins - 1)).cast("double")
+            k = self._bucket(v, lo, hi, exact=cnt <= self.exact_rows or distinct <= self.exact_rows)
             range_id = F.when(inside, F.lit(i)) if range_id is None else range_id.when(inside, F.lit(i))
             key = F.when(inside, k) if key is None else key.when(inside, k)
         rows = (

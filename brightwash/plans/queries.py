@@ -30,6 +30,7 @@ from brightwash.plans.clean import (
     step_accounting,
     typed_and_filled,
 )
+from brightwash.plans.etl import run_etl
 from brightwash.session import scratch_dir
 from brightwash.streaming.reviews import review_stream, start_review_dedup
 from brightwash.sources import testdata
@@ -375,6 +376,27 @@ def q_schema_listing(spark, sf_dir):
     return profile.schema_table(spark, clean_table(spark, sf_dir))
 
 
+def _etl(spark, sf_dir):
+    return run_etl(
+        spark,
+        _raw(spark, sf_dir),
+        testdata.neighbourhoods_raw(spark, sf_dir),
+        testdata.reviews_raw(spark, sf_dir),
+        scratch_dir(spark, "etl"),
+    )
+
+
+def q_etl_verification(spark, sf_dir):
+    """The whole cleaning run (three tables written and read back); the
+    verification row of each written table."""
+    return _etl(spark, sf_dir).verification
+
+
+def q_etl_observed_accounting(spark, sf_dir):
+    """Step accounting of the whole run, observed while writing."""
+    return _etl(spark, sf_dir).accounting
+
+
 def q_partitioned_read(spark, sf_dir):
     """Clean table written partitioned by room type; a filter on the
     partition column reads one folder only."""

@@ -60,24 +60,34 @@ def build_session(
     return spark
 
 
+# Private folder of this process, used only when no checkpoint dir is set.
+_LOCAL_ROOT: str | None = None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; that setting is always
-    used when present. Only when nothing is configured (local runs, tests) a
-    private temporary folder is created and registered as checkpoint dir.
+    The cluster names it in ``spark.checkpoint.dir``, read from the session
+    (this also works for Spark Connect clients). Only when nothing is
+    configured (local runs, tests) a private temporary folder is created and
+    registered for the session.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="brightwash-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext in a Connect client
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    global _LOCAL_ROOT
+    if _LOCAL_ROOT is None:
+        _LOCAL_ROOT = tempfile.mkdtemp(prefix="brightwash-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(_LOCAL_ROOT)
+        return sc.getCheckpointDir() or _LOCAL_ROOT
+    return _LOCAL_ROOT
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -189,3 +189,21 @@ def test_row_level_steps_are_idempotent(spark):
     twice = steps(once)
     assert once.schema == twice.schema
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_approx_route_builds_the_plan_without_running_jobs(spark):
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+
+    def jobs_while(fn):
+        group = f"lazy-{id(fn)}"
+        sc.setJobGroup(group, group)
+        try:
+            fn()
+        finally:
+            sc.setJobGroup("after", "after")
+        return len(tracker.getJobIdsForGroup(group))
+
+    raw = testdata.listings_raw(spark, SF001)
+    assert jobs_while(lambda: clean_listings(raw, ListingsParams(quantile_method="approx"))) == 0
+    assert jobs_while(lambda: clean_listings(raw)) > 0

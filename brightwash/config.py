@@ -89,5 +89,7 @@ class ListingsParams:
     # "exact": distributed histogram refinement, equal to the discrete
     # quantile at any scale. "approx": percentile_approx with ``accuracy``
     # kept inside the plan (lazy, one aggregate, rank error <= n / accuracy).
+    # "sketch": KLL sketches with k = ``accuracy`` (at most 65535) merged as a
+    # two-level tree, lazy too.
     quantile_method: str = "exact"
     accuracy: int = 10000

@@ -25,7 +25,11 @@ value repeated in a third of all rows is one histogram row, not a hot task.
 
 ``approx_quantile_columns`` keeps the quantile inside the plan instead:
 ``percentile_approx`` aggregates to one row that later filters read as a
-scalar subquery (lazy, no driver round trip, rank error <= n / accuracy).
+scalar subquery (lazy, no driver round trip, rank error <= n / accuracy);
+its final step merges one sketch per map task in a single task.
+``sketch_quantile_columns`` is the same idea with mergeable KLL sketches
+combined as a two-level tree, so that last step stays small however many
+map tasks there are.
 """
 
 from __future__ import annotations
@@ -309,6 +313,37 @@ def approx_quantile_row(
     )
 
 
+def sketch_quantile_row(
+    df: DataFrame,
+    column: str,
+    probs: list[float] | tuple[float, ...],
+    k: int = 4096,
+    fan_in: int = 1024,
+    names: list[str] | None = None,
+) -> DataFrame:
+    """One row of approximate quantiles from KLL sketches merged as a tree.
+
+    Every task builds one sketch of its rows (grouping by its partition id
+    modulo ``fan_in``), ``fan_in`` reducers merge those, and one final task
+    merges at most ``fan_in`` sketches, so the last step does not grow with
+    the number of map tasks. ``k`` sets the sketch size; the normalized rank
+    error is about ``2.3 / k ** 0.97`` (0.07 % at the default). NULL when empty.
+    """
+    names = names or [f"q{i}" for i in range(len(probs))]
+    values = _values(df, column).select(F.col("v").cast("double").alias("v"))
+    per_task = values.groupBy((F.spark_partition_id() % fan_in).alias("part")).agg(
+        F.kll_sketch_agg_double("v", k).alias("sketch")
+    )
+    merged = per_task.agg(F.kll_merge_agg_double("sketch", k).alias("sketch"))
+    filled = F.kll_sketch_get_n_double("sketch") > 0  # an empty sketch has no quantile
+    return merged.select(
+        *[
+            F.when(filled, F.kll_sketch_get_quantile_double("sketch", F.lit(float(q)))).alias(name)
+            for q, name in zip(probs, names)
+        ]
+    )
+
+
 def approx_quantile_columns(
     df: DataFrame,
     column: str,
@@ -320,6 +355,17 @@ def approx_quantile_columns(
     return [row.select(name).scalar() for name in row.columns]
 
 
+def sketch_quantile_columns(
+    df: DataFrame,
+    column: str,
+    probs: list[float] | tuple[float, ...],
+    k: int = 4096,
+) -> list[Column]:
+    """:func:`sketch_quantile_row` as scalar-subquery columns."""
+    row = sketch_quantile_row(df, column, probs, k)
+    return [row.select(name).scalar() for name in row.columns]
+
+
 def quantile_values(
     df: DataFrame,
     column: str,
@@ -328,12 +374,15 @@ def quantile_values(
     accuracy: int = 10000,
     materialize: bool = False,
 ) -> list:
-    """Quantiles as literal columns (exact) or scalar subqueries (approx)."""
+    """Quantiles as literal columns (exact) or scalar subqueries (approx,
+    sketch); ``accuracy`` is the ``percentile_approx`` accuracy or the KLL k."""
     if method == "exact":
         values = exact_quantiles(df, column, probs, materialize=materialize)
         return [F.lit(x).cast("double") for x in values]
     if method == "approx":
         return [c.cast("double") for c in approx_quantile_columns(df, column, probs, accuracy)]
+    if method == "sketch":
+        return [c.cast("double") for c in sketch_quantile_columns(df, column, probs, min(accuracy, 65535))]
     raise ValueError(f"unknown quantile method {method!r}")
 
 

@@ -114,12 +114,13 @@ def clean_listings(
         median = F.lit(fill_value).cast("double")
         trimmed = trim_to_range(priced, by_q[low_q], by_q[high_q])
     else:
-        by_q = dict(zip(probs, quantile_values(priced, "price_clean", probs, "approx", params.accuracy)))
+        method = params.quantile_method
+        by_q = dict(zip(probs, quantile_values(priced, "price_clean", probs, method, params.accuracy)))
         trimmed = trim_to_range(priced, by_q[low_q], by_q[high_q])
     trimmed = watch(trimmed, "trimmed", F.count_if(F.col("price_clean").isNull()).alias("filled"))
     if params.quantile_method != "exact":
         (median,) = quantile_values(
-            trimmed, "price_clean", [params.fill_quantile], "approx", params.accuracy
+            trimmed, "price_clean", [params.fill_quantile], params.quantile_method, params.accuracy
         )
     final = fill_price(trimmed, median, params.price_col, "price_clean")
     return CleanListings(
@@ -154,12 +155,20 @@ def step_accounting(
     inside = has_coords & in_box(params.box)
     price = price_value(base, params.price_col)
     kept = inside & null_or_between(price, trim_low, trim_high)
-    counts = base.agg(
+    # Flags are projected first, so the aggregate only sees plain columns
+    # (trim bounds may be scalar subqueries of any kind).
+    flags = base.select(
+        has_coords.alias("_located"),
+        inside.alias("_boxed"),
+        kept.alias("_trimmed"),
+        (kept & price.isNull()).alias("_filled"),
+    )
+    counts = flags.agg(
         F.count(F.lit(1)).alias("raw"),
-        F.count_if(has_coords).alias("located"),
-        F.count_if(inside).alias("boxed"),
-        F.count_if(kept).alias("trimmed"),
-        F.count_if(kept & price.isNull()).alias("filled"),
+        F.count_if("_located").alias("located"),
+        F.count_if("_boxed").alias("boxed"),
+        F.count_if("_trimmed").alias("trimmed"),
+        F.count_if("_filled").alias("filled"),
     )
     return counts.selectExpr(
         "stack(4,"

@@ -147,7 +147,7 @@ def _row(i, price, lat="-33.5", lon="-70.5"):
     return tuple(values[c] for c in LISTING_COLUMNS)
 
 
-@pytest.mark.parametrize("method", ["exact", "approx"])
+@pytest.mark.parametrize("method", ["exact", "approx", "sketch"])
 def test_empty_input_does_not_fail(spark, method):
     raw = _raw_like(spark, [])
     c = clean_listings(raw, ListingsParams(quantile_method=method))
@@ -206,4 +206,5 @@ def test_approx_route_builds_the_plan_without_running_jobs(spark):
 
     raw = testdata.listings_raw(spark, SF001)
     assert jobs_while(lambda: clean_listings(raw, ListingsParams(quantile_method="approx"))) == 0
+    assert jobs_while(lambda: clean_listings(raw, ListingsParams(quantile_method="sketch"))) == 0
     assert jobs_while(lambda: clean_listings(raw)) > 0

@@ -128,3 +128,21 @@ def test_infinite_and_extreme_values(spark):
     values = [-inf, -inf, -1e308, -5.0, 0.0, 3.0, 7.5, 1e308, 1e308, inf] + [float(i) for i in range(500)]
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
     assert exact_quantiles(df, "v", PROBS, bins=4, exact_rows=4) == [brute(values, q) for q in PROBS]
+
+
+def test_sketch_quantiles_within_rank_error(spark):
+    import bisect
+
+    from brightwash.operators.quantiles import sketch_quantile_row
+
+    rnd = random.Random(8)
+    values = [rnd.lognormvariate(10, 1) for _ in range(50000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(16)
+    probs = [0.01, 0.05, 0.5, 0.95, 0.99]
+    row = sketch_quantile_row(df, "v", probs, k=4096, fan_in=4, names=["a", "b", "c", "d", "e"]).first()
+    ordered = sorted(values)
+    for q, got in zip(probs, row):
+        rank = bisect.bisect_right(ordered, got) / len(ordered)
+        assert abs(rank - q) < 0.005, (q, rank)
+    empty = spark.createDataFrame([], "v double")
+    assert sketch_quantile_row(empty, "v", [0.5], names=["m"]).first().m is None

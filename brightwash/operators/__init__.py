@@ -14,11 +14,17 @@ from brightwash.operators.analytics import (
     value_by_group,
     value_overall,
 )
-from brightwash.operators.dedup import dedup_by_key, dedup_rows, duplicate_stats
+from brightwash.operators.dedup import dedup_by_key, dedup_rows, dedup_with_copies, duplicate_stats
 from brightwash.operators.fill import drop_missing, fill_constants
 from brightwash.operators.geo import filter_box, geo_profile, outside_rows, outside_sample
 from brightwash.operators.joins import has_at_most, join_dimension
-from brightwash.operators.price import add_clean_price, fill_price, price_text_profile, trim_to_range
+from brightwash.operators.price import (
+    add_clean_price,
+    fill_price,
+    price_text_profile,
+    price_value,
+    trim_to_range,
+)
 from brightwash.operators.profile import (
     describe_numeric,
     distinct_values,
@@ -30,11 +36,14 @@ from brightwash.operators.profile import (
     table_profile,
 )
 from brightwash.operators.quantiles import (
+    RankSelector,
     approx_quantile_columns,
     approx_quantile_row,
     exact_quantiles,
     quantile_table,
     quantile_values,
+    sketch_quantile_columns,
+    sketch_quantile_row,
 )
 from brightwash.operators.report import reduction_table, top_nulls
 from brightwash.operators.types import convert_types

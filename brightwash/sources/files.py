@@ -120,7 +120,10 @@ def write_parquet_observed(
     """
     obs = Observation(f"written-{uuid.uuid4().hex[:8]}")
     metrics = _fingerprint_columns(df) + list(extra or [])
-    write_parquet(df.observe(obs, *metrics), path, files, partition_by, max_records_per_file)
+    # The counter goes above any repartition, into the stage that writes:
+    # there each task's update is applied once even if tasks are retried.
+    out = df.repartition(files) if files else df
+    write_parquet(out.observe(obs, *metrics), path, None, partition_by, max_records_per_file)
     return dict(obs.get)
 
 

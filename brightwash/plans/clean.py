@@ -33,17 +33,20 @@ class CleanListings:
     median: Column | None = None
     observations: dict[str, Observation] = field(default_factory=dict)
 
-    def observed_accounting(self, spark: SparkSession) -> DataFrame:
-        """Step accounting from the counts observed while the data ran.
-
-        Needs ``clean_listings(..., observe=True)`` and an action that has
-        run ``data`` (e.g. its write); no extra pass over the source.
+    def observed_accounting(self, spark: SparkSession, final_rows: int) -> DataFrame:
+        """Step accounting from counts observed while the data ran.
+
+        Needs ``clean_listings(..., observe=True)``: the raw, located and
+        boxed counts and the NULL prices were observed during the write of
+        the price column; ``final_rows`` is the row count observed while
+        ``data`` was written. NULL prices always survive the trim, so they
+        are the values filled. No extra pass over the source.
         """
         if not self.observations:
             raise ValueError("clean_listings was called without observe=True")
         n = {name: obs.get for name, obs in self.observations.items()}
-        raw, located, boxed = n["raw"]["rows"], n["located"]["rows"], n["boxed"]["rows"]
-        trimmed, filled = n["trimmed"]["rows"], n["trimmed"]["filled"]
+        raw, located, boxed = n["raw"]["rows"], n["located"]["rows"], n["priced"]["rows"]
+        trimmed, filled = int(final_rows), n["priced"]["null_prices"]
         rows = [
             (1, "drop_missing_coords", raw, located, raw - located, 0),
             (2, "geo_box", located, boxed, located - boxed, 0),
@@ -78,13 +81,15 @@ def clean_listings(
     The approximate method keeps them in the plan as scalar subqueries.
 
     ``observe=True`` attaches row counters to the stages (see
-    :meth:`CleanListings.observed_accounting`): the step counts are then
-    collected by the passes that run anyway. The counter on the raw input
-    keeps filters from being pushed into its scan, which reads every row
-    to count it in any case.
+    :meth:`CleanListings.observed_accounting`): they are filled by the write
+    of the price column, which runs anyway. The counter on the raw input
+    keeps filters from being pushed into that scan, which reads every row to
+    count it in any case.
     """
-    if observe and params.quantile_method != "exact":
-        raise ValueError("observe=True needs the exact quantile method")
+    if observe and not (params.quantile_method == "exact" and materialize):
+        # the counters must be filled by the price-column write, whose last
+        # stage is where they sit
+        raise ValueError("observe=True needs the exact method with materialize=True")
     observations: dict[str, Observation] = {}
 
     def watch(df: DataFrame, name: str, *extra: Column) -> DataFrame:
@@ -98,8 +103,12 @@ def clean_listings(
     typed = convert_types(watch(raw, "raw", *raw_nulls), params.types)
     filled = fill_constants(typed, params.fills)
     located = watch(drop_missing(filled, params.required), "located")
-    boxed = watch(filter_box(located, params.box), "boxed")
-    priced = add_clean_price(boxed, params.price_col, "price_clean")
+    boxed = filter_box(located, params.box)
+    priced = watch(
+        add_clean_price(boxed, params.price_col, "price_clean"),
+        "priced",
+        F.count_if(F.col("price_clean").isNull()).alias("null_prices"),
+    )
 
     low_q, high_q = params.trim
     probs = sorted(set(report_percentiles) | {low_q, high_q})
@@ -117,7 +126,6 @@ def clean_listings(
         method = params.quantile_method
         by_q = dict(zip(probs, quantile_values(priced, "price_clean", probs, method, params.accuracy)))
         trimmed = trim_to_range(priced, by_q[low_q], by_q[high_q])
-    trimmed = watch(trimmed, "trimmed", F.count_if(F.col("price_clean").isNull()).alias("filled"))
     if params.quantile_method != "exact":
         (median,) = quantile_values(
             trimmed, "price_clean", [params.fill_quantile], params.quantile_method, params.accuracy

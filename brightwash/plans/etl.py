@@ -104,7 +104,7 @@ def run_etl(
     ``None`` skips the read-back.
     """
     files = files or {}
-    observe = params.quantile_method == "exact"
+    observe = params.quantile_method == "exact" and materialize
     listings = clean_listings(listings_raw, params, materialize=materialize, observe=observe)
     # Counters sit in the result stage of each write (after any shuffle):
     # there Spark applies each task's update once, even when tasks or map
@@ -147,7 +147,7 @@ def run_etl(
         verification = c if verification is None else verification.unionByName(c)
     if observe:
         # counted while the price column and the clean table were written
-        accounting = listings.observed_accounting(spark)
+        accounting = listings.observed_accounting(spark, written["listings"]["rows"])
     else:
         accounting = step_accounting(
             listings_raw, listings.percentiles[params.trim[0]], listings.percentiles[params.trim[1]], params

@@ -119,7 +119,7 @@ def _python_price(text):
         return None
 
 
-@settings(max_examples=1, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789.,$ -abcNUL€", max_size=12)), min_size=200, max_size=200))
 def test_price_text_matches_rule_on_random_text(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "s string").select(
@@ -127,3 +127,34 @@ def test_price_text_matches_rule_on_random_text(spark, texts):
     )
     got = [(r.s, r.p) for r in df.collect()]
     assert got == [(t, _python_price(t)) for t in texts]
+
+
+def _python_integral(text):
+    """Plain-Python statement of the text -> int rule (truncate toward zero)."""
+    from decimal import Decimal, InvalidOperation
+
+    if text is None or text in ("", "NULL"):
+        return None
+    try:
+        value = int(Decimal(text.strip()))  # int() of a Decimal truncates toward zero
+    except (InvalidOperation, ValueError):
+        return None
+    return value if -(2**31) <= value < 2**31 else None
+
+
+_number_text = st.builds(
+    lambda pad1, sign, whole, frac, pad2: f"{pad1}{sign}{whole}{frac}{pad2}",
+    st.sampled_from(["", " "]),
+    st.sampled_from(["", "-", "+"]),
+    st.text(alphabet="0123456789", min_size=1, max_size=12),
+    st.one_of(st.just(""), st.text(alphabet="0123456789", min_size=1, max_size=4).map(lambda d: "." + d)),
+    st.sampled_from(["", " "]),
+)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.one_of(_number_text, st.sampled_from(["", "NULL", "x", "3.7.1"])), min_size=200, max_size=200))
+def test_text_to_int_matches_rule_on_random_numbers(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    out = df.select(convert_column(F.col("s"), df.schema["s"].dataType, "int").alias("x")).collect()
+    assert [r.x for r in out] == [_python_integral(t) for t in texts]

@@ -3,7 +3,12 @@
 Usage: python tests/oracle_compare.py [sf_dir] [query ...]
 
 Rows are compared as multisets after sorting columns by name; floats must
-match exactly (``--tol`` relaxes that for a diagnosis).
+match exactly (``--tol`` relaxes that for a diagnosis). Column types are
+compared too (Spark type mapped to the DuckDB type).
+
+Environment: ``PLAIN_SESSION=1`` uses a session without the engine's
+defaults (``PLAIN_TZ``, default America/Santiago; ``PLAIN_ANSI``, default
+true), the way a foreign driver session may look.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -92,6 +93,7 @@ def run_etl(
     files: dict[str, int] | None = None,
     materialize: bool = True,
     verify: str | None = "checksum",
+    parallel: bool = True,
 ) -> EtlRun:
     """Clean, write Snappy Parquet, verify each written table.
 
@@ -101,50 +103,73 @@ def run_etl(
     of the listings is observed the same way, without a pass of its own.
     ``verify``: ``"checksum"`` re-reads and hashes every written table,
     ``"count"`` checks schema and row count only (no column data read),
-    ``None`` skips the read-back.
+    ``None`` skips the read-back. ``parallel`` submits the three tables'
+    jobs from separate threads.
     """
     files = files or {}
     observe = params.quantile_method == "exact" and materialize
-    listings = clean_listings(listings_raw, params, materialize=materialize, observe=observe)
     # Counters sit in the result stage of each write (after any shuffle):
     # there Spark applies each task's update once, even when tasks or map
     # stages are re-run after an executor loss.
     raw_obs = {
         name: Observation(f"raw-{name}-{uuid.uuid4().hex[:8]}") for name in ("neighbourhoods", "reviews")
     }
-    neighbourhoods = neighbourhoods_raw.observe(
-        raw_obs["neighbourhoods"], F.count(F.lit(1)).alias("rows"), *_null_metrics(neighbourhoods_raw)
-    )
-    # Full-row dedup that keeps the number of copies, so the raw counts are
-    # sums over the (post-shuffle) groups.
-    copies = F.col("_copies")
-    reviews = dedup.dedup_with_copies(reviews_raw, "_copies").observe(
-        raw_obs["reviews"],
-        F.coalesce(F.sum(copies), F.lit(0)).alias("rows"),
-        *[
-            F.coalesce(F.sum(F.when(F.col(c).isNull(), copies)), F.lit(0)).alias(f"nulls_{i}")
-            for i, c in enumerate(reviews_raw.columns)
-        ],
-    ).drop("_copies")
-    clean = {
-        "listings": listings.data,
-        "neighbourhoods": clean_neighbourhoods(neighbourhoods),
-        "reviews": reviews,
-    }
-    paths, written, checks = {}, {}, []
-    for name, df in clean.items():
-        path = os.path.join(out_dir, f"{name}_clean.parquet")
-        written[name] = write_parquet_observed(
-            df, path, files=files.get(name), extra=_null_metrics(df)
+    holder: dict[str, CleanListings] = {}
+
+    def listings_table() -> DataFrame:
+        holder["listings"] = clean_listings(listings_raw, params, materialize=materialize, observe=observe)
+        return holder["listings"].data
+
+    def neighbourhoods_table() -> DataFrame:
+        observed = neighbourhoods_raw.observe(
+            raw_obs["neighbourhoods"], F.count(F.lit(1)).alias("rows"), *_null_metrics(neighbourhoods_raw)
         )
-        paths[name] = path
+        return clean_neighbourhoods(observed)
+
+    def reviews_table() -> DataFrame:
+        # Full-row dedup that keeps the number of copies, so the raw counts
+        # are sums over the (post-shuffle) groups.
+        copies = F.col("_copies")
+        return dedup.dedup_with_copies(reviews_raw, "_copies").observe(
+            raw_obs["reviews"],
+            F.coalesce(F.sum(copies), F.lit(0)).alias("rows"),
+            *[
+                F.coalesce(F.sum(F.when(F.col(c).isNull(), copies)), F.lit(0)).alias(f"nulls_{i}")
+                for i, c in enumerate(reviews_raw.columns)
+            ],
+        ).drop("_copies")
+
+    def store(name: str, build) -> tuple:
+        df = build()
+        path = os.path.join(out_dir, f"{name}_clean.parquet")
+        metrics = write_parquet_observed(df, path, files=files.get(name), extra=_null_metrics(df))
+        check = None
         if verify:
-            check = verify_written(spark, path, written[name], df.schema, content=verify == "checksum")
+            check = verify_written(spark, path, metrics, df.schema, content=verify == "checksum")
             assert_verified(check)
-            checks.append(check.select(F.lit(name).alias("dataset"), "*"))
+            check = check.select(F.lit(name).alias("dataset"), "*")
+        return df, path, metrics, check
+
+    builders = {
+        "listings": listings_table,
+        "neighbourhoods": neighbourhoods_table,
+        "reviews": reviews_table,
+    }
+    # The three tables are independent: their jobs are submitted from
+    # separate threads, so the scheduler can fill the cluster with one
+    # table's tasks while another waits on a small stage (e.g. a quantile pass).
+    with ThreadPoolExecutor(max_workers=len(builders) if parallel else 1) as pool:
+        futures = {name: pool.submit(store, name, build) for name, build in builders.items()}
+        results = {name: future.result() for name, future in futures.items()}
+    listings = holder["listings"]
+    clean = {name: r[0] for name, r in results.items()}
+    paths = {name: r[1] for name, r in results.items()}
+    written = {name: r[2] for name, r in results.items()}
     verification = None
-    for c in checks:
-        verification = c if verification is None else verification.unionByName(c)
+    for name in builders:
+        check = results[name][3]
+        if check is not None:
+            verification = check if verification is None else verification.unionByName(check)
     if observe:
         # counted while the price column and the clean table were written
         accounting = listings.observed_accounting(spark, written["listings"]["rows"])

@@ -1,8 +1,10 @@
 """The whole batch flow: clean three tables, store them, verify, report.
 
-``run_etl`` is the cleaning run (raw -> clean Parquet), ``report_tables``
-the quality and analytics summary over raw and clean tables. Both return
-DataFrames; nothing row-level is collected.
+``run_etl`` is the cleaning run (raw -> clean Parquet, verified); its
+``EtlRun.observed_report`` gives the quality summary from counts observed
+during the run, without another pass. ``report_tables`` computes the same
+summary (plus price and room-type figures) from any raw / clean tables.
+All results are DataFrames; nothing row-level is collected.
 """
 
 from __future__ import annotations

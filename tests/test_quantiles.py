@@ -146,3 +146,19 @@ def test_sketch_quantiles_within_rank_error(spark):
         assert abs(rank - q) < 0.005, (q, rank)
     empty = spark.createDataFrame([], "v double")
     assert sketch_quantile_row(empty, "v", [0.5], names=["m"]).first().m is None
+
+
+@pytest.mark.parametrize("column,max_passes", [("l_extendedprice", 2), ("l_quantity", 1)])
+def test_exact_matches_duckdb_on_lineitem(spark, column, max_passes):
+    import duckdb
+
+    from conftest import SF01
+
+    path = f"{SF01}/lineitem.parquet"
+    probs = [0.01, 0.05, 0.5, 0.95, 0.99]
+    sel = RankSelector(spark.read.parquet(path), column, materialize=True)
+    got = sel.quantiles(probs)
+    sel.release()
+    sql = ", ".join(f"quantile_disc({column}, {q})" for q in probs)
+    assert got == list(duckdb.sql(f"SELECT {sql} FROM '{path}'").fetchall()[0])
+    assert sel.passes <= max_passes

@@ -162,3 +162,27 @@ def test_exact_matches_duckdb_on_lineitem(spark, column, max_passes):
     sql = ", ".join(f"quantile_disc({column}, {q})" for q in probs)
     assert got == list(duckdb.sql(f"SELECT {sql} FROM '{path}'").fetchall()[0])
     assert sel.passes <= max_passes
+
+
+def test_approximate_methods_within_their_rank_error_on_lineitem(spark):
+    import bisect
+
+    from conftest import SF01
+
+    from brightwash.operators.quantiles import sketch_quantile_row
+
+    df = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    values = sorted(r[0] for r in df.select("l_extendedprice").collect())
+    n = len(values)
+    probs = [0.01, 0.05, 0.5, 0.95, 0.99]
+    names = [f"q{i}" for i in range(len(probs))]
+    approx = approx_quantile_row(df, "l_extendedprice", probs, accuracy=10000, names=names).first()
+    sketch = sketch_quantile_row(df.repartition(8), "l_extendedprice", probs, k=4096, names=names).first()
+    for q, name in zip(probs, names):
+        target = target_rank(q, n)
+        # rank interval of the returned value among all values
+        lo = bisect.bisect_left(values, approx[name]) + 1
+        hi = bisect.bisect_right(values, approx[name])
+        assert lo - n / 10000 - 1 <= target <= hi + n / 10000 + 1, (q, lo, hi, target)
+        rank = bisect.bisect_right(values, sketch[name]) / n
+        assert abs(rank - q) < 0.005, (q, rank)

@@ -119,7 +119,7 @@ def _python_price(text):
         return None
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=5, deadline=None, derandomize=True)
 @given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789.,$ -abcNUL€", max_size=12)), min_size=200, max_size=200))
 def test_price_text_matches_rule_on_random_text(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "s string").select(
@@ -152,7 +152,7 @@ _number_text = st.builds(
 )
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=5, deadline=None, derandomize=True)
 @given(st.lists(st.one_of(_number_text, st.sampled_from(["", "NULL", "x", "3.7.1"])), min_size=200, max_size=200))
 def test_text_to_int_matches_rule_on_random_numbers(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "s string")

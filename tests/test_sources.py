@@ -147,3 +147,19 @@ def test_count_only_verification(spark):
         raise AssertionError("mismatch not detected")
     except AssertionError as exc:
         assert "differs" in str(exc)
+
+
+def test_session_sizing_and_existence_checks(spark):
+    from brightwash.session import checkpoint_root
+    from brightwash.sources import path_exists, read_parquet_if_present
+
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    root = checkpoint_root(spark)
+    assert root and checkpoint_root(spark) == root
+    path = scratch_dir(spark, "exists")
+    assert path.startswith(root) and path_exists(spark, path) is False
+    assert read_parquet_if_present(spark, path) is None
+    spark.range(2).write.parquet(path)
+    assert path_exists(spark, path) is True
+    assert read_parquet_if_present(spark, path).count() == 2

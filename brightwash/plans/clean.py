@@ -23,7 +23,7 @@ class CleanListings:
     """The cleaned table plus the intermediate frames and derived values.
 
     ``percentiles`` maps each reported quantile to a column (a literal for
-    the exact method, a scalar subquery for the approximate one), ``median``
+    the exact method, a scalar subquery for the approximate ones), ``median``
     is the fill value, ``stages`` holds the lazy frame after each step.
     """
 
@@ -77,8 +77,9 @@ def clean_listings(
     except the quantiles: with the exact method they are computed by a few
     aggregation passes over the parsed price column (``materialize=True``
     first writes that one column to the shared checkpoint folder, worth it
-    when the source is expensive to recompute, e.g. CSV parsing or a join).
-    The approximate method keeps them in the plan as scalar subqueries.
+    when the source is expensive to recompute, e.g. CSV parsing or a join;
+    it is released once the values are known). The ``approx`` and ``sketch``
+    methods keep them in the plan as scalar subqueries (no job at call time).
 
     ``observe=True`` attaches row counters to the stages (see
     :meth:`CleanListings.observed_accounting`): they are filled by the write

@@ -163,3 +163,21 @@ def test_session_sizing_and_existence_checks(spark):
     spark.range(2).write.parquet(path)
     assert path_exists(spark, path) is True
     assert read_parquet_if_present(spark, path).count() == 2
+
+
+def test_stream_dedup_with_a_hot_row_across_batches(spark):
+    import datetime as dt
+
+    source = scratch_dir(spark, "feed-hot")
+    sink = scratch_dir(spark, "sink-hot")
+    ckpt = scratch_dir(spark, "ckpt-hot")
+    hot = (7, dt.date(2021, 5, 1))
+    everything = []
+    for wave in range(3):
+        rows = [hot] * 150 + [(1000 * wave + i, dt.date(2021, 5, 1 + i % 28)) for i in range(300)]
+        everything += rows
+        spark.createDataFrame(rows, REVIEWS).repartition(2).write.mode("append").parquet(source)
+    query = start_review_dedup(review_stream(spark, source, max_files_per_trigger=2), sink, ckpt)
+    query.awaitTermination()
+    stored = spark.read.schema(REVIEWS).parquet(sink)
+    assert sorted(tuple(r) for r in stored.collect()) == sorted(set(everything))

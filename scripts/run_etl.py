@@ -34,7 +34,8 @@ def parse_files(text: str | None) -> dict[str, int]:
     return {name: int(count) for name, count in pairs}
 
 
-def main(argv: list[str]) -> None:
+def main(argv: list[str], spark=None) -> None:
+    """Run the flow; an existing ``spark`` session is used and left running."""
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--listings", required=True)
     ap.add_argument("--neighbourhoods", required=True)
@@ -46,7 +47,8 @@ def main(argv: list[str]) -> None:
     ap.add_argument("--master", help="only for local runs, e.g. local[8]")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master, app_name="brightwash-etl")
+    owned = spark is None
+    spark = spark or build_session(args.master, app_name="brightwash-etl")
     if args.format == "csv":
         listings = read_csv(spark, args.listings, schema=LISTINGS_RAW, multi_line=True)
         neighbourhoods = read_csv(spark, args.neighbourhoods, schema=NEIGHBOURHOODS)
@@ -75,7 +77,8 @@ def main(argv: list[str]) -> None:
     analytics.top_expensive_sql(spark).show(truncate=False)
     analytics.band_distribution_sql(spark).show(50, truncate=False)
     analytics.review_stats_sql(spark).show(truncate=False)
-    spark.stop()
+    if owned:
+        spark.stop()
 
 
 if __name__ == "__main__":

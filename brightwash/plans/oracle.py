@@ -218,12 +218,14 @@ def oracle_queries() -> dict[str, str]:
         "filled",
         "SELECT id, name, host_name, neighbourhood_group, reviews_per_month, minimum_nights FROM filled",
     )
-    q["fill_dimension"] = (
-        "SELECT COALESCE(CAST(NULL AS VARCHAR), 'Grupo_No_Especificado') AS neighbourhood_group, "
-        "n_name AS neighbourhood FROM nation"
+    q["fill_dimension"] = with_listings(
+        "raw",
+        "SELECT DISTINCT COALESCE(CAST(NULL AS VARCHAR), 'Grupo_No_Especificado') AS neighbourhood_group, "
+        "neighbourhood FROM raw",
     )
-    q["null_group_rows"] = (
-        f"WITH {NEIGHBOURHOODS.strip()} SELECT * FROM neighbourhoods_raw WHERE neighbourhood_group IS NULL"
+    q["null_group_rows"] = with_listings(
+        "raw",
+        "SELECT DISTINCT CAST(NULL AS VARCHAR) AS neighbourhood_group, neighbourhood FROM raw",
     )
     q["drop_missing_coords"] = with_listings("located", "SELECT id, latitude, longitude FROM located")
     q["geo_stats"] = with_listings(

@@ -111,13 +111,14 @@ def q_fill_constants(spark, sf_dir):
 
 
 def q_null_group_rows(spark, sf_dir):
-    """Neighbourhood rows whose group is missing (before the fill)."""
-    raw = testdata.neighbourhoods_raw(spark, sf_dir)
+    """Neighbourhood rows (as seen in the listings) whose group is missing."""
+    raw = testdata.neighbourhoods_seen(spark, sf_dir)
     return raw.filter(F.col("neighbourhood_group").isNull())
 
 
 def q_fill_dimension(spark, sf_dir):
-    return clean_neighbourhoods(testdata.neighbourhoods_raw(spark, sf_dir))
+    """The dimension fill on the neighbourhoods seen in the listings."""
+    return clean_neighbourhoods(testdata.neighbourhoods_seen(spark, sf_dir))
 
 
 def q_drop_missing_coords(spark, sf_dir):

@@ -119,6 +119,17 @@ def neighbourhoods_raw(
     )
 
 
+def neighbourhoods_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The neighbourhood dimension as it appears in the listings: one row per
+    distinct neighbourhood, group unset (a scan of the listings, so the work
+    grows with the data while the result stays dimension-sized)."""
+    return (
+        listings_raw(spark, sf_dir)
+        .select(F.lit(None).cast("string").alias("neighbourhood_group"), "neighbourhood")
+        .distinct()
+    )
+
+
 def reviews_raw(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataFrame:
     """(listing_id, date) per line item; ``with_order`` adds the order key."""
     cols = [

@@ -350,6 +350,9 @@ def q_top_nulls(spark, sf_dir):
 
 
 def q_ref_integrity(spark, sf_dir):
+    """Listings whose neighbourhood is missing from the dimension. The
+    dimension leaves out five nations so that there are orphans to find;
+    every listing is checked."""
     dim = testdata.neighbourhoods_raw(spark, sf_dir, max_nationkey=20)
     return analytics.orphans(clean_table(spark, sf_dir), dim)
 

@@ -6,7 +6,8 @@ keys. The same formulas are written in SQL for the independent oracle, so
 both engines start from identical rows.
 
 listings      = orders JOIN customer JOIN nation JOIN region
-neighbourhoods = nation, with an all-NULL group column
+neighbourhoods = nation, with an all-NULL group column (or, for queries
+                on the dimension alone, the neighbourhoods seen in the listings)
 reviews       = lineitem projected to (listing_id, date), which carries
                 natural full-row duplicates
 """

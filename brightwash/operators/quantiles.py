@@ -77,9 +77,8 @@ class RankSelector:
     tree first and only scans the data below the deepest cached level.
 
     ``materialize=True`` first writes the values (one column) as Parquet to
-    the shared checkpoint folder, so the passes read that small table, with
-    row groups skipped by their min/max, instead of recomputing an expensive
-    source (CSV parsing, joins).
+    the shared checkpoint folder, so the passes read that small table
+    instead of recomputing an expensive source (CSV parsing, joins).
     """
 
     def __init__(

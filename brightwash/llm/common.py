@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+import pickle
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+class Shared:
+    """A driver object of bounded size broadcast to the tasks together with
+    its class, so that the package need not be installed on the executors."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self):
+        return pickle.loads(self.sent.value)
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` under the shared folder and read it back."""
     spark = df.sparkSession

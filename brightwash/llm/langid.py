@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import Shared, slices
 
 UNKNOWN = "und"
 CHUNK = 1 << 19  # bytes scored at a time
@@ -202,11 +202,12 @@ def identify(docs: DataFrame, model: PPM, text_col: str = "text") -> DataFrame:
     taken in alphabetical order. Columns named lang_pred or score are replaced.
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "__text")]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.get()
         for part in slices(batches, "__text"):
-            found = shared.value.predict(part.column(len(kept)).to_pylist())
+            found = model.predict(part.column(len(kept)).to_pylist())
             lang, score = zip(*found)
             columns = [*part.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[:-1], "lang_pred", "score"])

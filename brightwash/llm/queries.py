@@ -8,18 +8,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
-from .common import table
+from . import langid, packing, simhash, toxicity
+from .common import id_remainder, table
+
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, WORD_TOKENIZER, capacity=4096, end_id=1)
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder("doc_id", 4) == 2
+    model = langid.train(docs.filter(~held_out))
+    found = langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder("doc_id", 3) == 1
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op4_packing": op4_packing,
+    "op8_langid": op8_langid,
+    "op10_toxicity": op10_toxicity,
 }
 
 # none of the ten can be said in SQL over the given tables: each rests on a

@@ -75,3 +75,47 @@ def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     return start, np.diff(np.r_[start, len(keys)])
+
+
+_SEGMENT = 15  # bits of a filter's slot within one row of its table
+
+
+def bit_filter(keys: DataFrame, bits: int, at_least: int = 1):
+    """Broadcast table of 2**bits bits: a bit is set where at least ``at_least``
+    rows of ``keys`` (one long column) fall on it. Its size does not grow with
+    the rows; a fuller table only lets more other keys pass."""
+    slot = F.col(keys.columns[0]).bitwiseAND(F.lit((1 << bits) - 1))
+    slots = keys.select(slot.alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
+    slots = slots.filter(F.col("n") >= at_least)
+    rows = slots.groupBy(F.shiftright("slot", _SEGMENT).alias("segment")).agg(
+        F.collect_list(F.col("slot").bitwiseAND(F.lit((1 << _SEGMENT) - 1)).cast("int")).alias("slots")
+    )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for slots in batch.column(1).to_pylist():
+                flags = np.zeros(1 << _SEGMENT, np.uint8)
+                flags[slots] = 1
+                out.append(np.packbits(flags, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["segment", "bits"])
+
+    table = np.zeros(max(1, 1 << max(0, bits - _SEGMENT)), f"V{1 << (_SEGMENT - 3)}")
+    found = rows.mapInArrow(pack, "segment long, bits binary").toArrow()
+    for segment, data in zip(found.column("segment").to_pylist(), found.column("bits").to_pylist()):
+        table[segment] = data
+    return keys.sparkSession.sparkContext.broadcast(table.tobytes())
+
+
+def in_filter(rows: DataFrame, table, column: str) -> DataFrame:
+    """The rows whose ``column`` (long) may be among the keys of a bit filter."""
+    at = rows.columns.index(column)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(table.value, np.uint8)
+        for batch in batches:
+            slot = batch.column(at).to_numpy() & (8 * len(bits) - 1)
+            hit = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(hit.astype(bool)))
+
+    return rows.mapInArrow(work, rows.schema)

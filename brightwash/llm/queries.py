@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, simhash, suffixes, toxicity
+from . import langid, lm, packing, simhash, suffixes, toxicity
 from .common import id_remainder, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, WORD_TOKENIZER, capacity=4096, end_id=1)
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 10) == 0
+    return lm.score_texts(docs, training=~held_out).withColumn("held_out", held_out).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = id_remainder("doc_id", 4) == 2
@@ -52,6 +60,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_packing": op4_packing,
+    "op5_lm": op5_lm,
     "op8_langid": op8_langid,
     "op9_suffixes": op9_suffixes,
     "op10_toxicity": op10_toxicity,

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, lm, packing, simhash, suffixes, toxicity
+from . import contamination, langid, lm, packing, simhash, suffixes, toxicity
 from .common import id_remainder, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -22,6 +22,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op3_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.find_items(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select(
+        "doc_id", "m.item_id", "m.distance", (1 - F.col("m.distance") / F.col("m.item_bytes")).alias("similarity"), "m.start", "m.end"
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, WORD_TOKENIZER, capacity=4096, end_id=1)
@@ -59,6 +68,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_contamination": op3_contamination,
     "op4_packing": op4_packing,
     "op5_lm": op5_lm,
     "op8_langid": op8_langid,

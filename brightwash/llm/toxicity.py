@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,14 +37,6 @@ def _forms(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
 
 
-def term_counts(text: str | None) -> Counter:
-    out: Counter = Counter()
-    for word, n in Counter(_WORD.findall((text or "").lower())).items():
-        for form in _forms(word):
-            out[form] += n
-    return out
-
-
 def _tail(n: int, hits: int, rate: float) -> float:
     """log of the chance that at least ``hits`` of ``n`` fall to a class that
     holds ``rate`` of all (Chernoff's bound)."""
@@ -62,9 +54,9 @@ class NearestExamples:
         self.k = k
         self.ids = [e[0] for e in examples]
         self.labels = np.array([e[2] for e in examples], np.int64)
-        counts = [term_counts(e[1]) for e in examples]
-        self.terms = self._choose(counts, chance)
-        rows = [[(self.terms[t], n) for t, n in c.items() if t in self.terms] for c in counts]
+        self.terms = self._choose([e[1] for e in examples], chance)
+        self.known: dict[str, list[int]] = {}
+        rows = [self._row(e[1]) for e in examples]
         df = np.bincount([t for r in rows for t, _ in r], minlength=len(self.terms))
         self.idf = np.log((1 + len(rows)) / (1 + df)) + 1.0
         vectors = [self._vector(r) for r in rows]
@@ -79,47 +71,46 @@ class NearestExamples:
         np.maximum.at(self.most, cell, self.weight)
         self.most = self.most.reshape(len(self.terms), blocks)
         self.blocks = blocks
+        self.known.clear()
         votes = [self.vote(v, leave_out=e)[0] for e, v in enumerate(vectors)]
         self._calibrate(np.array(votes), np.array(weights)[self.labels] if len(rows) else np.empty(0))
-        self.known: dict[str, list[int]] = {}
 
-    def _choose(self, counts: list[Counter], chance: float) -> dict[str, int]:
-        """Terms that go with label 1 beyond chance. Near copies count
-        once: a term's examples are told apart by the min-hash of their rarer terms."""
-        every = Counter(t for c in counts for t in c)
-        rare = [[t for t in c if every[t] <= max(3, len(counts) // 50)] for c in counts]
-        least = [[min((xxhash.xxh64_intdigest(t, seed) for t in c), default=0) for seed in (0, 1)] for c in rare]
-        texts: dict[str, tuple[set, set, set, set]] = defaultdict(lambda: (set(), set(), set(), set()))
-        for c, (a, b), label in zip(counts, least, self.labels.tolist()):
-            for t in c:
-                of = texts[t]
-                of[label].add(a)
-                of[2 + label].add(b)
+    def _choose(self, texts: list[str], chance: float) -> dict[str, int]:
+        """Terms that go with label 1 beyond chance. Near copies count once: a
+        term's examples are told apart by two min-hashes of their word pairs."""
         rate = float(self.labels.mean()) if len(self.labels) else 0.0
         if not 0 < rate < 1:
             return {}
-        limit = math.log(chance / len(texts))
-
-        def beyond_chance(of: tuple[set, set, set, set]) -> bool:
-            for without, with_label in (of[:2], of[2:]):
-                n, hits = len(without) + len(with_label), len(with_label)
-                if _tail(n, hits, rate) >= limit:
-                    return False
-            return True
-
-        kept = sorted(t for t, of in texts.items() if beyond_chance(of))
-        return {t: i for i, t in enumerate(kept)}
-
-    def _vector(self, row: list[tuple[int, int]]) -> list[tuple[int, float]]:
-        raw = [(t, (1 + math.log(n)) * self.idf[t]) for t, n in sorted(row)]
-        norm = math.sqrt(sum(w * w for _, w in raw))
-        return [(t, w / norm) for t, w in raw]
-
-    def vector(self, text: str | None) -> list[tuple[int, float]]:
-        """The unit vector of a text over the chosen terms."""
+        digest = xxhash.xxh64_intdigest
+        term, copy = [], [[], []]
+        for text in texts:
+            words = _WORD.findall(text.lower())
+            own = np.array([digest(t) for t in {f for w in set(words) for f in _forms(w)}], np.uint64)
+            pairs = np.array([digest(f"{v} {w}") for v, w in zip(words, words[1:])] or [0], np.uint64)
+            term.append(own)
+            copy[0].append(pairs.min())
+            copy[1].append((pairs * np.uint64(0x9E3779B97F4A7C15)).min())
+        of = np.repeat(np.arange(len(texts)), [len(t) for t in term])
+        distinct, term = np.unique(np.concatenate(term), return_inverse=True)
+        limit = math.log(chance / max(1, len(distinct)))
+        good = np.ones(len(distinct), bool)
+        for hashes in copy:
+            _, group = np.unique(np.array(hashes, np.uint64), return_inverse=True)
+            kinds = group * 2 + self.labels
+            met = np.unique(term * (2 * len(texts)) + kinds[of])
+            hits = np.bincount(met // (2 * len(texts)), weights=met % 2, minlength=len(distinct))
+            n = np.bincount(met // (2 * len(texts)), minlength=len(distinct))
+            for t in np.flatnonzero(good).tolist():
+                good[t] = _tail(int(n[t]), int(hits[t]), rate) < limit
+        chosen = set(distinct[good].tolist())
+        kept = {f for text in texts for w in set(_WORD.findall(text.lower())) for f in _forms(w) if digest(f) in chosen}
+        return {t: i for i, t in enumerate(sorted(kept))}
+
+    def _row(self, text: str | None) -> list[tuple[int, int]]:
+        """(term, occurrences) of the chosen terms of a text."""
         row: dict[int, int] = {}
         known = self.known
-        if len(known) > 1_000_000:
+        if len(known) > 300_000:
             known.clear()
         for word, n in Counter(_WORD.findall((text or "").lower())).items():
             at = known.get(word)
@@ -127,7 +118,16 @@ class NearestExamples:
                 at = known[word] = [self.terms[f] for f in _forms(word) if f in self.terms]
             for t in at:
                 row[t] = row.get(t, 0) + n
-        return self._vector(list(row.items()))
+        return list(row.items())
+
+    def _vector(self, row: list[tuple[int, int]]) -> list[tuple[int, float]]:
+        raw = [(t, (1 + math.log(n)) * self.idf[t]) for t, n in sorted(row)]
+        norm = math.sqrt(sum(w * w for _, w in raw))
+        return [(t, w / norm) for t, w in raw]
+
+    def vector(self, text: str | None) -> list[tuple[int, float]]:
+        """The unit vector of a text over the chosen terms."""
+        return self._vector(self._row(text))
 
     def nearest(self, vector: list[tuple[int, float]], leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the highest cosine above 0, and the cosines."""
@@ -200,7 +200,7 @@ def fit(
     label_col: str = "toxic",
     id_col: str = "doc_id",
     text_col: str = "text",
-    examples_per_label: int = 4096,
+    examples_per_label: int = 2048,
     k: int = 15,
 ) -> NearestExamples:
     """Fit on about ``examples_per_label`` rows of each label, drawn by the hash

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, langid, lm, packing, simhash, suffixes, toxicity
+from . import contamination, langid, lm, packing, simhash, suffixes, toxicity, vectors
 from .common import id_remainder, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -22,6 +22,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op2_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op3_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item that it holds."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,6 +72,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_itq": op2_itq,
     "op3_contamination": op3_contamination,
     "op4_packing": op4_packing,
     "op5_lm": op5_lm,

@@ -31,6 +31,17 @@ class Shared:
         return pickle.loads(self.sent.value)
 
 
+BATCH_ROWS = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of ``BATCH_ROWS`` rows at most: rows are
+    long here, and a worker holds a whole batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` under the shared folder and read it back."""
     spark = df.sparkSession

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Shared, slices, utf8_values
+from .common import Shared, slices, small_batches, utf8_values
 
 STEPS = 32  # of a walk over items of 64 bytes or more; shorter items walk half their bytes
 SAMPLED = 12  # positions of the walk that are hashed
@@ -310,6 +310,7 @@ def find_items(
     Null and empty texts match nothing; repeated rows match alike; with an
     empty benchmark nothing matches. A column named matches is replaced.
     """
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("matches", "__text")]
     out = docs.select(*[docs[c] for c in kept], F.lit(None).cast(_MATCH).alias("matches"))
     for index in item_blocks(benchmark, item_id, item_text, similarity, recall):

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, slices
+from .common import Shared, slices, small_batches
 
 UNKNOWN = "und"
 CHUNK = 1 << 19  # bytes scored at a time
@@ -201,6 +201,7 @@ def identify(docs: DataFrame, model: PPM, text_col: str = "text") -> DataFrame:
     is null or has no letter, or nothing was learned; languages that tie are
     taken in alphabetical order. Columns named lang_pred or score are replaced.
     """
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "__text")]
     shared = Shared(docs.sparkSession, model)
 

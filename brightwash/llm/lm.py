@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8_values, written
+from .common import slices, small_batches, utf8_values, written
 
 LOG_BASE = 1.5
 BITS_PER_ENTRY = 10  # of the filter, for each pair and level
@@ -282,6 +282,7 @@ def score_texts(
     returned as often as they occur; ids may be null. Without training rows
     every word is unknown. Further columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.col(text_col).cast("string").alias("text"),

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import slices, small_batches, written
 
 Pattern = tuple[int, list[tuple[int, int]]]  # multiplicity, [(length, how many)]
 
@@ -301,6 +301,7 @@ def pack_documents(
     as they occur. An empty table gives an empty result; further columns are
     not read.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows = written(pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col), "pieces")
     per_part = rows.groupBy("length", "part").agg((F.max("nth") + 1).alias("n"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, small_batches
 
 SMOOTHING = 1.0  # standard deviation of the Gaussian, in lines
 _REACH = 3
@@ -203,6 +203,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     lines. Repeated rows give equal results. Columns named text or n_chars are
     replaced.
     """
+    small_batches(pages.sparkSession)
     kept = [c for c in pages.columns if c not in (html_col, "text", "n_chars", "__html")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs, slices, utf8_values, written
+from .common import runs, slices, small_batches, utf8_values, written
 from .components import components
 
 SEED = 42
@@ -165,6 +165,7 @@ def near_duplicates(
     component_id. Repeated rows are linked to each other. An empty table gives
     an empty result; further columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("id").alias("least"))
     comp = components(fingerprint_links(nodes.select("fp"), max_bits), "a", "b")

@@ -33,10 +33,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, in_filter, slices, utf8_values, written
+from .common import bit_filter, in_filter, slices, small_batches, utf8_values, written
 
 GROUP = 512  # most stretches of one anchor compared in one block
-BLOCK = 1 << 20  # symbols of a block
+BLOCK = 1 << 18  # symbols of a block
 CHUNK = 1 << 20  # bytes hashed at a time
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POSITION = np.uint64(24)
@@ -339,6 +339,7 @@ def remove_repeats(
     bits, broadcast); it does not change the result. Further columns are not
     read, and an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     core = length // 2
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).select(

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, slices
+from .common import Shared, slices, small_batches
 
 _WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 6)  # letters of the word beginnings that are terms
@@ -229,6 +229,7 @@ def score(docs: DataFrame, model: NearestExamples, id_col: str = "doc_id", text_
     no neighbour and get the rate of such examples. Without labelled examples
     the score is 0. Repeated rows score alike; further columns are not read.
     """
+    small_batches(docs.sparkSession)
     shared = Shared(docs.sparkSession, model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

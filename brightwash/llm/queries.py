@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, langid, lm, packing, pages, simhash, suffixes, toxicity, vectors
+from . import contamination, langid, lm, packing, pages, pii, simhash, suffixes, toxicity, vectors
 from .common import id_remainder, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -48,6 +48,11 @@ def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_spans(docs, pii.train(docs)).drop("text", "redacted")
+
+
 def op7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_contamination": op3_contamination,
     "op4_packing": op4_packing,
     "op5_lm": op5_lm,
+    "op6_pii": op6_pii,
     "op7_pages": op7_pages,
     "op8_langid": op8_langid,
     "op9_suffixes": op9_suffixes,

@@ -1,4 +1,10 @@
-"""Corpus pipeline over ``documents``: a list of named stages and a runner."""
+"""Corpus pipeline: ``documents`` to packed training sequences.
+
+Each stage works on all documents that its predecessor kept and returns the
+columns of ``documents``; the last returns the packed pieces. ``run`` applies
+them in order and writes what each returns to the shared folder, so a lost
+executor costs at most one stage.
+"""
 
 from __future__ import annotations
 
@@ -7,19 +13,72 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
+from brightwash.llm import contamination, langid, packing, pii, simhash  # noqa: E402
+from brightwash.llm.common import table, written  # noqa: E402
+from brightwash.llm.queries import WORD_TOKENIZER  # noqa: E402
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language cannot be told (no text or no letter) go; a
+    missing language is filled in."""
+    found = langid.identify(docs, langid.train(docs))
+    found = found.filter(F.col("lang_pred") != langid.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays
+    (one without an id only if no other has one); of repeated rows one stays."""
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    groups = simhash.near_duplicates(rows, id_col="__row", shingle=3, max_bits=2)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first")
+    keep = groups.join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(first)
+    return rows.join(keep.select("first.__row"), "__row", "left_semi").select(*docs.columns)
+
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = contamination.find_items(docs, table(spark, sf_dir, "benchmark"))
+    return found.filter(F.size("matches") == 0).select(*docs.columns)
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in brackets."""
+    found = pii.find_spans(docs, pii.train(docs))
+    changed = F.col("spans") != ""
+    return found.withColumns(
+        {
+            "text": F.col("redacted"),
+            "n_chars": F.when(changed, F.char_length("redacted").cast("long")).otherwise(F.col("n_chars")),
+        }
+    ).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents become pieces placed in sequences of at most 4,096 tokens."""
+    return packing.pack_documents(docs, WORD_TOKENIZER, capacity=4096, end_id=1)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("simhash_dedup", simhash_dedup),
+    ("decontaminate", decontaminate),
+    ("redact_pii", redact_pii),
+    ("pack", pack),
+]
+
+# trained models, tokenizer ids and hashes that DuckDB does not have
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from brightwash.llm.common import table, written
-
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = written(docs, name)
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name)
     return docs

@@ -77,7 +77,7 @@ def edit_distance_within(item: bytes, text: bytes, most: int) -> tuple[int, int]
     for i, c in enumerate(item):
         places[c] = places.get(c, 0) | 1 << i
     plus, minus, score = mask, 0, n
-    best, end = n + 1, 0
+    best, end = n, 0  # the empty substring
     for j, c in enumerate(text):
         eq = places.get(c, 0)
         x = eq | minus

@@ -38,6 +38,7 @@ _BLOCKS = _OUTSIDE.union(
     ("address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 "
     "header hr html li main ol p pre section summary table tbody td tfoot th thead tr ul").split()
 )
+_CONTAINERS = {"root", "html", "body", "div", "section", "center", "table", "tbody", "tr", "td"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "source", "area", "base", "col", "embed", "track", "param"}
 _BREAKS = {"br", "img"}
 _CLOSED_BY_SIBLING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -192,7 +193,8 @@ def main_text(html: str | None) -> str:
     for text, _, _, path, _ in content:
         for n in path:
             held[n] += len(text)
-    region = max(n for n in held if held[n] >= REGION_SHARE * held[0])  # numbers grow inwards
+    # numbers grow inwards
+    region = max(n for n in held if held[n] >= REGION_SHARE * held[0] and parser.names[n] in _CONTAINERS)
     return "\n\n".join(text for text, _, linked, path, _ in lines if region in path and 2 * linked <= len(text))
 
 

@@ -142,6 +142,9 @@ def side_by_side(examples: list[tuple[str, list[int]]], count: int, seed: int =
             spans.append((text[:b], text[b:e], tags[b:e], text[e:]))
     while spans and len(out) < count:
         left, right = (spans[int(random.integers(len(spans)))] for _ in range(2))
+        if len(out) % 2:  # half of the pairs are of one kind
+            same = [s for s in spans if s[2][0] == left[2][0]]
+            right = same[int(random.integers(len(same)))]
         before, after = left[0][-20:], right[3][:20]
         gap = " " if random.random() < 0.8 else ", "
         # words stand between sentence and span, so no earlier span is cut open
@@ -261,7 +264,7 @@ def train(docs: DataFrame, text_col: str = "text", windows_per_kind: int = 300,
     examples = [(r["window"], list(r["tags"])) for r in drawn.distinct().sort("window").collect()]
     if not any(any(t) for _, t in examples):
         return None
-    examples += side_by_side(examples, len(examples) // 2)
+    examples += side_by_side(examples, len(examples))
     model = CharTagger(len(KINDS))
     model.train(*_arrays(examples), epochs=epochs)
     return model

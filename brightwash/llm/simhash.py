@@ -89,7 +89,7 @@ def _links_of_postings(max_bits: int):
         group = np.cumsum(changed) - 1
         keep = np.bincount(group)[group] > 1
         kind, fp, group = kind[keep], fp[keep], group[keep]
-        if not len(fp):
+        if not len(fp) or not len(flips):
             return fp[:0], fp[:0]
         shift = left_out[kind] * np.uint64(8)
         rest = ((fp >> shift[:, 0]) & np.uint64(255)) | (((fp >> shift[:, 1]) & np.uint64(255)) << np.uint64(8))

@@ -186,10 +186,9 @@ def bounded_boundaries(seq: np.ndarray, symbols: np.ndarray | int) -> tuple[np.n
 
 
 def repeated_runs(rows: list[tuple[int, int, int, int, bytes, bytes]]) -> list[tuple[int, int, int]]:
-    """For stretches (group, n, lo, hi, left, right) of one block, all with the
-    same cell lo..hi: (row, from, to) for each run of starts, told by their
-    distance before the anchor, whose string occurs more than once."""
-    lo, hi = rows[0][2], rows[0][3]
+    """For stretches (group, n, lo, hi, left, right) of one block, all with cells
+    lo..hi of the same width: (row, from, to) for each run of starts, told by
+    their distance before the anchor, whose string occurs more than once."""
     parts, begin, at = [], [], 0
     for group, _, _, _, left, right in rows:
         seq = np.empty(len(left) + len(right) + 2, np.int64)
@@ -200,11 +199,11 @@ def repeated_runs(rows: list[tuple[int, int, int, int, bytes, bytes]]) -> list[t
         parts.append(seq)
         begin.append(at)
         at += len(seq)
-    order, level = bounded_boundaries(np.concatenate(parts), hi - lo + 1)
+    order, level = bounded_boundaries(np.concatenate(parts), rows[0][3] - rows[0][2] + 1)
     prefix = np.empty(at, np.int64)
     prefix[order] = np.cumsum(level >= 0)
     row, start, distance = [], [], []
-    for i, (_, _, _, _, left, right) in enumerate(rows):
+    for i, (_, _, lo, hi, left, right) in enumerate(rows):
         near, far = hi - len(right), lo + len(left)
         row.append(np.full(far - near + 1, i))
         start.append(begin[i] + np.arange(far - near + 1))
@@ -240,7 +239,7 @@ def _compare(groups: DataFrame) -> DataFrame:
         used = 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if used > BLOCK and row[:2] != held[-1][:2]:
+                if held and (row[5] - row[4] != held[-1][5] - held[-1][4] or used > BLOCK and row[:2] != held[-1][:2]):
                     yield solve(held)
                     held, used = [], 0
                 held.append(row)
@@ -248,7 +247,8 @@ def _compare(groups: DataFrame) -> DataFrame:
         if held:
             yield solve(held)
 
-    sorted_groups = groups.select(*_NAMES).repartition("g1", "g2").sortWithinPartitions("g1", "g2")
+    width = F.col("hi") - F.col("lo")
+    sorted_groups = groups.select(*_NAMES).repartition("g1", "g2").sortWithinPartitions(width, "g1", "g2")
     return sorted_groups.mapInArrow(work, "g1 long, g2 long, cls long, near long, far long")
 
 

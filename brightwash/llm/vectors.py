@@ -35,7 +35,10 @@ class ITQ:
 
     def __init__(self, sample: np.ndarray, threshold: float, recall: float, rounds: int = 50, seed: int = 5):
         random = np.random.default_rng(seed)
-        unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+        every = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+        # the radius is measured on vectors that the rotation was not fitted to
+        cut = len(every) * 4 // 5 if len(every) >= 100 else len(every)
+        unit, aside = every[:cut], every[cut:] if cut < len(every) else every
         dim = unit.shape[1]
         self.bits = min(MOST_BITS, dim)
         self.mean = unit.mean(axis=0)
@@ -47,7 +50,7 @@ class ITQ:
             u, _, v = np.linalg.svd(projected.T @ np.where(projected @ rotation >= 0, 1.0, -1.0))
             rotation = u @ v
         self.turn = axes @ rotation
-        self.radius = self._radius(unit[:4000], threshold, recall, random)
+        self.radius = self._radius(np.resize(aside, (4000, dim)), threshold, recall, random)
 
     def _radius(self, unit: np.ndarray, threshold: float, recall: float, random: np.random.Generator) -> int:
         aside = random.standard_normal(unit.shape)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, small_batches, utf8_values, written
+from .common import runs, slices, small_batches, utf8_values, written
 
 LOG_BASE = 1.5
 BITS_PER_ENTRY = 10  # of the filter, for each pair and level
@@ -39,6 +39,7 @@ RANGE_BYTES = 64 << 20  # training text per range of the word hash
 ALPHA = 0.1
 _END = b"\n"  # no word holds white space
 _SEED = 11
+SLICE = 2 << 20  # bytes of text worked on at a time
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -47,26 +48,32 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-cased words of all texts, each followed by the end
-    token, and the number of tokens of each text."""
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct lower-cased words of all texts, the place there of
+    each token, where an end token (place 0) follows each text's words, and the
+    number of tokens of each text."""
     words, sizes = [], []
     for t in texts:
         own = t.lower().split()  # bytes: A-Z and ASCII white space only
         own.append(_END)
         sizes.append(len(own))
         words += own
-    known = {w: xxhash.xxh64_intdigest(w, _SEED) for w in set(words)}
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), np.array(sizes, np.int64)
+    distinct = set(words)
+    distinct.discard(_END)
+    place = {w: i for i, w in enumerate((_END, *distinct))}
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, _SEED) for w in place), np.uint64, len(place))
+    return hashes, np.fromiter(map(place.__getitem__, words), np.int64, len(words)), np.array(sizes, np.int64)
 
 
-def contexts(hashes: np.ndarray) -> np.ndarray:
+def contexts(of: np.ndarray) -> np.ndarray:
     """The token before each token; before a text stands the end token."""
-    return np.concatenate([[np.uint64(xxhash.xxh64_intdigest(_END, _SEED))], hashes[:-1]]).astype(np.uint64)
+    return np.r_[0, of[:-1]]
 
 
-def pair_hashes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return _mixed(before * np.uint64(0x9E3779B97F4A7C15) + _mixed(word))
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Keys of word pairs: the upper 16 bits are the last word's, so that a
+    pair lies in the range of its last word; 48 bits tell the pairs apart."""
+    return (word & np.uint64(0xFFFF << 48)) | (_mixed(before * np.uint64(0x9E3779B97F4A7C15) + word) >> np.uint64(16))
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -80,11 +87,16 @@ def level_count(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (low + high) / 2, 0.0)
 
 
-def _slots(pair: np.ndarray, level: np.ndarray | int, probe: int, size: np.ndarray | int) -> np.ndarray:
-    """Bit of one probe for (pair, level) in a filter of ``size`` bits."""
-    key = _mixed(pair + np.uint64(0x632BE59BD9B4E019) * np.asarray(level).astype(np.uint64))
-    step = (key >> np.uint64(32)) | np.uint64(1)
-    return ((key + np.uint64(probe) * step) % np.asarray(size).astype(np.uint64)).astype(np.int64)
+def _hashed(pair: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 32-bit hashes of (pair, level) that the probes are made of."""
+    key = _mixed(pair + np.uint64(0x632BE59BD9B4E019 * level & 0xFFFFFFFFFFFFFFFF))
+    return key & np.uint64(0xFFFFFFFF), (key >> np.uint64(32)) | np.uint64(1)
+
+
+def _slot(first: np.ndarray, step: np.ndarray, probe: int, size: np.ndarray | int) -> np.ndarray:
+    """Bit of a probe in a filter of ``size`` bits."""
+    hashed = (first + np.uint64(probe) * step) & np.uint64(0xFFFFFFFF)
+    return (hashed * np.asarray(size, np.uint64) >> np.uint64(32)).astype(np.int64)
 
 
 def build_filter(pairs: np.ndarray, counts: np.ndarray) -> tuple[bytes, int]:
@@ -93,9 +105,9 @@ def build_filter(pairs: np.ndarray, counts: np.ndarray) -> tuple[bytes, int]:
     size = max(64, -(-int(level.sum()) * BITS_PER_ENTRY // 8) * 8)
     flags = np.zeros(size, np.uint8)
     for step in range(1, int(level.max(initial=0)) + 1):
-        held = pairs[level >= step]
+        first, move = _hashed(pairs[level >= step], step)
         for probe in range(PROBES):
-            flags[_slots(held, step, probe, size)] = 1
+            flags[_slot(first, move, probe, size)] = 1
     return np.packbits(flags, bitorder="little").tobytes(), size
 
 
@@ -106,9 +118,12 @@ def probe_levels(bits: np.ndarray, offset: np.ndarray, size: np.ndarray, pair: n
     left, step = np.arange(len(pair)), 0
     while len(left):
         step += 1
+        first, move = _hashed(pair[left], step)
+        bits_at, bits_in = offset[left], size[left]
         for probe in range(PROBES):
-            slot = _slots(pair[left], step, probe, size[left])
-            left = left[(bits[offset[left] + (slot >> 3)] >> (slot & 7).astype(np.uint8)) & 1 == 1]
+            slot = _slot(first, move, probe, bits_in)
+            held = (bits[bits_at + (slot >> 3)] >> (slot & 7).astype(np.uint8)) & 1 == 1
+            left, first, move, bits_at, bits_in = left[held], first[held], move[held], bits_at[held], bits_in[held]
         out[left] = step
     return out
 
@@ -120,11 +135,15 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
 
 
-def _cell(word: np.ndarray, key: np.ndarray, ranges: int, subs: int) -> np.ndarray:
-    """Segment of a word or pair: the range of the word, then spread by the
-    key, so that a frequent last word does not load one segment."""
-    of = (_mixed(word) >> np.uint64(40)) * np.uint64(ranges) >> np.uint64(24)
-    return (of * np.uint64(subs) + _mixed(key ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(subs)).astype(np.int64)
+def _range(keys: np.ndarray, ranges: int) -> np.ndarray:
+    return ((keys >> np.uint64(48)) * np.uint64(ranges) >> np.uint64(16)).astype(np.int64)
+
+
+def _cell(keys: np.ndarray, ranges: int, subs: int) -> np.ndarray:
+    """Segment of a word or pair: the range of the (last) word, then spread by
+    the lower bits, so that a frequent last word does not load one segment."""
+    sub = (keys & np.uint64(0xFFFFFFFF)) * np.uint64(subs) >> np.uint64(32)
+    return _range(keys, ranges) * subs + sub.astype(np.int64)
 
 
 def count_segments(texts: DataFrame, ranges: int, subs: int) -> DataFrame:
@@ -132,14 +151,14 @@ def count_segments(texts: DataFrame, ranges: int, subs: int) -> DataFrame:
     of the filter, and counts for the smoothing."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            word, _ = tokens(utf8_values(part.column(0)))
-            pair = pair_hashes(contexts(word), word)
+        for part in slices(batches, "text", SLICE):
+            word, of, _ = tokens(utf8_values(part.column(0)))
+            pair = np.sort(pair_keys(word[contexts(of)], word[of]))
+            first, times = runs(pair)
             out = []
-            for kind, key in ((0, word), (1, pair)):
-                distinct, first, n = np.unique(key, return_index=True, return_counts=True)
-                cell = _cell(word[first], distinct, ranges, subs)
-                order = np.argsort(cell, kind="stable")
+            for kind, distinct, n in ((0, word, np.bincount(of, minlength=len(word))), (1, pair[first], times)):
+                cell = _cell(distinct, ranges, subs)
+                order = np.argsort(cell.astype(np.uint16) if ranges * subs <= 1 << 16 else cell, kind="stable")
                 cell, distinct, n = cell[order], distinct[order], n[order].astype(np.uint32)
                 edge = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])
                 for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
@@ -239,29 +258,27 @@ def _pass(rows: DataFrame, model: DataFrame, first: int, last: int, ranges: int,
             near = np.minimum(np.searchsorted(words, distinct), len(words) - 1)
             return np.where(words[near] == distinct, counts[near], 0).astype(np.float64)
 
-        for part in slices(batches, "text"):
-            word, sizes = tokens(utf8_values(part.column(2)))
-            before = contexts(word)
-            distinct, of = np.unique(word, return_inverse=True)
-            own = _cell(distinct, distinct, ranges, 1)
+        for part in slices(batches, "text", SLICE):
+            word, of, sizes = tokens(utf8_values(part.column(2)))
+            before = contexts(of)
+            own = _range(word, ranges)
             own = (own >= first) & (own <= last)
-            count = np.where(own, lookup(distinct), 0.0)
-            base = np.where(own, np.log10((count + ALPHA) / norm), 0.0)
+            count = np.where(own, lookup(word), 0.0)
+            prior = (count + ALPHA) / norm
+            base = np.where(own, np.log10(prior), 0.0)
             # tokens of these ranges: their pairs are in the filter
             mine = np.flatnonzero(own[of])
-            pair = pair_hashes(before[mine], word[mine])
-            cell = _cell(word[mine], pair, ranges, subs) - first * subs
-            seen = level_count(probe_levels(bits, offset[cell], size[cell], pair))
-            gain = np.zeros(len(word))
-            prior = totals["m"] * (count[of[mine]] + ALPHA) / norm
-            gain[mine] = np.log10(1 + seen / prior)
+            pair = pair_keys(word[before[mine]], word[of[mine]])
+            cell = _cell(pair, ranges, subs) - first * subs
+            level = probe_levels(bits, offset[cell], size[cell], pair)
+            hit = np.flatnonzero(level)
+            gain = np.zeros(len(of))
+            gain[mine[hit]] = np.log10(1 + level_count(level[hit]) / (totals["m"] * prior[of[mine[hit]]]))
             # contexts of these ranges: c(v); the end token stands before a text
             weight = np.where(own, np.log10(totals["m"] / (count + totals["m"])), 0.0)
-            end = np.searchsorted(distinct, before[0])
-            context = np.concatenate([[end], of[:-1]])
             start = np.cumsum(sizes) - sizes
             total = lambda x: np.add.reduceat(x, start)
-            columns = [sizes, total((count > 0)[of].astype(np.int64)), total(base[of]), total(base[of] + gain + weight[context])]
+            columns = [sizes, total((count > 0)[of].astype(np.int64)), total(base[of]), total(base[of] + gain + weight[before])]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *map(pa.array, columns)], names)
 
     names = ["id", "h", "n_tokens", "n_known", "base_score", "score"]

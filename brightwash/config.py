@@ -87,9 +87,7 @@ class ListingsParams:
     trim: tuple[float, float] = (TRIM_LOW, TRIM_HIGH)
     fill_quantile: float = FILL_QUANTILE
     # "exact": distributed histogram refinement, equal to the discrete
-    # quantile at any scale. "approx": percentile_approx with ``accuracy``
-    # kept inside the plan (lazy, one aggregate, rank error <= n / accuracy).
-    # "sketch": KLL sketches with k = ``accuracy`` (at most 65535) merged as a
-    # two-level tree, lazy too.
+    # quantile at any scale. "sketch": KLL sketches with k = ``accuracy`` (8 to
+    # 65535) kept inside the plan, merged as a two-level tree (lazy).
     quantile_method: str = "exact"
-    accuracy: int = 10000
+    accuracy: int = 4096

@@ -37,8 +37,6 @@ from brightwash.operators.profile import (
 )
 from brightwash.operators.quantiles import (
     RankSelector,
-    approx_quantile_columns,
-    approx_quantile_row,
     exact_quantiles,
     quantile_table,
     quantile_values,

@@ -10,46 +10,41 @@ one task. Each pass is one aggregation with map-side combine:
 1. ``count, min, max`` of the column (observed during the write when the
    column is materialized, so no pass of its own).
 2. For every rank still open, the value range known to contain it is split
-   into ``bins`` equal-width buckets; ``groupBy(range, bucket).agg(count,
-   min, max)`` gives a histogram of at most ``bins`` rows per open range.
-   The bucket holding the rank becomes the new range (its own min and max),
-   so the range shrinks at least ``bins``-fold per pass.
-3. When a range holds at most ``exact_rows`` values (for the whole column:
-   about that many distinct values, by a HyperLogLog estimate from pass 1),
-   the next pass groups its values exactly and the rank is read off the
-   cumulative counts. Histogram rows stay small (count, min, max per bucket),
-   so a pass shuffles about ``bins`` short records per map task.
+   into ``bins`` buckets; ``groupBy(range, bucket).agg(count, min, max)`` gives
+   a histogram of at most ``bins`` rows per open range. The bucket holding
+   the rank becomes the new range (its own min and max). A range whose min is
+   its max is the answer.
+
+Buckets are computed in the column's own type. Integral and decimal values
+are divided exactly, so the range shrinks ``bins``-fold per pass. Doubles are
+split evenly in logarithms while the range spans several powers of two, else
+evenly in value: one pass parts the powers of two, after that at most 52
+bits are left. The least and the greatest value of a range always fall into
+different buckets, so every pass shrinks every open range and no limit on
+passes is needed; two or three are usual.
 
 Only histograms (bounded by ``bins`` rows per rank) reach the driver. A
 value repeated in a third of all rows is one histogram row, not a hot task.
 
-``approx_quantile_columns`` keeps the quantile inside the plan instead:
-``percentile_approx`` aggregates to one row that later filters read as a
-scalar subquery (lazy, no driver round trip, rank error <= n / accuracy);
-its final step merges one sketch per map task in a single task.
-``sketch_quantile_columns`` is the same idea with mergeable KLL sketches
-combined as a two-level tree, so that last step stays small however many
-map tasks there are.
+``sketch_quantile_columns`` keeps the quantile inside the plan instead:
+mergeable KLL sketches, combined as a two-level tree, give one row that later
+filters read as a scalar subquery (lazy, no driver round trip); the last step
+stays small however many map tasks there are.
 """
 
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, NumericType
 
 from brightwash.session import scratch_dir
 
 
-# Relative error of the distinct estimate of the whole column (one
-# HyperLogLog++ per task in the first pass); it only decides whether the
-# column is grouped by value right away, never the result.
-DISTINCT_RSD = 0.05
-
-
 def target_rank(q: float, n: int) -> int:
     """1-based rank of the q-quantile among n values, in exact arithmetic."""
     if not 0.0 <= q <= 1.0:
@@ -85,18 +80,17 @@ class RankSelector:
         self,
         df: DataFrame,
         column: str,
-        bins: int = 1024,
-        exact_rows: int = 1024,
-        max_passes: int = 64,
+        bins: int = 4096,
         materialize: bool = False,
     ):
+        if bins < 2:
+            raise ValueError("a range needs at least two buckets")
         values = _values(df, column)
         self._materialized = None
         stats_cols = [
             F.count(F.lit(1)).alias("n"),
             F.min("v").alias("lo"),
             F.max("v").alias("hi"),
-            F.approx_count_distinct("v", DISTINCT_RSD).alias("nd"),
         ]
         if materialize:
             # count / min / max are observed while writing: no extra pass
@@ -109,11 +103,12 @@ class RankSelector:
         else:
             stats = values.agg(*stats_cols).first()
         self.values = values
-        self.bins, self.exact_rows, self.max_passes = bins, exact_rows, max_passes
+        self.bins = bins
+        self.type = values.schema["v"].dataType
         self.n = int(stats["n"])
-        # a range: (lo, hi, values below lo, values in range, ~distinct values)
-        self.root = (stats["lo"], stats["hi"], 0, self.n, int(stats["nd"]))
-        # range -> sorted buckets [(n, lo, hi, distinct bound)]; value -> (count below, count equal)
+        # a range: (lo, hi, values below lo, values in range)
+        self.root = (stats["lo"], stats["hi"], 0, self.n)
+        # range -> sorted buckets [(n, lo, hi)]; value -> (count below, count equal)
         self._hist: dict[tuple, list[tuple]] = {}
         self._found: dict[object, tuple[int, int]] = {}
         self.passes = 0
@@ -138,7 +133,7 @@ class RankSelector:
         """
         state = self.root
         while True:
-            lo, hi, below, cnt, _ = state
+            lo, hi, below, cnt = state
             if lo == hi:
                 self._found.setdefault(lo, (below, cnt))
                 return "found", lo
@@ -146,40 +141,64 @@ class RankSelector:
             if buckets is None:
                 return "open", state
             seen = below
-            for bn, blo, bhi, bnd in buckets:
+            for bn, blo, bhi in buckets:
                 if seen + bn >= r:
-                    state = (blo, bhi, seen, bn, bnd)
+                    if (blo, bhi) == (lo, hi):  # pragma: no cover - lo and hi have buckets of their own
+                        raise RuntimeError("a pass did not shrink its range")
+                    state = (blo, bhi, seen, bn)
                     break
                 seen += bn
             else:  # pragma: no cover - counts always cover the rank
                 raise RuntimeError("rank not covered by histogram")
 
-    def _bucket(self, v: Column, lo, hi, exact: bool) -> Column:
-        """Histogram key of ``v`` within ``[lo, hi]``, monotone in ``v``.
-
-        Exact mode keys by value. Otherwise ``bins`` equal-width buckets are
-        computed on halved values, so finite extremes (e.g. +-1e308) cannot
-        overflow the width; infinite endpoints are split off first.
-        """
-        x = v.cast("double")
-        lo_f, hi_f = float(lo), float(hi)
-        half_width = hi_f / 2 - lo_f / 2
-        if exact or half_width == 0.0:
-            return x
-        if math.isinf(lo_f) or math.isinf(hi_f):
-            return F.when(x == lo_f, F.lit(0.0)).when(x == hi_f, F.lit(2.0)).otherwise(F.lit(1.0))
-        scaled = F.floor((x / 2 - lo_f / 2) / half_width * self.bins)
-        return F.least(scaled, F.lit(self.bins - 1)).cast("double")
+    def _bucket(self, lo, hi) -> Column:
+        """Bucket of ``v`` within ``[lo, hi]``: monotone in ``v``, and different
+        for ``lo`` and ``hi``."""
+        v = F.col("v")
+        if isinstance(self.type, (DoubleType, FloatType)):
+            return self._float_bucket(v.cast("double"), float(lo), float(hi))
+        if isinstance(self.type, DecimalType):
+            scale = self.type.scale
+            steps = int((hi - lo).scaleb(scale))
+            width = -(-(steps + 1) // self.bins)
+            as_decimal = lambda x, p: f"cast('{x}' as decimal({p},{scale}))"
+            unit = Decimal(width).scaleb(-scale)
+            return F.expr(f"(v - {as_decimal(lo, self.type.precision)}) div {as_decimal(unit, 38)}").cast("double")
+        width = -(-(hi - lo + 1) // self.bins)  # Python integers: exact beyond 2**53
+        return F.expr(f"(cast(v as decimal(20,0)) - cast('{lo}' as decimal(20,0))) div cast('{width}' as decimal(20,0))").cast("double")
+
+    def _float_bucket(self, x: Column, lo: float, hi: float) -> Column:
+        if math.isinf(lo) or math.isinf(hi):  # infinite ends are split off first
+            return F.when(x == lo, F.lit(0.0)).when(x == hi, F.lit(2.0)).otherwise(F.lit(1.0))
+        small, large = sorted((abs(lo), abs(hi)))
+        if lo * hi > 0 and large > 4 * small:
+            # one sign: even in logarithms (the logarithm is monotone)
+            place = F.log(F.abs(x)) if lo > 0 else -F.log(F.abs(x))
+            ends = sorted((math.log(small), math.log(large)) if lo > 0 else (-math.log(small), -math.log(large)))
+        elif lo * hi <= 0 and large > 1e-300:
+            # around zero: logarithms to both sides, scaled so that zero's own
+            # bucket is 2**1000 times smaller than the range
+            factor = 2.0 ** min(1000 - math.frexp(large)[1], 1023)
+            place = F.signum(x) * F.log1p(F.abs(x) * factor)
+            ends = [math.copysign(math.log1p(abs(e) * factor), e) for e in (lo, hi)]
+        else:
+            # halved, so that finite extremes cannot overflow the width
+            place, ends = x / 2, [lo / 2, hi / 2]
+        width = ends[1] - ends[0]
+        if width <= 0.0:  # a few units in the last place
+            return F.when(x == lo, F.lit(0.0)).when(x == hi, F.lit(2.0)).otherwise(F.lit(1.0))
+        inner = F.floor((place - ends[0]) / width * self.bins)
+        inner = F.greatest(F.lit(0), F.least(inner, F.lit(self.bins - 1))).cast("double")
+        # the ends keep buckets of their own whatever the rounding between
+        return F.when(x == lo, F.lit(-1.0)).when(x == hi, F.lit(float(self.bins))).otherwise(inner)
 
     def _scan(self, ranges: list[tuple]) -> None:
         """One aggregation pass building the histogram of each open range."""
         v = F.col("v")
         range_id = key = None
-        for i, (lo, hi, _, cnt, distinct) in enumerate(ranges):
+        for i, (lo, hi, _, _) in enumerate(ranges):
             inside = v.between(F.lit(lo), F.lit(hi))
-            # Exact mode groups by value: its size is the number of distinct
-            # values, which can be small even when the range holds many rows.
-            k = self._bucket(v, lo, hi, exact=cnt <= self.exact_rows or distinct <= self.exact_rows)
+            k = self._bucket(lo, hi)
             range_id = F.when(inside, F.lit(i)) if range_id is None else range_id.when(inside, F.lit(i))
             key = F.when(inside, k) if key is None else key.when(inside, k)
         rows = (
@@ -191,8 +210,7 @@ class RankSelector:
         )
         for i, state in enumerate(ranges):
             mine = sorted((row["k"], int(row["n"]), row["lo"], row["hi"]) for row in rows if row["rid"] == i)
-            # a bucket's row count bounds its distinct values
-            self._hist[state] = [(bn, blo, bhi, bn) for _, bn, blo, bhi in mine]
+            self._hist[state] = [(bn, blo, bhi) for _, bn, blo, bhi in mine]
 
     def select(self, ranks: list[int], speculate=None) -> list:
         """Values at the 1-based ``ranks`` (each in ``1..n``).
@@ -204,7 +222,7 @@ class RankSelector:
         for r in ranks:
             if not 1 <= r <= self.n:
                 raise ValueError(f"rank {r} outside 1..{self.n}")
-        for _ in range(self.max_passes):
+        while True:  # every pass shrinks every open range
             walks = [self._descend(r) for r in ranks]
             # Ranges of one pass are leaves of one tree level or of disjoint
             # subtrees, so they never overlap and a row belongs to at most one.
@@ -218,7 +236,6 @@ class RankSelector:
                         open_ranges.add(state)
             self._scan(sorted(open_ranges))
             self.passes += 1
-        raise RuntimeError(f"quantile refinement did not converge in {self.max_passes} passes")
 
     def _rank_bounds(self, r: int) -> tuple[int, int, int, int]:
         """Known bounds of ``count(< x)`` and ``count(<= x)`` for the value x
@@ -227,7 +244,7 @@ class RankSelector:
         if kind == "found":
             below, equal = self._found[state]
             return below, below, below + equal, below + equal
-        _, _, below, cnt, _ = state
+        _, _, below, cnt = state
         return below, below + cnt - 1, below + 1, below + cnt
 
     def trimmed(self, probs, low_q: float, high_q: float, fill_q: float) -> tuple[list, object]:
@@ -284,34 +301,17 @@ def exact_quantiles(
     df: DataFrame,
     column: str,
     probs: list[float] | tuple[float, ...],
-    bins: int = 1024,
-    exact_rows: int = 1024,
+    bins: int = 4096,
     materialize: bool = False,
 ) -> list:
     """Exact quantiles (see module doc). NULL and NaN are ignored;
     an empty column gives ``None`` for every quantile."""
-    selector = RankSelector(df, column, bins, exact_rows, materialize=materialize)
+    selector = RankSelector(df, column, bins, materialize=materialize)
     values = selector.quantiles(probs)
     selector.release()
     return values
 
 
-def approx_quantile_row(
-    df: DataFrame,
-    column: str,
-    probs: list[float] | tuple[float, ...],
-    accuracy: int = 10000,
-    names: list[str] | None = None,
-) -> DataFrame:
-    """One row with ``percentile_approx`` of each quantile (NULL when empty)."""
-    names = names or [f"q{i}" for i in range(len(probs))]
-    v = F.col(column)
-    arr = F.percentile_approx(v, list(probs), accuracy)
-    return df.filter(v.isNotNull()).agg(arr.alias("qs")).select(
-        *[F.col("qs")[i].alias(name) for i, name in enumerate(names)]
-    )
-
-
 def sketch_quantile_row(
     df: DataFrame,
     column: str,
@@ -343,17 +343,6 @@ def sketch_quantile_row(
     )
 
 
-def approx_quantile_columns(
-    df: DataFrame,
-    column: str,
-    probs: list[float] | tuple[float, ...],
-    accuracy: int = 10000,
-) -> list[Column]:
-    """The quantiles as scalar-subquery columns, usable in later filters."""
-    row = approx_quantile_row(df, column, probs, accuracy)
-    return [row.select(name).scalar() for name in row.columns]
-
-
 def sketch_quantile_columns(
     df: DataFrame,
     column: str,
@@ -370,18 +359,18 @@ def quantile_values(
     column: str,
     probs: list[float] | tuple[float, ...],
     method: str = "exact",
-    accuracy: int = 10000,
+    accuracy: int = 4096,
     materialize: bool = False,
 ) -> list:
-    """Quantiles as literal columns (exact) or scalar subqueries (approx,
-    sketch); ``accuracy`` is the ``percentile_approx`` accuracy or the KLL k."""
+    """Quantiles as literal columns (exact) or scalar subqueries (sketch);
+    ``accuracy`` is the sketch's k (8 to 65535)."""
     if method == "exact":
         values = exact_quantiles(df, column, probs, materialize=materialize)
         return [F.lit(x).cast("double") for x in values]
-    if method == "approx":
-        return [c.cast("double") for c in approx_quantile_columns(df, column, probs, accuracy)]
     if method == "sketch":
-        return [c.cast("double") for c in sketch_quantile_columns(df, column, probs, min(accuracy, 65535))]
+        if not 8 <= accuracy <= 65535:
+            raise ValueError(f"a sketch takes k from 8 to 65535, not {accuracy}")
+        return [c.cast("double") for c in sketch_quantile_columns(df, column, probs, accuracy)]
     raise ValueError(f"unknown quantile method {method!r}")
 
 
@@ -391,10 +380,21 @@ def quantile_table(
     probs: list[float] | tuple[float, ...],
     names: list[str],
     method: str = "exact",
-    accuracy: int = 10000,
+    accuracy: int = 4096,
     materialize: bool = False,
 ) -> DataFrame:
-    """One row, one named column per quantile, plus ``n`` (non-NULL count)."""
-    cols = quantile_values(df, column, probs, method, accuracy, materialize)
+    """One row, one named column per quantile, plus ``n`` (values counted).
+
+    The exact method returns the numbers it has found, in the column's own
+    type; nothing is scanned again for the count.
+    """
+    if method == "exact":
+        selector = RankSelector(df, column, materialize=materialize)
+        values = selector.quantiles(probs)
+        selector.release()
+        kind = df.schema[column].dataType.simpleString()
+        schema = "n long, " + ", ".join(f"`{name}` {kind}" for name in names)
+        return df.sparkSession.createDataFrame([(selector.n, *values)], schema)
+    cols = quantile_values(df, column, probs, method, accuracy)
     base = df.agg(F.count(column).alias("n"))
     return base.select("n", *[c.alias(name) for c, name in zip(cols, names)])

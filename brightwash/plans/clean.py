@@ -23,7 +23,7 @@ class CleanListings:
     """The cleaned table plus the intermediate frames and derived values.
 
     ``percentiles`` maps each reported quantile to a column (a literal for
-    the exact method, a scalar subquery for the approximate ones), ``median``
+    the exact method, a scalar subquery for sketches), ``median``
     is the fill value, ``stages`` holds the lazy frame after each step.
     """
 
@@ -78,14 +78,14 @@ def clean_listings(
     aggregation passes over the parsed price column (``materialize=True``
     first writes that one column to the shared checkpoint folder, worth it
     when the source is expensive to recompute, e.g. CSV parsing or a join;
-    it is released once the values are known). The ``approx`` and ``sketch``
-    methods keep them in the plan as scalar subqueries (no job at call time).
+    it is released once the values are known). The ``sketch`` method keeps
+    them in the plan as scalar subqueries (no job at call time).
 
     ``observe=True`` attaches row counters to the stages (see
     :meth:`CleanListings.observed_accounting`): they are filled by the write
-    of the price column, which runs anyway. The counter on the raw input
-    keeps filters from being pushed into that scan, which reads every row to
-    count it in any case.
+    of the price column, which runs anyway and reads every row to count it.
+    ``data`` is built on a chain of its own without counters, so its filters
+    and columns are pushed into its scan.
     """
     if observe and not (params.quantile_method == "exact" and materialize):
         # the counters must be filled by the price-column write, whose last
@@ -94,27 +94,31 @@ def clean_listings(
     observations: dict[str, Observation] = {}
 
     def watch(df: DataFrame, name: str, *extra: Column) -> DataFrame:
-        if not observe:
-            return df
         obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
         observations[name] = obs
         return df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
 
     raw_nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(raw.columns)]
-    typed = convert_types(watch(raw, "raw", *raw_nulls), params.types)
-    filled = fill_constants(typed, params.fills)
-    located = watch(drop_missing(filled, params.required), "located")
-    boxed = filter_box(located, params.box)
-    priced = watch(
-        add_clean_price(boxed, params.price_col, "price_clean"),
-        "priced",
-        F.count_if(F.col("price_clean").isNull()).alias("null_prices"),
-    )
+    def chain(watch) -> dict[str, DataFrame]:
+        typed = convert_types(watch(raw, "raw", *raw_nulls), params.types)
+        filled = fill_constants(typed, params.fills)
+        located = watch(drop_missing(filled, params.required), "located")
+        boxed = filter_box(located, params.box)
+        priced = watch(
+            add_clean_price(boxed, params.price_col, "price_clean"),
+            "priced",
+            F.count_if(F.col("price_clean").isNull()).alias("null_prices"),
+        )
+        return {"typed": typed, "filled": filled, "located": located, "boxed": boxed, "priced": priced}
+
+    stages = chain(lambda df, name, *extra: df)
+    priced = stages["priced"]
+    counted = chain(watch)["priced"] if observe else priced
 
     low_q, high_q = params.trim
     probs = sorted(set(report_percentiles) | {low_q, high_q})
     if params.quantile_method == "exact":
-        selector = RankSelector(priced, "price_clean", materialize=materialize)
+        selector = RankSelector(counted, "price_clean", materialize=materialize)
         # The median of the kept rows is a rank among all values, refined in
         # the same passes as the trim bounds.
         values, fill_value = selector.trimmed(probs, low_q, high_q, params.fill_quantile)
@@ -134,14 +138,7 @@ def clean_listings(
     final = fill_price(trimmed, median, params.price_col, "price_clean")
     return CleanListings(
         data=final,
-        stages={
-            "typed": typed,
-            "filled": filled,
-            "located": located,
-            "boxed": boxed,
-            "priced": priced,
-            "trimmed": trimmed,
-        },
+        stages=stages | {"trimmed": trimmed},
         percentiles={q: by_q[q] for q in report_percentiles},
         median=median,
         observations=observations,

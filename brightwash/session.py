@@ -68,9 +68,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``, read from the session
-    (this also works for Spark Connect clients). Only when nothing is
-    configured (local runs, tests) a private temporary folder is created and
-    registered for the session.
+    (this also works for Spark Connect clients). When nothing is configured, a
+    local master gets a private temporary folder; any other raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -81,6 +80,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder that all executors share: "
+            "a temporary folder of the driver cannot hold intermediate tables on a cluster"
+        )
     global _LOCAL_ROOT
     if _LOCAL_ROOT is None:
         _LOCAL_ROOT = tempfile.mkdtemp(prefix="brightwash-ckpt-")

@@ -2,13 +2,13 @@
 
 from brightwash.sources.catalog import (
     load_or_build,
-    path_exists,
     read_parquet_if_present,
     register_views,
     table_exists,
 )
 from brightwash.sources.files import (
     assert_verified,
+    corrupt_rows,
     read_csv,
     read_parquet,
     table_fingerprint,
@@ -23,8 +23,8 @@ __all__ = [
     "SCHEMAS",
     "assert_verified",
     "load_or_build",
-    "path_exists",
     "read_parquet_if_present",
+    "corrupt_rows",
     "read_csv",
     "read_parquet",
     "register_views",

@@ -19,34 +19,20 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool | None:
-    """Whether ``path`` exists, asked of the session's Hadoop file system.
-
-    That file system is the one the cluster is configured for (HDFS, object
-    stores, local), which a driver-side ``os.path`` check would not see.
-    PySpark has no public call for it, so the JVM gateway is used; ``None``
-    means the question cannot be asked (e.g. Spark Connect).
-    """
-    try:
-        jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
-    except Exception:  # noqa: BLE001 - no JVM gateway in this client
-        return None
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hadoop_path.getFileSystem(jsc.hadoopConfiguration()).exists(hadoop_path))
-
-
 def read_parquet_if_present(spark: SparkSession, path: str | None) -> DataFrame | None:
-    """The Parquet table at ``path``, or ``None`` when there is none yet.
+    """The committed Parquet table at ``path``, or ``None`` when there is none.
 
-    Only a missing (or empty) location is treated as absent; any other error
-    surfaces.
+    A write that has finished leaves the marker ``_SUCCESS``; a folder without
+    it is a half-written table and counts as absent. The marker is looked up
+    with Spark's own reader, i.e. in the file system that the cluster is
+    configured for. Any error but a missing path surfaces.
     """
     if not path:
         return None
-    exists = path_exists(spark, path)
-    if exists is False:
-        return None
+    marker = path.rstrip("/") + "/_SUCCESS"
     try:
+        # the marker is empty: its row tells that it is there
+        spark.read.format("binaryFile").load(marker).select("length").first()
         return spark.read.parquet(path)
     except AnalysisException as exc:
         if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
@@ -58,7 +44,11 @@ def load_or_build(
     spark: SparkSession,
     parquet_path: str | None,
     build: Callable[[], DataFrame],
+    live_table: str | None = None,
 ) -> DataFrame:
-    """The stored clean table when it exists, otherwise the cleaning plan."""
+    """The live table or view when it exists, else the stored clean table, else
+    the cleaning plan."""
+    if live_table and table_exists(spark, live_table):
+        return spark.table(live_table)
     stored = read_parquet_if_present(spark, parquet_path)
     return stored if stored is not None else build()

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(
@@ -15,6 +15,7 @@ def read_csv(
     schema: StructType | None = None,
     multi_line: bool = False,
     null_value: str | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """CSV with a header row.
 
@@ -24,7 +25,10 @@ def read_csv(
     cannot be split), so turn it on only for tables with free text and keep
     such tables in many files. By default an empty field reads as NULL; with
     a ``null_value`` marker (e.g. ``\\N``) only the marker is NULL and a quoted
-    empty field stays an empty string.
+    empty field stays an empty string. With a ``schema`` and a
+    ``corrupt_column`` the text of a row that does not fit the schema is kept
+    in that column (see :func:`corrupt_rows`); without one its unreadable
+    fields are NULL.
     """
     reader = (
         spark.read.option("header", True)
@@ -34,6 +38,9 @@ def read_csv(
     )
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
+    if corrupt_column and schema is not None:
+        schema = StructType([*schema, StructField(corrupt_column, StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -41,6 +48,17 @@ def read_csv(
     return reader.csv(path)
 
 
+def corrupt_rows(df: DataFrame, corrupt_column: str) -> DataFrame:
+    """One row: rows read, and rows of them that did not fit the schema."""
+    # the hash of all columns makes the reader parse every field; both signs
+    # are counted, because a plain count would not need the hash
+    parsed = df.select(F.xxhash64(*[c for c in df.columns if c != corrupt_column]).alias("h"), corrupt_column)
+    return parsed.agg(
+        (F.count_if(F.col("h") < 0) + F.count_if(F.col("h") >= 0)).alias("rows"),
+        F.count_if(F.col(corrupt_column).isNotNull()).alias("corrupt_rows"),
+    )
+
+
 def write_csv(
     df: DataFrame, path: str, files: int | None = None, null_value: str | None = None
 ) -> None:
@@ -50,7 +68,14 @@ def write_csv(
     empty string when read back with the same marker.
     """
     out = df.repartition(files) if files else df
-    writer = out.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = (
+        out.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        # the writer would otherwise trim the values
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
     if null_value is not None:
         writer = writer.option("nullValue", null_value)
     writer.csv(path)
@@ -76,7 +101,14 @@ def write_parquet(
     filters on those columns prune whole folders. ``max_records_per_file``
     caps file size without a shuffle.
     """
-    out = df.repartition(files) if files else df
+    if files:
+        out = df.repartition(files)
+    elif partition_by:
+        # rows of a partition value meet before the write, so that a task does
+        # not open a file for every value; AQE splits values that are large
+        out = df.hint("rebalance", *partition_by)
+    else:
+        out = df
     writer = out.write.mode("overwrite").option("compression", "snappy")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -90,9 +122,11 @@ def _fingerprint_columns(df: DataFrame) -> list:
 
     ``sum`` of a 64-bit row hash (widened to decimal so it cannot overflow)
     differs when a row is lost, added or changed, and unlike ``bit_xor`` it
-    does not cancel duplicate rows.
+    does not cancel duplicate rows. The hash skips NULLs, so it also takes in
+    which columns are NULL.
     """
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
+    flags = [F.col(c).isNull() for c in df.columns]
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns], *flags).cast("decimal(38,0)")
     return [
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(row_hash), F.lit(0).cast("decimal(38,0)")).alias("checksum"),
@@ -127,6 +161,19 @@ def write_parquet_observed(
     return dict(obs.get)
 
 
+def _read_back(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table at ``path``. Folder names hold partition values as text, which
+    a reader would guess types for ("01" would become 1): those columns get the
+    types of ``schema``; the files' own columns keep the types they have."""
+    found = spark.read.parquet(path)
+    one = found.select(F.input_file_name()).first()
+    folders = {part.partition("=")[0] for part in one[0].split("/") if "=" in part} if one else set()
+    told = {f.name: f for f in schema if f.name in folders}
+    if not told:
+        return found
+    return spark.read.schema(StructType([told.get(f.name, f) for f in found.schema])).parquet(path)
+
+
 def verify_written(
     spark: SparkSession,
     path: str,
@@ -144,7 +191,7 @@ def verify_written(
     ``content=False`` checks schema and row count only: the count needs no
     column data (Parquet row-group metadata), the checksum reads everything.
     """
-    written = spark.read.parquet(path)
+    written = _read_back(spark, path, schema)
     names = [f.name for f in schema]
     have = {f.name: f.dataType for f in written.schema}
     schema_ok = set(have) == set(names) and all(have[f.name] == f.dataType for f in schema)

@@ -44,11 +44,13 @@ def main(argv: list[str], spark=None) -> None:
     ap.add_argument("--format", choices=["csv", "parquet"], default="csv")
     ap.add_argument("--files", help="exact file counts, e.g. listings=1,reviews=4")
     ap.add_argument("--verify", choices=["checksum", "count", "none"], default="checksum")
+    ap.add_argument("--scratch", help="folder that all executors share, unless spark.checkpoint.dir is set")
     ap.add_argument("--master", help="only for local runs, e.g. local[8]")
     args = ap.parse_args(argv)
 
     owned = spark is None
-    spark = spark or build_session(args.master, app_name="brightwash-etl")
+    extra = {"spark.checkpoint.dir": args.scratch} if args.scratch else {}
+    spark = spark or build_session(args.master, app_name="brightwash-etl", extra=extra)
     if args.format == "csv":
         listings = read_csv(spark, args.listings, schema=LISTINGS_RAW, multi_line=True)
         neighbourhoods = read_csv(spark, args.neighbourhoods, schema=NEIGHBOURHOODS)

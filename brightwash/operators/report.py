@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightwash.config import TOP_NULLS_K
@@ -13,6 +13,11 @@ def _count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
+def pct_reduction(initial: Column, final: Column) -> Column:
+    """``(1 - final / initial) * 100`` rounded to 2 digits, 0 of nothing."""
+    return F.when(initial == 0, F.lit(0.0)).otherwise(F.round((F.lit(1.0) - final / initial) * 100, 2))
+
+
 def reduction_table(datasets: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
     """``(dataset, initial, final, pct_reduction)`` per (name, raw, clean).
 
@@ -28,9 +33,7 @@ def reduction_table(datasets: list[tuple[str, DataFrame, DataFrame]]) -> DataFra
                 F.lit(name).alias("dataset"),
                 F.col("n").alias("initial"),
                 final.alias("final"),
-                F.when(F.col("n") == 0, F.lit(0.0))
-                .otherwise(F.round((F.lit(1.0) - final / F.col("n")) * 100, 2))
-                .alias("pct_reduction"),
+                pct_reduction(F.col("n"), final).alias("pct_reduction"),
             )
         )
     out = parts[0]

@@ -53,8 +53,7 @@ class EtlRun:
         for name in ("listings", "neighbourhoods", "reviews"):
             initial = self.raw_profile[name]["rows"]
             final = self.clean_profile[name]["rows"]
-            pct = round((1 - final / initial) * 100, 2) if initial else 0.0
-            reduction.append((name, initial, final, pct))
+            reduction.append((name, initial, final))
         raw_nulls = self.raw_profile["listings"]["nulls"]
         final_nulls = self.clean_profile["listings"]["nulls"]
         ranked = sorted(raw_nulls.items(), key=lambda kv: (-kv[1], kv[0]))[:top_k]
@@ -63,8 +62,8 @@ class EtlRun:
         dups = [("raw", raw_rev, clean_rev, raw_rev - clean_rev), ("clean", clean_rev, clean_rev, 0)]
         return {
             "reduction": spark.createDataFrame(
-                reduction, "dataset string, initial long, final long, pct_reduction double"
-            ),
+                reduction, "dataset string, initial long, final long"
+            ).withColumn("pct_reduction", report.pct_reduction(F.col("initial"), F.col("final"))),
             "top_nulls": spark.createDataFrame(
                 top, "column_name string, nulls_raw long, nulls_final long"
             ),

@@ -40,7 +40,7 @@ def new_reviews(batch: DataFrame, stored: DataFrame | None, date_col: str = "dat
     fresh = batch.dropDuplicates()
     if stored is None:
         return fresh
-    bounds = fresh.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
+    bounds = batch.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
     # Stored rows that can match: same date range, or a NULL date.
     relevant = F.col(date_col).isNull()
     if bounds["lo"] is not None:

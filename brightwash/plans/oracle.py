@@ -19,20 +19,31 @@ from brightwash.config import (
 RAW = r"""
 raw AS (
   SELECT o.o_orderkey AS id,
-         CASE WHEN o.o_orderkey % 113 = 0 THEN NULL ELSE 'Order ' || CAST(o.o_orderkey AS VARCHAR) END AS name,
+         CASE WHEN o.o_orderkey % 113 = 0 THEN NULL
+              WHEN o.o_orderkey % 127 = 0 THEN 'Order ' || CAST(o.o_orderkey AS VARCHAR) || ',' || chr(10) || '"the second line"'
+              WHEN o.o_orderkey % 131 = 0 THEN '  Order ' || CAST(o.o_orderkey AS VARCHAR) || ' '
+              ELSE 'Order ' || CAST(o.o_orderkey AS VARCHAR) END AS name,
          c.c_custkey AS host_id,
          CASE WHEN o.o_orderkey % 97 = 0 THEN NULL ELSE c.c_name END AS host_name,
          CASE WHEN n.n_regionkey = 0 THEN NULL ELSE r.r_name END AS neighbourhood_group,
-         n.n_name AS neighbourhood,
+         CASE WHEN o.o_orderkey % 139 = 0 THEN NULL
+              WHEN o.o_orderkey % 149 = 0 THEN 'Unlisted ' || n.n_name
+              ELSE n.n_name END AS neighbourhood,
          CASE WHEN o.o_orderkey % 89 = 0 THEN NULL ELSE -33.9e0 + (o.o_orderkey % 1000) / 1000e0 END AS latitude,
          CASE WHEN o.o_orderkey % 83 = 0 THEN NULL ELSE -71.0e0 + (c.c_custkey % 1000) / 1000e0 END AS longitude,
-         o.o_orderpriority AS room_type,
+         CASE WHEN o.o_orderkey % 137 = 0 THEN NULL ELSE o.o_orderpriority END AS room_type,
          CASE WHEN o.o_orderkey % 7 = 0 THEN NULL
               WHEN o.o_orderkey % 101 = 0 THEN 'NULL'
               WHEN o.o_orderkey % 103 = 0 THEN ''
               WHEN o.o_orderkey % 107 = 0 THEN 'n/a'
               WHEN o.o_orderkey % 109 = 0 THEN '.75'
-              ELSE '$' || CAST(CAST(FLOOR(o.o_totalprice / 3) AS BIGINT) AS VARCHAR) || '.50' END AS price,
+              WHEN o.o_orderkey % 151 = 0 THEN '1.2.3'
+              ELSE (CASE WHEN o.o_orderkey % 13 = 1 THEN '-$' ELSE '$' END)
+                   || (CASE WHEN o.o_orderkey % 11 = 1 AND FLOOR(o.o_totalprice / 3) >= 1000
+                            THEN CAST(CAST(FLOOR(o.o_totalprice / 3) AS BIGINT) // 1000 AS VARCHAR) || ','
+                                 || lpad(CAST(CAST(FLOOR(o.o_totalprice / 3) AS BIGINT) % 1000 AS VARCHAR), 3, '0')
+                            ELSE CAST(CAST(FLOOR(o.o_totalprice / 3) AS BIGINT) AS VARCHAR) END)
+                   || '.50' END AS price,
          CASE WHEN o.o_orderkey % 61 = 0 THEN ''
               WHEN o.o_orderkey % 67 = 0 THEN '3.7'
               WHEN o.o_orderkey % 71 = 0 THEN 'x'
@@ -157,12 +168,15 @@ def with_listings(upto: str, body: str, extra: str = "") -> str:
 
 NEIGHBOURHOODS = r"""
 neighbourhoods_raw AS (
-  SELECT CAST(NULL AS VARCHAR) AS neighbourhood_group, n_name AS neighbourhood FROM nation
+  SELECT CASE WHEN n_regionkey = 0 THEN NULL ELSE r_name END AS neighbourhood_group, n_name AS neighbourhood
+  FROM nation JOIN region ON n_regionkey = r_regionkey
 )"""
 
 REVIEWS = r"""
 reviews_raw AS (
-  SELECT l_partkey AS listing_id, CAST(l_shipdate AS DATE) AS date FROM lineitem
+  SELECT CASE WHEN l_orderkey % 163 = 0 THEN NULL ELSE l_partkey END AS listing_id,
+         CASE WHEN l_orderkey % 157 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS date
+  FROM lineitem
 )"""
 
 LISTING_COLUMNS_SQL = (
@@ -220,12 +234,12 @@ def oracle_queries() -> dict[str, str]:
     )
     q["fill_dimension"] = with_listings(
         "raw",
-        "SELECT DISTINCT COALESCE(CAST(NULL AS VARCHAR), 'Grupo_No_Especificado') AS neighbourhood_group, "
-        "neighbourhood FROM raw",
+        "SELECT COALESCE(neighbourhood_group, 'Grupo_No_Especificado') AS neighbourhood_group, "
+        "neighbourhood FROM (SELECT DISTINCT neighbourhood_group, neighbourhood FROM raw)",
     )
     q["null_group_rows"] = with_listings(
         "raw",
-        "SELECT DISTINCT CAST(NULL AS VARCHAR) AS neighbourhood_group, neighbourhood FROM raw",
+        "SELECT DISTINCT neighbourhood_group, neighbourhood FROM raw WHERE neighbourhood_group IS NULL",
     )
     q["drop_missing_coords"] = with_listings("located", "SELECT id, latitude, longitude FROM located")
     q["geo_stats"] = with_listings(
@@ -291,7 +305,8 @@ UNION ALL
 SELECT 'neighbourhoods', COUNT(*), COUNT(*), 2, TRUE, TRUE FROM nation
 UNION ALL
 SELECT 'reviews', COUNT(*), COUNT(*), 2, TRUE, TRUE
-FROM (SELECT DISTINCT l_partkey, CAST(l_shipdate AS DATE) FROM lineitem)""",
+FROM (SELECT DISTINCT listing_id, date FROM reviews_raw)""",
+        extra=REVIEWS,
     )
     q["etl_observed_accounting"] = q["step_accounting"]
     q["dedup_reviews"] = f"WITH {REVIEWS.strip()} SELECT DISTINCT listing_id, date FROM reviews_raw"
@@ -302,7 +317,9 @@ SELECT COUNT(*) AS rows,
        COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT listing_id, date FROM reviews_raw)) AS duplicates
 FROM reviews_raw"""
     q["dedup_by_key"] = """
-SELECT l_partkey AS listing_id, CAST(l_shipdate AS DATE) AS date, MIN(l_orderkey) AS l_orderkey
+SELECT CASE WHEN l_orderkey % 163 = 0 THEN NULL ELSE l_partkey END AS listing_id,
+       CASE WHEN l_orderkey % 157 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS date,
+       MIN(l_orderkey) AS l_orderkey
 FROM lineitem GROUP BY 1, 2"""
     q["null_profile"] = with_listings("raw", _null_profile("raw", RAW_COLUMNS))
     q["raw_null_profiles"] = with_listings(
@@ -387,9 +404,10 @@ UNION ALL
 SELECT 'neighbourhoods', (SELECT COUNT(*) FROM nation), (SELECT COUNT(*) FROM nation), 0e0
 UNION ALL
 SELECT 'reviews', (SELECT COUNT(*) FROM lineitem),
-       (SELECT COUNT(*) FROM (SELECT DISTINCT l_partkey, CAST(l_shipdate AS DATE) FROM lineitem)),
-       ROUND((1 - (SELECT COUNT(*) FROM (SELECT DISTINCT l_partkey, CAST(l_shipdate AS DATE) FROM lineitem))
+       (SELECT COUNT(*) FROM (SELECT DISTINCT listing_id, date FROM reviews_raw)),
+       ROUND((1 - (SELECT COUNT(*) FROM (SELECT DISTINCT listing_id, date FROM reviews_raw))
                   / (SELECT COUNT(*) FROM lineitem)) * 100, 2)""",
+        extra=REVIEWS,
     )
     q["top_nulls"] = with_listings(
         "final",
@@ -408,8 +426,8 @@ UNION ALL
 SELECT 'clean', COUNT(*), COUNT(*), 0 FROM (SELECT DISTINCT listing_id, date FROM reviews_raw)"""
     q["ref_integrity"] = with_listings(
         "final",
-        "SELECT id, neighbourhood FROM final WHERE neighbourhood NOT IN "
-        "(SELECT n_name FROM nation WHERE n_nationkey < 20)",
+        "SELECT id, neighbourhood FROM final "
+        "WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_name = final.neighbourhood)",
     )
     q["reviews_per_month"] = f"""WITH {REVIEWS.strip()}
 SELECT CAST(date_trunc('month', date) AS DATE) AS month, COUNT(*) AS reviews

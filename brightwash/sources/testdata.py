@@ -6,10 +6,10 @@ keys. The same formulas are written in SQL for the independent oracle, so
 both engines start from identical rows.
 
 listings      = orders JOIN customer JOIN nation JOIN region
-neighbourhoods = nation, with an all-NULL group column (or, for queries
-                on the dimension alone, the neighbourhoods seen in the listings)
+neighbourhoods = nation JOIN region, the group NULL for some regions (or, for
+                queries on the dimension alone, as seen in the listings)
 reviews       = lineitem projected to (listing_id, date), which carries
-                natural full-row duplicates
+                natural full-row duplicates, with NULLs in either column
 """
 
 from __future__ import annotations
@@ -65,20 +65,35 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = orders.join(hosts, orders.o_custkey == hosts.c_custkey)
 
     k, c = F.col("o_orderkey"), F.col("c_custkey")
+    amount = F.floor(F.col("o_totalprice") / 3).cast("bigint")
+    # some with a thousands comma
+    whole = F.when(
+        (k % 11 == 1) & (amount >= 1000),
+        F.concat((amount / 1000).cast("bigint").cast("string"), F.lit(","), F.lpad((amount % 1000).cast("string"), 3, "0")),
+    ).otherwise(amount.cast("string"))
     price = (
         F.when(k % 7 == 0, F.lit(None))
         .when(k % 101 == 0, F.lit("NULL"))
         .when(k % 103 == 0, F.lit(""))
         .when(k % 107 == 0, F.lit("n/a"))
         .when(k % 109 == 0, F.lit(".75"))
+        .when(k % 151 == 0, F.lit("1.2.3"))
         .otherwise(
-            F.concat(
-                F.lit("$"),
-                F.floor(F.col("o_totalprice") / 3).cast("bigint").cast("string"),
-                F.lit(".50"),
-            )
+            F.concat(F.when(k % 13 == 1, "-").otherwise(""), F.lit("$"), whole, F.lit(".50"))
         )
     )
+    name = F.concat(F.lit("Order "), k.cast("string"))
+    name = (
+        F.when(k % 113 == 0, F.lit(None))
+        .when(k % 127 == 0, F.concat(name, F.lit(',\n"the second line"')))
+        .when(k % 131 == 0, F.concat(F.lit("  "), name, F.lit(" ")))
+        .otherwise(name)
+    )
+    neighbourhood = (
+        F.when(k % 139 == 0, F.lit(None))
+        .when(k % 149 == 0, F.concat(F.lit("Unlisted "), F.col("n_name")))
+        .otherwise(F.col("n_name"))
+    )
     minimum_nights = (
         F.when(k % 61 == 0, F.lit(""))
         .when(k % 67 == 0, F.lit("3.7"))
@@ -87,14 +102,14 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return joined.select(
         k.alias("id"),
-        _null_when(k % 113 == 0, F.concat(F.lit("Order "), k.cast("string"))).alias("name"),
+        name.alias("name"),
         c.alias("host_id"),
         _null_when(k % 97 == 0, F.col("c_name")).alias("host_name"),
         _null_when(F.col("n_regionkey") == 0, F.col("r_name")).alias("neighbourhood_group"),
-        F.col("n_name").alias("neighbourhood"),
+        neighbourhood.alias("neighbourhood"),
         _null_when(k % 89 == 0, F.lit(-33.9) + (k % 1000) / F.lit(1000.0)).alias("latitude"),
         _null_when(k % 83 == 0, F.lit(-71.0) + (c % 1000) / F.lit(1000.0)).alias("longitude"),
-        F.col("o_orderpriority").alias("room_type"),
+        _null_when(k % 137 == 0, F.col("o_orderpriority")).alias("room_type"),
         price.alias("price"),
         minimum_nights.alias("minimum_nights"),
         (k % 200).alias("number_of_reviews"),
@@ -107,35 +122,27 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def neighbourhoods_raw(
-    spark: SparkSession, sf_dir: str, max_nationkey: int | None = None
-) -> DataFrame:
-    """Nation as a neighbourhood dimension whose group column is all NULL."""
+def neighbourhoods_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as a neighbourhood dimension; the group is NULL for region 0."""
     nation = table(spark, sf_dir, "nation")
-    if max_nationkey is not None:
-        nation = nation.filter(F.col("n_nationkey") < max_nationkey)
-    return nation.select(
-        F.lit(None).cast("string").alias("neighbourhood_group"),
+    region = table(spark, sf_dir, "region")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        _null_when(F.col("n_regionkey") == 0, F.col("r_name")).alias("neighbourhood_group"),
         F.col("n_name").alias("neighbourhood"),
     )
 
 
 def neighbourhoods_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The neighbourhood dimension as it appears in the listings: one row per
-    distinct neighbourhood, group unset (a scan of the listings, so the work
-    grows with the data while the result stays dimension-sized)."""
-    return (
-        listings_raw(spark, sf_dir)
-        .select(F.lit(None).cast("string").alias("neighbourhood_group"), "neighbourhood")
-        .distinct()
-    )
+    distinct group and neighbourhood, either of which may be NULL."""
+    return listings_raw(spark, sf_dir).select("neighbourhood_group", "neighbourhood").distinct()
 
 
 def reviews_raw(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataFrame:
     """(listing_id, date) per line item; ``with_order`` adds the order key."""
     cols = [
-        F.col("l_partkey").alias("listing_id"),
-        F.col("l_shipdate").cast("date").alias("date"),
+        _null_when(F.col("l_orderkey") % 163 == 0, F.col("l_partkey")).alias("listing_id"),
+        _null_when(F.col("l_orderkey") % 157 == 0, F.col("l_shipdate").cast("date")).alias("date"),
     ]
     if with_order:
         cols.append(F.col("l_orderkey"))

@@ -36,4 +36,4 @@ def test_run_etl_script_from_csv(spark, capsys):
     out = capsys.readouterr().out
     assert "price_median_fill" in out and "reduction" in out
     assert spark.read.parquet(f"{folder}/out/listings_clean.parquet").count() == 369
-    assert spark.read.parquet(f"{folder}/out/reviews_clean.parquet").count() == 6000 - 33
+    assert spark.read.parquet(f"{folder}/out/reviews_clean.parquet").count() == 6000 - 36

@@ -41,6 +41,20 @@ def test_cleaning_is_one_stage_with_pushed_box_filters(typed_source):
         assert bound in pushed
 
 
+def test_counters_do_not_reach_the_final_scan(typed_source):
+    text = plan_text(clean_listings(typed_source, observe=True).data)
+    assert "CollectMetrics" not in text and "Exchange" not in text
+    pushed = next(line for line in text.splitlines() if line.startswith("PushedFilters"))
+    assert "GreaterThanOrEqual(latitude,-33.8)" in pushed and "IsNotNull(longitude)" in pushed
+
+
+def test_dimension_queries_run_their_operator(spark):
+    from brightwash.plans.queries import QUERIES
+
+    assert "isnull(" in plan_text(QUERIES["null_group_rows"](spark, SF001)).lower()
+    assert "coalesce(" in plan_text(QUERIES["fill_dimension"](spark, SF001)).lower()
+
+
 def test_analytics_read_only_needed_columns_and_aggregate_map_side(typed_source):
     text = plan_text(analytics.top_expensive(clean_listings(typed_source).data))
     schema = next(line for line in text.splitlines() if line.startswith("ReadSchema"))

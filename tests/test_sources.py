@@ -151,18 +151,88 @@ def test_count_only_verification(spark):
 
 def test_session_sizing_and_existence_checks(spark):
     from brightwash.session import checkpoint_root
-    from brightwash.sources import path_exists, read_parquet_if_present
+    from brightwash.sources import read_parquet_if_present
 
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     root = checkpoint_root(spark)
     assert root and checkpoint_root(spark) == root
     path = scratch_dir(spark, "exists")
-    assert path.startswith(root) and path_exists(spark, path) is False
+    assert path.startswith(root)
     assert read_parquet_if_present(spark, path) is None
     spark.range(2).write.parquet(path)
-    assert path_exists(spark, path) is True
     assert read_parquet_if_present(spark, path).count() == 2
+    # without the commit marker the folder is a half-written table
+    half = scratch_dir(spark, "half")
+    spark.range(2).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half)
+    assert read_parquet_if_present(spark, half) is None
+
+
+def test_live_table_comes_first(spark):
+    from brightwash.sources import load_or_build
+
+    path = scratch_dir(spark, "resolve")
+    build = lambda: spark.range(1)
+    assert load_or_build(spark, path, build, "no_such_view").count() == 1
+    spark.range(2).write.parquet(path)
+    assert load_or_build(spark, path, build, "no_such_view").count() == 2
+    spark.range(3).createOrReplaceTempView("live_numbers")
+    assert load_or_build(spark, path, build, "live_numbers").count() == 3
+
+
+def test_scratch_folder_must_be_named_off_a_local_master(spark, monkeypatch):
+    from brightwash import session
+
+    class Cluster:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Cluster()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+
+
+def test_checksum_sees_moved_nulls(spark):
+    from brightwash.sources.files import table_fingerprint
+
+    a = spark.createDataFrame([(None, 1)], "a int, b int")
+    b = spark.createDataFrame([(1, None)], "a int, b int")
+    assert table_fingerprint(a).first().checksum != table_fingerprint(b).first().checksum
+
+
+def test_partition_values_that_look_like_numbers_verify(spark):
+    df = spark.createDataFrame([("01", 1), ("02", 2), ("02", 3)], "k string, v int")
+    path = scratch_dir(spark, "by-text")
+    done = write_parquet_observed(df, path, partition_by=("k",))
+    assert_verified(verify_written(spark, path, done, df.schema))
+
+
+def test_partitioned_write_makes_few_files(spark):
+    df = spark.range(4000).repartition(16).selectExpr("id", "cast(id % 5 as string) as k")
+    path = scratch_dir(spark, "few-files")
+    write_parquet(df, path, partition_by=("k",))
+    assert len(spark.read.parquet(path).inputFiles()) <= 10
+
+
+def test_csv_keeps_edge_spaces_and_tells_malformed_rows(spark):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    from brightwash.sources import corrupt_rows, read_csv, write_csv
+
+    path = scratch_dir(spark, "spaces")
+    rows = [(" a ",), ("b\t",), ('c\n"d", e',)]
+    write_csv(spark.createDataFrame(rows, "t string"), path)
+    text = StructType([StructField("t", StringType())])
+    assert sorted(tuple(r) for r in read_csv(spark, path, schema=text, multi_line=True).collect()) == sorted(rows)
+    write_csv(spark.createDataFrame([("1",), ("x",), ("3",)], "n string"), path)
+    typed = StructType([StructField("n", IntegerType())])
+    got = read_csv(spark, path, schema=typed, corrupt_column="_bad")
+    assert tuple(corrupt_rows(got, "_bad").first()) == (3, 1)
 
 
 def test_stream_dedup_with_a_hot_row_across_batches(spark):

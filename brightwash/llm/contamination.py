@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Shared, slices, small_batches, utf8_values
+from .common import Shared, slices, small_batches, utf8_values, written
 
 STEPS = 32  # of a walk over items of 64 bytes or more; shorter items walk half their bytes
 SAMPLED = 12  # positions of the walk that are hashed
@@ -42,6 +42,7 @@ DRAWS = 6
 AGREEMENT = 0.3  # share of equal steps; walks over unrelated prose have about 0.2
 LONG_WALK = 256  # steps of the walks that are compared
 BLOCK_BYTES = 1 << 18  # of item text in one broadcast
+BLOCKS_IN_A_STAGE = 4
 _FILTER_BITS = 22
 _Q = 4
 
@@ -313,8 +314,10 @@ def find_items(
     small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("matches", "__text")]
     out = docs.select(*[docs[c] for c in kept], F.lit(None).cast(_MATCH).alias("matches"))
-    for index in item_blocks(benchmark, item_id, item_text, similarity, recall):
+    for n, index in enumerate(item_blocks(benchmark, item_id, item_text, similarity, recall), 1):
         out = _with_block(out, kept, text_col, index)
+        if n % BLOCKS_IN_A_STAGE == 0:  # each block in a stage is a Python process of its task
+            out = written(out, "matched")
     return out.withColumn("matches", F.coalesce("matches", F.array().cast(_MATCH)))
 
 

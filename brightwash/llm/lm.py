@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -228,8 +229,9 @@ def _prior_weight(model: DataFrame, tokens_seen: int, once: int) -> float:
     return low
 
 
-def _pass(rows: DataFrame, model: DataFrame, first: int, last: int, ranges: int, subs: int, totals: dict) -> DataFrame:
-    """Score the words of the ranges first..last (bounded by the caller)."""
+def _pass(rows: DataFrame, model: DataFrame, first: int, last: int, ranges: int, subs: int, totals: dict) -> tuple[DataFrame, Broadcast]:
+    """Score the words of the ranges first..last (bounded by the caller); also
+    the broadcast part of the model."""
     table = model.filter(F.col("range").between(first, last)).drop("range").toArrow()
     words = np.frombuffer(b"".join(table.column("words").to_pylist()), np.uint64)
     counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int64)
@@ -282,7 +284,7 @@ def _pass(rows: DataFrame, model: DataFrame, first: int, last: int, ranges: int,
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *map(pa.array, columns)], names)
 
     names = ["id", "h", "n_tokens", "n_known", "base_score", "score"]
-    return rows.mapInArrow(score, "id long, h long, n_tokens long, n_known long, base_score double, score double")
+    return rows.mapInArrow(score, "id long, h long, n_tokens long, n_known long, base_score double, score double"), sent
 
 
 def score_texts(
@@ -325,11 +327,17 @@ def score_texts(
         used += r["bytes"]
     bounds.append(ranges)
     texts = rows.select("id", F.xxhash64("text").alias("h"), "text")
-    parts = [_pass(texts, model, a, b - 1, ranges, subs, totals) for a, b in zip(bounds, bounds[1:])]
+    parts = []
+    for first, after in zip(bounds, bounds[1:]):
+        scored, sent = _pass(texts, model, first, after - 1, ranges, subs, totals)
+        if len(bounds) > 2:  # one part of the model is out at a time
+            scored = written(scored, "pass")
+            sent.destroy()
+        parts.append(scored)
     out = parts[0]
     if len(parts) > 1:
         for p in parts[1:]:
-            out = out.union(written(p, "pass"))
+            out = out.union(p)
         out = out.groupBy("id", "h").agg(
             F.max("n_tokens").alias("n_tokens"),
             (F.count("*") / len(parts)).cast("int").alias("times"),

@@ -275,6 +275,10 @@ SELECT COUNT(*) AS rows,
 FROM priced""",
     )
     q["price_percentiles"] = with_listings("qs", "SELECT n, p1, p5, p95, p99 FROM qs")
+    q["bigint_percentiles"] = f"""
+SELECT COUNT(*) AS n, quantile_disc(k, 0.01) AS p1, quantile_disc(k, 0.05) AS p5,
+       quantile_disc(k, 0.95) AS p95, quantile_disc(k, 0.99) AS p99
+FROM (SELECT l_orderkey % 1000000 * 1000000000000 + l_partkey + {2**53} AS k FROM lineitem)"""
     q["price_trim"] = with_listings("trimmed", "SELECT id, price_clean FROM trimmed")
     q["price_median_fill"] = with_listings("final", "SELECT id, price FROM final")
     q["clean_listings_full"] = with_listings("final", f"SELECT {LISTING_COLUMNS_SQL} FROM final")

@@ -165,6 +165,13 @@ def q_price_percentiles(spark, sf_dir):
     )
 
 
+def q_bigint_percentiles(spark, sf_dir):
+    """Exact percentiles of 64-bit keys that doubles cannot tell apart."""
+    return quantiles.quantile_table(
+        testdata.line_keys(spark, sf_dir), "line_key", list(PRICE_PERCENTILES), ["p1", "p5", "p95", "p99"], materialize=True
+    )
+
+
 def q_price_trim(spark, sf_dir):
     return _clean(spark, sf_dir).stages["trimmed"].select("id", "price_clean")
 

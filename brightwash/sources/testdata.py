@@ -138,6 +138,14 @@ def neighbourhoods_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listings_raw(spark, sf_dir).select("neighbourhood_group", "neighbourhood").distinct()
 
 
+def line_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One 64-bit key per line item, above 2**53."""
+    order = F.pmod(F.col("l_orderkey"), F.lit(1_000_000))
+    return table(spark, sf_dir, "lineitem").select(
+        (order * 1_000_000_000_000 + F.col("l_partkey") + F.lit(2**53)).alias("line_key")
+    )
+
+
 def reviews_raw(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataFrame:
     """(listing_id, date) per line item; ``with_order`` adds the order key."""
     cols = [

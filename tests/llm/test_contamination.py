@@ -3,7 +3,7 @@ import random
 import pytest
 
 from brightwash.llm import contamination
-from conftest import CLASHING, edge_texts, prose
+from llm_fixtures import CLASHING, edge_texts, make_docs, prose, rng  # noqa: F401
 
 
 def distance(item: bytes, text: bytes) -> tuple[int, int]:

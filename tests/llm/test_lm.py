@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brightwash.llm import lm
-from conftest import CLASHING, edge_texts, prose
+from llm_fixtures import CLASHING, edge_texts, make_docs, prose, rng  # noqa: F401
 
 
 def words(text):

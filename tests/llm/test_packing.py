@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from brightwash.llm import packing
 from brightwash.llm.queries import WORD_TOKENIZER
-from conftest import CLASHING, edge_texts, prose
+from llm_fixtures import CLASHING, edge_texts, make_docs, prose, rng  # noqa: F401
 
 
 def optimum(items, room):

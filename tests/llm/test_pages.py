@@ -5,7 +5,7 @@ import pytest
 
 from brightwash.llm import pages
 from brightwash.llm.common import table
-from conftest import prose
+from llm_fixtures import prose, rng  # noqa: F401
 
 SF001 = "/root/testdata/sf0.001"
 

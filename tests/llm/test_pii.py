@@ -7,7 +7,7 @@ import pytest
 
 from brightwash.llm import pii
 from brightwash.llm.tagger import CharTagger
-from conftest import CLASHING, edge_texts, prose
+from llm_fixtures import CLASHING, edge_texts, make_docs, prose, rng  # noqa: F401
 
 # the patterns as the contract states them
 PATTERNS = [

@@ -9,7 +9,7 @@ import corpus_pipeline
 from brightwash.llm import pii, simhash
 from brightwash.llm.common import table, written
 from brightwash.llm.queries import QUERIES
-from conftest import prose
+from llm_fixtures import make_docs, prose, rng  # noqa: F401
 
 SF001 = "/root/testdata/sf0.001"
 

@@ -7,7 +7,7 @@ import xxhash
 from brightwash.llm import simhash
 from brightwash.llm.common import runs
 from brightwash.llm.components import components
-from conftest import CLASHING, edge_texts, prose
+from llm_fixtures import CLASHING, edge_texts, make_docs, prose, rng  # noqa: F401
 
 
 def brute_fingerprint(text, n=3):

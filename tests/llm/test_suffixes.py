@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from brightwash.llm import suffixes
-from conftest import CLASHING, edge_texts, prose
+from llm_fixtures import CLASHING, edge_texts, make_docs, prose, rng  # noqa: F401
 
 
 def brute(texts, length):

@@ -43,7 +43,7 @@ AGREEMENT = 0.3  # share of equal steps; walks over unrelated prose have about 0
 LONG_WALK = 256  # steps of the walks that are compared
 BLOCK_BYTES = 1 << 18  # of item text in one broadcast
 BLOCKS_IN_A_STAGE = 4
-_FILTER_BITS = 22
+_FILTER_BITS = 20
 _Q = 4
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -123,6 +123,7 @@ class ItemIndex:
         self.begin, self.end = begin[self.item], begin[self.item] + sizes[self.item]
         self.long_moves = self.random.integers(0, 2, (2, LONG_WALK, 256))
         self.tables: list[tuple] = []
+        self.bits: list[np.ndarray] = []
         edited = [self._edited(t) for t in self.texts[:100]]
         left = list(range(len(edited)))
         while len(self.tables) < MOST_REPEATS and (not self.tables or len(left) > (1 - recall) * len(edited)):
@@ -164,9 +165,19 @@ class ItemIndex:
                 best = distinct, moves, sampled, keys
         _, moves, sampled, keys = best
         order = np.argsort(keys, kind="stable")
-        bits = np.zeros(1 << _FILTER_BITS, bool)
-        bits[keys >> np.uint64(64 - _FILTER_BITS)] = True
-        self.tables.append((moves, sampled, keys[order], order.astype(np.int32), bits))
+        self.tables.append((moves, sampled, keys[order], order.astype(np.int32)))
+
+    def _bits(self, table: int) -> np.ndarray:
+        """Which upper parts of hashes a table holds; made where it is used, as
+        it would be most of what is broadcast."""
+        while len(self.bits) <= table:
+            bits = np.zeros(1 << _FILTER_BITS, bool)
+            bits[self.tables[len(self.bits)][2] >> np.uint64(64 - _FILTER_BITS)] = True
+            self.bits.append(bits)
+        return self.bits[table]
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"bits": []}
 
     @staticmethod
     def _keys(moves: np.ndarray, sampled: np.ndarray, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -187,9 +198,9 @@ class ItemIndex:
 
     def _lookup(self, table: int, data: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the text's and of the item's windows with equal hashes."""
-        moves, sampled, keys, order, bits = self.tables[table]
+        moves, sampled, keys, order = self.tables[table]
         own = self._keys(moves, sampled, data, windows)
-        some = np.flatnonzero(bits[own >> np.uint64(64 - _FILTER_BITS)])
+        some = np.flatnonzero(self._bits(table)[own >> np.uint64(64 - _FILTER_BITS)])
         low, high = np.searchsorted(keys, own[some], "left"), np.searchsorted(keys, own[some], "right")
         n = high - low
         at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())

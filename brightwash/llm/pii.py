@@ -30,6 +30,7 @@ from .tagger import PAD, CharTagger, encode
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 96, 48
 CONTEXT = 32  # characters around a digit or at sign that belong to its region
+LEAST_STEPS = 500  # of training
 CONFIDENCE = 0.8  # mean probability that an added span needs
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -266,7 +267,9 @@ def train(docs: DataFrame, text_col: str = "text", windows_per_kind: int = 300,
         return None
     examples += side_by_side(examples, len(examples))
     model = CharTagger(len(KINDS))
-    model.train(*_arrays(examples), epochs=epochs)
+    # few windows are gone through more often
+    batches = -(-len(examples) // 32)
+    model.train(*_arrays(examples), epochs=max(epochs, -(-LEAST_STEPS // batches)), batch=32)
     return model
 
 

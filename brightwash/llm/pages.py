@@ -7,9 +7,11 @@ by moving a threshold to the middle of the two means until it rests (Weninger,
 Hsu and Han's CETR). The lines above it say which region of the page is
 content: the articles that hold such lines, or without articles the main
 element, or else the smallest element that holds most of their text. Lines of
-menus, headers, footers, sidebars, notices, adverts, forms and comments, told
-by their element or its class, take no part; of the chosen region every other
-line is kept, short ones too.
+menus, headers, footers, sidebars, notices, adverts, forms and comments take
+no part; of the chosen region every other line is kept, short ones too. Such
+elements are told by their name, or by a class or id if the ratios agree: a
+class never takes out an article, nor an element that holds most of the
+content text, nor for a part of its name one that holds any.
 """
 
 from __future__ import annotations
@@ -29,24 +31,38 @@ from .common import slices, small_batches
 SMOOTHING = 1.0  # standard deviation of the Gaussian, in lines
 _REACH = 3
 _KERNEL = [math.exp(-(k**2) / (2 * SMOOTHING**2)) for k in range(-_REACH, _REACH + 1)]
+APART = 4  # factor between the ratios of content and of the rest
 REGION_SHARE = 0.8  # of the content lines' text that a region without article must hold
 
 # fixed values: elements of HTML by their role
 _HIDDEN = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "select", "textarea", "button"}
-_OUTSIDE = {"nav", "footer", "aside", "form", "menu", "dialog"}
+_OUTSIDE = {"nav", "footer", "aside", "menu", "dialog"}
 _BLOCKS = _OUTSIDE.union(
-    ("address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 "
+    ("address article blockquote body caption center dd details div dl dt fieldset figcaption figure form h1 h2 h3 h4 h5 h6 "
     "header hr html li main ol p pre section summary table tbody td tfoot th thead tr ul").split()
 )
 _CONTAINERS = {"root", "html", "body", "div", "section", "center", "table", "tbody", "tr", "td"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "source", "area", "base", "col", "embed", "track", "param"}
 _BREAKS = {"br", "img"}
 _CLOSED_BY_SIBLING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-_HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe|"
+_WORD = (
+    r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe|"
     r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|widget|footer|header|masthead|share|sharing|social|related|recommended|"
-    r"comments?|comment-list|disqus|replies|respond|login|signup|search)(?:$|[\s_-])"
+    r"comments?|disqus|replies|respond|login|signup|search)"
 )
+_HINT = re.compile(rf"(?:^|[\s_-]){_WORD}(?:$|[\s_-])")
+_TITLES = {"header", "masthead"}  # may hold the title of the text
+# name text of another kind, which may be longer than the main text
+_OTHER = re.compile(
+    r"ads?|advert\w*|adsense|sponsor\w*|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe|related|recommended|comments?|"
+    r"disqus|replies|respond"
+)
+# words that leave a hint beside them what it is; others ("no-sidebar", "comments-open") may tell of something else
+_PLACE = (
+    r"(?:area|article|block|bottom|box|container|entry|inner|left|list|main|page|post|primary|right|secondary|section|site|top|"
+    r"user|wrap|wrapper)"
+)
+_NAMED = re.compile(rf"(?:{_PLACE}[_-])*{_WORD}(?:[_-](?:{_WORD}|{_PLACE}))*")
 _ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"}
 
 
@@ -57,6 +73,7 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, tuple[int, ...], bool]] = []
         self.names: dict[int, str] = {0: "root"}
+        self.hinted: dict[int, str] = {}  # element -> weak, strong or other
         self.stack: list[tuple[str, int, bool, bool]] = [("root", 0, False, False)]  # name, number, outside, hidden
         self.parts: list[str] = []
         self.tags = self.linked = self.links = 0
@@ -69,9 +86,11 @@ class _Lines(HTMLParser):
         self.parts.clear()
         self.tags = self.linked = 0
 
-    def _push(self, name: str, outside: bool, hidden: bool) -> None:
+    def _push(self, name: str, outside: bool, hidden: bool, hint: str | None = None) -> None:
         number = len(self.names)
         self.names[number] = name
+        if hint:
+            self.hinted[number] = hint
         _, _, was_outside, was_hidden = self.stack[-1]
         self.stack.append((name, number, was_outside or outside, was_hidden or hidden))
 
@@ -85,9 +104,11 @@ class _Lines(HTMLParser):
                 self.links += 1
             elif name in _BREAKS:
                 self.parts.append(" ")
-            elif name not in _VOID and any(k in ("class", "id", "role") for k, _ in attrs) and self._is_outside(name, attrs):
-                self._end_line()
-                self._push(name, True, False)
+            elif name not in _VOID and any(k in ("class", "id", "role") for k, _ in attrs):
+                outside, hint = self._is_outside(name, attrs), self._hint(name, attrs)
+                if outside or hint:
+                    self._end_line()
+                    self._push(name, outside, False, hint)
             return
         self._end_line()
         for open_name in _CLOSED_BY_SIBLING.get(name, ()):
@@ -101,7 +122,7 @@ class _Lines(HTMLParser):
                 self.stack.pop()
         self.tags += 1
         if name not in _VOID:
-            self._push(name, self._is_outside(name, attrs), False)
+            self._push(name, self._is_outside(name, attrs), False, self._hint(name, attrs))
 
     def _is_outside(self, name: str, attrs: list[tuple[str, str | None]]) -> bool:
         if name in _OUTSIDE:
@@ -111,9 +132,28 @@ class _Lines(HTMLParser):
         if name == "header":
             return not any(n in ("article", "main") for n, *_ in self.stack)
         given = dict(attrs)
-        if given.get("role") in _ROLE or "hidden" in given:
-            return True
-        return bool(_HINT.search(f"{given.get('class') or ''} {given.get('id') or ''}".lower()))
+        return given.get("role") in _ROLE or "hidden" in given
+
+    def _hint(self, name: str, attrs: list[tuple[str, str | None]]) -> str | None:
+        """What the class and id of an element say of it: nothing, or that it is
+        outside by a name of its own (strong; other) or by part of one (weak)."""
+        if name == "form":  # some pages are one form
+            return "strong"
+        if name in ("article", "body", "html", "main"):
+            return None
+        given = dict(attrs)
+        names = f"{given.get('class') or ''} {given.get('id') or ''}".lower()
+        if not _HINT.search(names):
+            return None
+        hinting = [x for x in names.split() if _HINT.search(x)]
+        if any(n in ("article", "main") for n, *_ in self.stack):  # as a header there
+            hinting = [x for x in hinting if not _TITLES.intersection(re.split("[_-]", x))]
+            if not hinting:
+                return None
+        sure = [w for x in hinting if _NAMED.fullmatch(x) for w in [set(re.split("[_-]", x))] if not w & _TITLES]
+        if not sure:
+            return "weak"
+        return "other" if all(any(map(_OTHER.fullmatch, w)) for w in sure) else "strong"
 
     def handle_startendtag(self, name: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(name, attrs)
@@ -171,6 +211,42 @@ def _threshold(values: list[float]) -> float:
     return at
 
 
+def _content(lines: list[tuple]) -> list[bool]:
+    """Which lines are in the upper cluster and not mostly links. Ratios differ
+    by factors (a menu's from a paragraph's), so their logarithms are clustered;
+    clusters that are not ``APART`` are one."""
+    smooth = [math.log(x) for x in _smoothed([len(text) / max(1, tags) for text, tags, _, _, _ in lines])]
+    least = _threshold(smooth)
+    low, high = [s for s in smooth if s < least], [s for s in smooth if s >= least]
+    if low and sum(high) / len(high) - sum(low) / len(low) < math.log(APART):
+        least = min(low)
+    return [s >= least and 2 * linked <= len(text) for s, (text, _, linked, _, _) in zip(smooth, lines)]
+
+
+def _taken_out(parser: _Lines, lines: list[tuple]) -> set[int]:
+    """The elements that a hint takes out: by part of a name only those without
+    content lines, by a name of their own those that hold at most half of the
+    content text, or for text of another kind also those outside which there
+    are content lines, an article or a main element."""
+    named = {n for n, hint in parser.hinted.items() if hint != "weak"}
+    held: Counter = Counter()
+    beside = False
+    for (text, _, _, path, outside), content in zip(lines, _content(lines)):
+        if outside:
+            continue
+        if content:
+            for n in path:
+                held[n] += len(text)
+        if not beside and (content or any(parser.names[n] in ("article", "main") for n in path)):
+            beside = named.isdisjoint(path)
+    gone = set()
+    for n, hint in parser.hinted.items():
+        stays = held[n] if hint == "weak" else 2 * held[n] > held[0] and not (hint == "other" and beside)
+        if not stays:
+            gone.add(n)
+    return gone
+
+
 def main_text(html: str | None) -> str:
     """The main text of one page, blocks joined by an empty line."""
     if not html:
@@ -178,7 +254,8 @@ def main_text(html: str | None) -> str:
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    lines = [x for x in parser.lines if not x[4]]
+    gone = _taken_out(parser, parser.lines) if parser.hinted and parser.lines else set()
+    lines = [x for x in parser.lines if not x[4] and not gone.intersection(x[3])]
     if not lines:
         return ""
     smooth = _smoothed([len(text) / max(1, tags) for text, tags, _, _, _ in lines])

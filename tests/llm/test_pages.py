@@ -71,3 +71,34 @@ def test_rows_nulls_and_clashing_columns(spark):
     rows = pages.extract(frame).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in rows) == [(0, "", 0), (1, "a b", 3), (1, "a b", 3)]
     assert pages.extract(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<article class='post comments-open'>%s</article>",
+        "<div class='content no-sidebar'><article>%s</article></div>",
+        "<div class='with-sidebar'><div class=story>%s</div></div>",
+        "<div class='left-sidebar'>%s</div>",
+        "<div id=comments>%s</div>",
+        "<article><div class='entry no-sidebar'>%s</div></article>",
+        "<form id=aspnet><div class=story>%s</div></form>",
+    ],
+)
+def test_hints_do_not_take_the_text_out(rng, around):
+    blocks = [prose(rng, n) for n in (4, 60, 30, 80)]
+    inner = f"<div class='post-header'><h1>{blocks[0]}</h1></div>" + "".join(f"<p>{b}</p>" for b in blocks[1:])
+    menu = "".join(f"<li><a href='/'>{prose(rng, 2)}</a></li>" for _ in range(6))
+    got = pages.main_text(f"<body><ul class='site-menu'>{menu}</ul>{around % inner}<div class='page-sidebar'><p>{prose(rng, 20)}</p></div></body>")
+    assert got.split("\n\n") == blocks
+
+
+def test_hints_take_out_what_is_beside_the_text(rng):
+    blocks, other = [prose(rng, n) for n in (60, 40)], prose(rng, 200)
+    story = "".join(f"<p>{b}</p>" for b in blocks)
+    for beside in ("comments", "comments-area", "post-comments", "replies"):
+        for around in ("<article>%s</article>", "<div class=story>%s</div>"):
+            got = pages.main_text(f"<body>{around % story}<div class='{beside}'><p>{other}</p></div></body>")
+            assert got.split("\n\n") == blocks
+    got = pages.main_text(f"<article>{story}<div class='share-box'><p>{prose(rng, 9)}</p></div></article>")
+    assert got.split("\n\n") == blocks

@@ -4,11 +4,12 @@ The standard library's parser streams the events of a page; a line is the text
 of one block element. Each line's ratio of characters to tags is smoothed with
 a Gaussian over its neighbours, and the smoothed ratios are clustered into two
 by moving a threshold to the middle of the two means until it rests (Weninger,
-Hsu and Han's CETR). The lines above it say which region of the page is
-content: the articles that hold such lines, or without articles the main
-element, or else the smallest element that holds most of their text. Lines of
-menus, headers, footers, sidebars, notices, adverts, forms and comments take
-no part; of the chosen region every other line is kept, short ones too. Such
+Hsu and Han's CETR). The lines above it are content and say which region of the
+page is kept: the articles that hold such lines if they hold most of the
+content text, or else the main element if it does, or else the smallest element
+that holds all content lines. Lines of menus, headers, footers, sidebars,
+notices, adverts, forms and comments take no part; of the chosen region every
+other line is kept, short ones too, but for lists of links on their own. Such
 elements are told by their name, or by a class or id if the ratios agree: a
 class never takes out an article, nor an element that holds most of the
 content text, nor for a part of its name one that holds any.
@@ -32,7 +33,7 @@ SMOOTHING = 1.0  # standard deviation of the Gaussian, in lines
 _REACH = 3
 _KERNEL = [math.exp(-(k**2) / (2 * SMOOTHING**2)) for k in range(-_REACH, _REACH + 1)]
 APART = 4  # factor between the ratios of content and of the rest
-REGION_SHARE = 0.8  # of the content lines' text that a region without article must hold
+TAG_SHARE = 0.8  # of the content lines' text that articles must hold for their tag to decide
 
 # fixed values: elements of HTML by their role
 _HIDDEN = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "select", "textarea", "button"}
@@ -41,7 +42,7 @@ _BLOCKS = _OUTSIDE.union(
     ("address article blockquote body caption center dd details div dl dt fieldset figcaption figure form h1 h2 h3 h4 h5 h6 "
     "header hr html li main ol p pre section summary table tbody td tfoot th thead tr ul").split()
 )
-_CONTAINERS = {"root", "html", "body", "div", "section", "center", "table", "tbody", "tr", "td"}
+_CONTAINERS = {"root", "html", "body", "main", "article", "div", "section", "center", "table", "tbody", "tr", "td"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "source", "area", "base", "col", "embed", "track", "param"}
 _BREAKS = {"br", "img"}
 _CLOSED_BY_SIBLING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -258,21 +259,37 @@ def main_text(html: str | None) -> str:
     lines = [x for x in parser.lines if not x[4] and not gone.intersection(x[3])]
     if not lines:
         return ""
-    smooth = _smoothed([len(text) / max(1, tags) for text, tags, _, _, _ in lines])
-    least = _threshold(smooth)
-    content = [x for x, s in zip(lines, smooth) if s >= least and 2 * x[2] <= len(x[0])] or lines
+    # the rest of the page is what the content differs from, taken out or not
+    content = [x for x, c in zip(parser.lines, _content(parser.lines)) if c and not x[4] and gone.isdisjoint(x[3])] or lines
+    whole = sum(len(text) for text, *_ in content)
     for wanted in ("article", "main"):
         # the outermost element of the name that a content line is in
-        chosen = {next((n for n in path if parser.names[n] == wanted), None) for _, _, _, path, _ in content} - {None}
-        if chosen:
+        inside = [next((n for n in path if parser.names[n] == wanted), None) for _, _, _, path, _ in content]
+        chosen = set(inside) - {None}
+        if sum(len(x[0]) for x, n in zip(content, inside) if n is not None) >= TAG_SHARE * whole:
             return "\n\n".join(text for text, _, _, path, _ in lines if chosen.intersection(path))
-    held: Counter = Counter()
-    for text, _, _, path, _ in content:
-        for n in path:
-            held[n] += len(text)
-    # numbers grow inwards
-    region = max(n for n in held if held[n] >= REGION_SHARE * held[0] and parser.names[n] in _CONTAINERS)
-    return "\n\n".join(text for text, _, linked, path, _ in lines if region in path and 2 * linked <= len(text))
+    shared = content[0][3]
+    for _, _, _, path, _ in content:
+        shared = shared[: next((i for i, (a, b) in enumerate(zip(shared, path)) if a != b), min(len(shared), len(path)))]
+    region = next(n for n in reversed(shared) if parser.names[n] in _CONTAINERS)
+    # links beside content lines are the text's own; others are menus
+    holders = {_holder(parser, x[3]) for x in content}
+    return "\n\n".join(
+        text
+        for text, _, linked, path, _ in lines
+        if region in path and (2 * linked <= len(text) or _holder(parser, path) in holders and not _is_page_list(parser, path))
+    )
+
+
+def _holder(parser: _Lines, path: tuple[int, ...]) -> int:
+    """The innermost container of a line."""
+    return next(n for n in reversed(path) if parser.names[n] in _CONTAINERS)
+
+
+def _is_page_list(parser: _Lines, path: tuple[int, ...]) -> bool:
+    """Whether a line is in a list that is not in any part of the page."""
+    names = [parser.names[n] for n in path]
+    return bool({"ul", "ol", "dl"}.intersection(names)) and not {"div", "section", "article", "main", "td"}.intersection(names)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

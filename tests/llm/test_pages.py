@@ -102,3 +102,31 @@ def test_hints_take_out_what_is_beside_the_text(rng):
             assert got.split("\n\n") == blocks
     got = pages.main_text(f"<article>{story}<div class='share-box'><p>{prose(rng, 9)}</p></div></article>")
     assert got.split("\n\n") == blocks
+
+
+def test_text_over_sibling_elements(rng):
+    """Without an article all content lines are kept, wherever they are."""
+    for name in ("div", "section"):
+        blocks = [prose(rng, n) for n in (70, 60, 80, 50, 40)]
+        first = "".join(f"<p>{b}</p>" for b in blocks[:4])
+        body = f"<{name}>{first}</{name}><{name}><p>{blocks[4]}</p></{name}>"
+        assert pages.main_text(page(rng, body)).split("\n\n") == blocks
+        assert pages.main_text(f"<body>{body}</body>").split("\n\n") == blocks
+        assert pages.main_text(page(rng, f"<main>{body}</main>")).split("\n\n") == blocks
+
+
+def test_linked_lines_of_the_text_stay(rng):
+    blocks = [prose(rng, n) for n in (70, 8, 60)]
+    menu = "".join(f"<li><a href='/'>{prose(rng, 2)}</a></li>" for _ in range(6))
+    story = f"<div><p>{blocks[0]}</p><p>see <a href='/'>{blocks[1]}</a></p><p>{blocks[2]}</p></div>"
+    got = pages.main_text(f"<body><ul>{menu}</ul><div><ul>{menu}</ul></div>{story}</body>")
+    assert got.split("\n\n") == [blocks[0], "see " + blocks[1], blocks[2]]
+
+
+def test_an_article_tag_decides_only_if_it_holds_the_text(rng):
+    blocks, teaser = [prose(rng, n) for n in (4, 70, 60, 80)], prose(rng, 45)
+    story = f"<h1>{blocks[0]}</h1>" + "".join(f"<p>{b}</p>" for b in blocks[1:])
+    got = pages.main_text(page(rng, f"<div class=story>{story}</div><article><p>{teaser}</p></article>")).split("\n\n")
+    assert got == [*blocks, teaser]
+    got = pages.main_text(page(rng, f"<article>{story}</article><div><p>{prose(rng, 20)}</p></div>")).split("\n\n")
+    assert got == blocks

@@ -12,7 +12,8 @@ notices, adverts, forms and comments take no part; of the chosen region every
 other line is kept, short ones too, but for lists of links on their own. Such
 elements are told by their name, or by a class or id if the ratios agree: a
 class never takes out an article, nor an element that holds most of the
-content text, nor for a part of its name one that holds any.
+content text, nor for a part of its name one that holds any. Scripts, buttons
+and their like are hidden; one without an end tag hides up to its first block.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ APART = 4  # factor between the ratios of content and of the rest
 TAG_SHARE = 0.8  # of the content lines' text that articles must hold for their tag to decide
 
 # fixed values: elements of HTML by their role
-_HIDDEN = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "select", "textarea", "button"}
+_HIDDEN = {"script", "style", "noscript", "template", "title", "svg", "iframe", "object", "select", "textarea", "button"}
+_NO_NESTING = {"button", "select"}  # the start of one ends an open one
 _OUTSIDE = {"nav", "footer", "aside", "menu", "dialog"}
 _BLOCKS = _OUTSIDE.union(
     ("address article blockquote body caption center dd details div dl dt fieldset figcaption figure form h1 h2 h3 h4 h5 h6 "
@@ -74,6 +76,8 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, tuple[int, ...], bool]] = []
         self.names: dict[int, str] = {0: "root"}
+        self.hiding: dict[int, bool] = {}  # hidden element -> whether a block started in it
+        self.closed: set[int] = set()  # hidden elements with an end tag
         self.hinted: dict[int, str] = {}  # element -> weak, strong or other
         self.stack: list[tuple[str, int, bool, bool]] = [("root", 0, False, False)]  # name, number, outside, hidden
         self.parts: list[str] = []
@@ -82,8 +86,10 @@ class _Lines(HTMLParser):
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            path = tuple(number for _, number, _, _ in self.stack)
-            self.lines.append((text, self.tags, self.linked, path, self.stack[-1][2]))
+            # text directly in a hidden element is not collected: it stands before it
+            depth = next((i for i, (_, n, _, _) in enumerate(self.stack) if self.hiding.get(n) is False), len(self.stack))
+            path = tuple(number for _, number, _, _ in self.stack[:depth])
+            self.lines.append((text, self.tags, self.linked, path, self.stack[depth - 1][2]))
         self.parts.clear()
         self.tags = self.linked = 0
 
@@ -96,8 +102,16 @@ class _Lines(HTMLParser):
         self.stack.append((name, number, was_outside or outside, was_hidden or hidden))
 
     def handle_starttag(self, name: str, attrs: list[tuple[str, str | None]]) -> None:
+        if name == "head":  # what is hidden in it is so by itself; its end tag may be left out
+            return
         if name in _HIDDEN:
+            if name in _NO_NESTING:
+                at = next((i for i in range(len(self.stack) - 1, 0, -1) if self.stack[i][0] == name), 0)
+                if at and self.stack[-1][3]:
+                    self._end_line()
+                    del self.stack[at:]
             self._push(name, False, True)
+            self.hiding[self.stack[-1][1]] = False
             return
         if name not in _BLOCKS:
             self.tags += 1
@@ -112,6 +126,8 @@ class _Lines(HTMLParser):
                     self._push(name, outside, False, hint)
             return
         self._end_line()
+        if self.stack[-1][3]:  # hidden up to here at least; all of it if the end tag comes
+            self.hiding.update((n, True) for _, n, _, _ in self.stack if n in self.hiding)
         for open_name in _CLOSED_BY_SIBLING.get(name, ()):
             if self.stack[-1][0] == open_name:
                 self.stack.pop()
@@ -166,16 +182,19 @@ class _Lines(HTMLParser):
             self.links = max(0, self.links - 1)
         at = next((i for i in range(len(self.stack) - 1, 0, -1) if self.stack[i][0] == name), 0)
         if at:
-            if name not in _HIDDEN:
+            number = self.stack[at][1]
+            if self.hiding.get(number, True):
                 self._end_line()
+            if number in self.hiding:
+                self.closed.add(number)
             del self.stack[at:]
         if name in _BLOCKS:
             self._end_line()
-        elif name not in _HIDDEN:
+        elif name not in _HIDDEN and name != "head":
             self.tags += 1
 
     def handle_data(self, data: str) -> None:
-        if self.stack[-1][3]:
+        if self.stack[-1][3] and not all(self.hiding.get(n, True) for _, n, _, _ in self.stack):
             return
         self.parts.append(data)
         if self.links:
@@ -184,6 +203,8 @@ class _Lines(HTMLParser):
     def close(self) -> None:
         super().close()
         self._end_line()
+        if self.closed:
+            self.lines = [x for x in self.lines if self.closed.isdisjoint(x[3])]
 
 
 def _smoothed(ratios: list[float]) -> list[float]:

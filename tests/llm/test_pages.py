@@ -130,3 +130,23 @@ def test_an_article_tag_decides_only_if_it_holds_the_text(rng):
     assert got == [*blocks, teaser]
     got = pages.main_text(page(rng, f"<article>{story}</article><div><p>{prose(rng, 20)}</p></div>")).split("\n\n")
     assert got == blocks
+
+
+def test_head_without_end_tag():
+    for head in ("<head><title>x</title>", "<head><meta charset=utf-8><title>x</title><style>p{}</style>"):
+        for body in ("<body>", ""):
+            assert pages.main_text(f"<html>{head}{body}<article><h1>a</h1><p>b c</p></article></html>") == "a\n\nb c"
+            assert pages.main_text(f"<html>{head}{body}<p>b c") == "b c"
+    assert pages.main_text("<head><title>x</title>b c") == "b c"
+
+
+@pytest.mark.parametrize("name", ["button", "select", "object", "svg", "noscript", "template"])
+def test_hidden_element_without_end_tag(name):
+    assert pages.main_text(f"<article><p>a</p><{name}>x<p>b</p><div>c</div>d</article>") == "a\n\nb\n\nc\n\nd"
+    assert pages.main_text(f"<article><p>a <{name}>x</p><p>b</p></article>") == "a\n\nb"
+    assert pages.main_text(f"<article><p>a <{name}>x</{name}> b</p><{name}><p>x</p>x</{name}><p>c</p></article>") == "a b\n\nc"
+    assert pages.main_text(f"<p>a <{name}><div>x</div>x</{name}> b</p>") == "a\n\nb"
+
+
+def test_button_ends_an_open_button():
+    assert pages.main_text("<article><button>x<p>b</p><button>x</button><p>c</p></article>") == "b\n\nc"

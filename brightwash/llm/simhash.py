@@ -85,11 +85,13 @@ def _links_of_postings(max_bits: int):
     flips = np.array([m for m in range(1, 1 << 16) if bin(m).count("1") <= max_bits], np.int64)
 
     def link(kind: np.ndarray, key: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(fp) or not len(flips):  # a batch may lie wholly in the list that is held
+            return fp[:0], fp[:0]
         changed = np.r_[True, (kind[1:] != kind[:-1]) | (key[1:] != key[:-1])]
         group = np.cumsum(changed) - 1
         keep = np.bincount(group)[group] > 1
         kind, fp, group = kind[keep], fp[keep], group[keep]
-        if not len(fp) or not len(flips):
+        if not len(fp):
             return fp[:0], fp[:0]
         shift = left_out[kind] * np.uint64(8)
         rest = ((fp >> shift[:, 0]) & np.uint64(255)) | (((fp >> shift[:, 1]) & np.uint64(255)) << np.uint64(8))

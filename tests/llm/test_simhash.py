@@ -92,3 +92,18 @@ def test_runs():
     start, length = runs(np.array([2, 2, 5, 7, 7, 7]))
     assert start.tolist() == [0, 2, 3] and length.tolist() == [2, 1, 3]
     assert [len(x) for x in runs(np.array([], np.int64))] == [0, 0]
+
+
+def test_posting_list_longer_than_a_batch(spark):
+    """Thousands of fingerprints that share six bytes, and tasks without rows."""
+    simhash.small_batches(spark)
+    values = [0x1122334455660000 + 11 * i for i in range(5000)]
+    frame = spark.createDataFrame([(v,) for v in values], "fp long")
+    found = simhash.fingerprint_links(frame, 2).collect()
+    flips = [1 << i for i in range(16)] + [(1 << i) + (1 << j) for i in range(16) for j in range(i)]
+    have = set(values)
+    want = {(v, v ^ f) for v in values for f in flips if v < v ^ f and v ^ f in have}
+    assert len(found) == len(want) and {(min(r.a, r.b), max(r.a, r.b)) for r in found} == want
+    work = simhash._links_of_postings(2)
+    assert [b.num_rows for b in work(iter([]))] == [0]
+    assert simhash.fingerprint_links(frame.limit(0).repartition(3), 2).collect() == []

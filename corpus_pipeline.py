@@ -25,11 +25,13 @@ from brightwash.llm.queries import WORD_TOKENIZER  # noqa: E402
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told (no text or no letter) go; a
-    missing language is filled in."""
-    found = langid.identify(docs, langid.train(docs))
-    found = found.filter(F.col("lang_pred") != langid.UNKNOWN)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    """Documents without a text or a letter go; a missing language is filled in,
+    or stays missing if no document has one to learn from."""
+    model = langid.train(docs)
+    found = langid.identify(docs, model)
+    found = found.filter(F.col("lang_pred") != langid.UNKNOWN if model.langs else F.col("text").rlike(r"\p{L}"))
+    known = F.when(F.col("lang_pred") != langid.UNKNOWN, F.col("lang_pred"))
+    return found.withColumn("lang", F.coalesce("lang", known)).select(*docs.columns)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,3 +99,10 @@ def test_held_out_marks(spark):
     lang = {r.doc_id: r.lang for r in table(spark, SF001, "documents").collect()}
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_unlabelled_corpus_is_kept(make_docs, spark, rng):
+    docs = make_docs([prose(rng, 30), prose(rng, 30, "de"), "日本語", None, "", "42 +"])
+    kept = corpus_pipeline.language_id(spark, docs, SF001)
+    assert kept.dtypes == docs.dtypes
+    assert sorted((r.doc_id, r.lang) for r in kept.collect()) == [(0, None), (1, None), (2, None)]

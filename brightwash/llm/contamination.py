@@ -6,13 +6,15 @@ says whether to move on. Walks over two strings that differ by an edit tend to
 fall in step again, so a small edit distance becomes a small Hamming distance.
 Bit-sampling LSH then hashes a few random positions of the walk; several
 independent walks and samples (their number is set by the recall measured on
-benchmark passages with edits at the threshold) give the candidates.
+held-out edits at the threshold of passages from the whole block; one that is
+not reached is warned of) give the candidates.
 
 A hit is kept if walks from it to both ends of the item agree in more than
 ``AGREEMENT`` of their steps, the Hamming side of the embedding; the measured
 recall includes this test.
 
-Every text is cut into windows that start a third of the shortest item apart;
+Every text is cut into windows that start a third of the shortest item apart,
+at most ``MOST_STRIDE`` bytes;
 every byte of an item starts a window of its own. So each item-sized stretch of
 a text holds windows that line up with windows of the item. A hit places the
 item in the text; its item-sized window there is verified by exact edit
@@ -24,6 +26,7 @@ size, each compared with all documents in a map-only job.
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,7 +40,9 @@ from .common import Shared, slices, small_batches, utf8_values, written
 
 STEPS = 32  # of a walk over items of 64 bytes or more; shorter items walk half their bytes
 SAMPLED = 12  # positions of the walk that are hashed
-MOST_REPEATS = 32
+MOST_REPEATS = 128  # tables; fewer than the recall takes are reported
+RECALL_EDITS = 200  # edited items that the recall is measured on, from the whole block
+MOST_STRIDE = 8  # bytes between the windows of a text; wider ones take many more tables
 DRAWS = 6
 AGREEMENT = 0.3  # share of equal steps; walks over unrelated prose have about 0.2
 LONG_WALK = 256  # steps of the walks that are compared
@@ -109,7 +114,7 @@ class ItemIndex:
         self.texts = [t.tobytes() for _, t in items]
         self.grams = [_grams(t) for t in self.texts]
         shortest = min(map(len, self.texts))
-        self.stride = max(1, shortest // 3)
+        self.stride = max(1, min(shortest // 3, MOST_STRIDE))
         self.steps = max(2, min(STEPS, shortest // 2))
         self.random = np.random.default_rng(seed)
         sizes = np.array([len(t) for t in self.texts])
@@ -124,11 +129,26 @@ class ItemIndex:
         self.long_moves = self.random.integers(0, 2, (2, LONG_WALK, 256))
         self.tables: list[tuple] = []
         self.bits: list[np.ndarray] = []
-        edited = [self._edited(t) for t in self.texts[:100]]
-        left = list(range(len(edited)))
-        while len(self.tables) < MOST_REPEATS and (not self.tables or len(left) > (1 - recall) * len(edited)):
-            self._add_table()
-            left = [i for i in left if not self._hit(i, edited[i])]
+        # tables are added until edits that none was added for are found often
+        # enough; edits that are not join those that more tables are added for
+        chosen = np.linspace(0, len(items) - 1, max(RECALL_EDITS, min(len(items), 2 * RECALL_EDITS))).astype(int).tolist()
+        left, edits = [], 0
+        while True:
+            fresh = [(i, self._edited(self.texts[i])) for i in chosen]
+            missed = [x for x in fresh if not any(self._hit(*x, t) for t in range(len(self.tables)))]
+            self.recall = 1 - len(missed) / len(fresh)
+            if self.recall >= recall and self.tables:
+                break
+            left, edits = left + missed, edits + len(fresh)
+            if len(self.tables) >= MOST_REPEATS:
+                warnings.warn(
+                    f"items of {shortest} to {sizes.max()} bytes: {len(self.tables)} tables find {self.recall:.3f} "
+                    f"of edited items, {recall} were asked for"
+                )
+                break
+            while len(self.tables) < MOST_REPEATS and (not self.tables or len(left) > (1 - recall) * edits):
+                self._add_table()
+                left = [x for x in left if not self._hit(*x, len(self.tables) - 1)]
 
     def _most(self, item: int) -> int:
         return int(len(self.texts[item]) * (1 - self.similarity) + 1e-9)
@@ -143,9 +163,9 @@ class ItemIndex:
             out[at : at + (kind != 1)] = b"" if kind == 2 else pad(1)
         return np.frombuffer(pad(int(self.random.integers(self.stride, 2 * self.stride + 1))) + bytes(out) + pad(self.steps), np.uint8)
 
-    def _hit(self, item: int, text: np.ndarray) -> bool:
+    def _hit(self, item: int, text: np.ndarray, table: int) -> bool:
         windows = np.arange(0, len(text), self.stride)
-        window, found = self._lookup(len(self.tables) - 1, text, windows)
+        window, found = self._lookup(table, text, windows)
         own = self.item[found] == item
         return bool(self._agree(text, windows[window[own]], found[own]).any())
 

@@ -95,3 +95,20 @@ def test_empty_tables(make_docs, benchmark):
     _, table = benchmark
     assert contamination.find_items(make_docs([]), table).collect() == []
     assert [r.matches for r in contamination.find_items(make_docs(["a", None]), table.limit(0)).collect()] == [[], []]
+
+
+def test_recall_is_reached_on_other_edits_or_reported(rng, monkeypatch):
+    sizes = [20] * 100 + [60] * 20  # the long items follow the first hundred
+    items = [(i, contamination.normalised(prose(rng, n).encode())[0]) for i, n in enumerate(sizes)]
+    index = contamination.ItemIndex(items, 0.8, 0.97)
+    assert index.recall >= 0.97
+    letters = lambda n: prose(rng, n).encode()
+    hits = 0
+    for i, text in enumerate(index.texts):
+        passage = letters(9) + b" " + edited(rng, text.decode(), 0.2).encode() + b" " + letters(9)
+        hits += i in index.matches([contamination.normalised(passage)[0]])[0]
+    assert hits >= 0.93 * len(items)
+    monkeypatch.setattr(contamination, "MOST_REPEATS", 1)
+    monkeypatch.setattr(contamination, "MOST_STRIDE", 1 << 20)
+    with pytest.warns(UserWarning, match="1 tables find"):
+        assert contamination.ItemIndex(items, 0.8, 0.97).recall < 0.97

@@ -53,6 +53,22 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+HOT_KEYS = 4096
+
+
+def join_one(many: DataFrame, one: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join of ``many`` with ``one``, which has one row a key, however
+    often a key occurs in ``many``: keys that hold 1/``HOT_KEYS`` of its rows or
+    more, at most ``HOT_KEYS`` of them, meet a broadcast of their rows of
+    ``one``; only the others are shuffled. ``many`` is read three times, so it
+    should be a written table."""
+    least = many.count() // HOT_KEYS + 1
+    hot = written(many.groupBy(*on).count().filter(F.col("count") >= least).select(*on), "hot")
+    often = many.join(F.broadcast(one.join(F.broadcast(hot), on, "left_semi")), on)
+    rest = many.join(F.broadcast(hot), on, "left_anti").join(one, on)
+    return often.unionByName(rest)
+
+
 def id_remainder(column: str, modulus: int) -> Column:
     """crc32 of the id written as decimal text, modulo ``modulus``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, langid, lm, packing, pages, pii, simhash, suffixes, toxicity, vectors
+from . import collocations, contamination, fingerprints, langid, lm, packing, pages, pii, simhash, suffixes, toxicity, variants, vectors
 from .common import id_remainder, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -79,6 +79,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    return collocations.collocations(docs, min_count=10, max_words=3, top=2000, covered_percent=50)
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.next_likeness(table(spark, sf_dir, "documents"), samples=64, shingle=2)
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants.spelling_variants(docs, min_length=5, min_count=3).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_itq": op2_itq,
@@ -90,8 +104,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_suffixes": op9_suffixes,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_variants": op13_variants,
 }
 
-# none of the ten can be said in SQL over the given tables: each rests on a
-# hash function, tokenizer or trained model that DuckDB lacks
-ORACLE_SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP11_SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), split AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda w: w <> '') AS w FROM pieces
+), phrases AS (
+  SELECT lang, 1 AS words, unnest(w) AS phrase FROM split
+  UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM split
+  UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM split
+), f AS (
+  SELECT lang, words, phrase, count(*) AS a FROM phrases GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE words = 1 GROUP BY lang
+), candidates AS (
+  SELECT * FROM f WHERE words >= 2 AND a >= 10
+), cuts AS (
+  SELECT lang, words, phrase, a, k,
+         array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest
+  FROM candidates, (VALUES (1), (2)) AS t(k) WHERE k < words
+), scored AS (
+  SELECT c.*, h.a AS l, r.a AS r,
+         CAST((1000000::HUGEINT * c.a * c.a) // (h.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM cuts c
+  JOIN f h ON h.lang = c.lang AND h.phrase = c.head
+  JOIN f r ON r.lang = c.lang AND r.phrase = c.rest
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored
+), inner_pairs AS (
+  SELECT lang, max(a) AS longer, pair FROM (
+    SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '),
+                            array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS pair
+    FROM candidates WHERE words = 3)
+  GROUP BY lang, pair
+), ranked AS (
+  SELECT s.lang, s.phrase, s.a, s.l, s.r, s.score,
+         row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank
+  FROM lowest s LEFT JOIN inner_pairs p ON p.lang = s.lang AND p.pair = s.phrase
+  WHERE s.place = 1 AND (p.longer IS NULL OR 100 * p.longer < 50 * s.a)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+# the other operators rest on a hash function, tokenizer or trained model that
+# DuckDB lacks
+ORACLE_SQL: dict[str, str] = {"op11_collocations": OP11_SQL}

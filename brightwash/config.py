@@ -38,6 +38,9 @@ TOP_EXPENSIVE_MIN_COUNT, TOP_EXPENSIVE_K = 50, 5
 REVIEW_STATS_MIN_COUNT, REVIEW_STATS_K = 100, 10
 TOP_GROUPS_K = 10
 TOP_NULLS_K = 10
+# Columns described, and columns and rows of the preview.
+DESCRIBE_COLUMNS = ("price", "latitude", "longitude", "minimum_nights", "number_of_reviews", "reviews_per_month")
+PREVIEW_COLUMNS, PREVIEW_ROWS = ("id", "name", "neighbourhood", "room_type", "price"), 5
 # --------------------------------------------------------------------------
 
 # Target types of the listings columns (ids are 64-bit: a 32-bit cast turns

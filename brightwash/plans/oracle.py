@@ -10,11 +10,13 @@ exact discrete quantiles, rounded floating means.
 from __future__ import annotations
 
 from brightwash.config import (
+    DESCRIBE_COLUMNS,
     REVIEW_STATS_K,
     REVIEW_STATS_MIN_COUNT,
     TOP_EXPENSIVE_K,
     TOP_EXPENSIVE_MIN_COUNT,
 )
+from brightwash.plans.oracle_storage import storage_queries
 
 RAW = r"""
 raw AS (
@@ -203,10 +205,6 @@ RAW_COLUMNS = [
 ]
 FINAL_COLUMNS = [c for c in RAW_COLUMNS if c != "price"] + ["price"]
 
-DESCRIBE_COLUMNS = [
-    "price", "latitude", "longitude", "minimum_nights", "number_of_reviews", "reviews_per_month",
-]
-
 
 def _describe(source: str, columns: list[str], digits: int = 6) -> str:
     parts = [
@@ -314,7 +312,7 @@ FROM (SELECT DISTINCT listing_id, date FROM reviews_raw)""",
     )
     q["etl_observed_accounting"] = q["step_accounting"]
     q["dedup_reviews"] = f"WITH {REVIEWS.strip()} SELECT DISTINCT listing_id, date FROM reviews_raw"
-    q["stream_dedup_reviews"] = q["dedup_reviews"]
+    q["stream_dedup_reviews"] = q["stream_dedup_stored"] = q["dedup_reviews"]
     q["duplicate_count"] = f"""WITH {REVIEWS.strip()}
 SELECT COUNT(*) AS rows,
        (SELECT COUNT(*) FROM (SELECT DISTINCT listing_id, date FROM reviews_raw)) AS distinct_rows,
@@ -355,7 +353,7 @@ SELECT 'listings' AS dataset, COUNT(*) AS rows FROM orders o JOIN customer c ON
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
 UNION ALL SELECT 'neighbourhoods', COUNT(*) FROM nation
 UNION ALL SELECT 'reviews', COUNT(*) FROM lineitem"""
-    q["describe_numeric"] = with_listings("final", _describe("final", DESCRIBE_COLUMNS))
+    q["describe_numeric"] = with_listings("final", _describe("final", list(DESCRIBE_COLUMNS)))
     q["distinct_price"] = with_listings("boxed", "SELECT DISTINCT price FROM boxed")
     q["column_preview"] = with_listings(
         "final", "SELECT id, name, neighbourhood, room_type, price FROM final ORDER BY id LIMIT 5"
@@ -436,4 +434,4 @@ SELECT 'clean', COUNT(*), COUNT(*), 0 FROM (SELECT DISTINCT listing_id, date FRO
     q["reviews_per_month"] = f"""WITH {REVIEWS.strip()}
 SELECT CAST(date_trunc('month', date) AS DATE) AS month, COUNT(*) AS reviews
 FROM (SELECT DISTINCT listing_id, date FROM reviews_raw) GROUP BY 1"""
-    return q
+    return q | storage_queries(with_listings, RAW_COLUMNS, band, REVIEWS)

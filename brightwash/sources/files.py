@@ -16,8 +16,9 @@ def read_csv(
     multi_line: bool = False,
     null_value: str | None = None,
     corrupt_column: str | None = None,
+    header: bool = True,
 ) -> DataFrame:
-    """CSV with a header row.
+    """CSV, with a header row unless ``header`` is off.
 
     With a ``schema`` there is no inference pass. ``escape='"'`` reads the
     doubled quotes of RFC 4180 files. ``multi_line`` keeps quoted line
@@ -31,7 +32,7 @@ def read_csv(
     fields are NULL.
     """
     reader = (
-        spark.read.option("header", True)
+        spark.read.option("header", header)
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
@@ -41,6 +42,8 @@ def read_csv(
     if corrupt_column and schema is not None:
         schema = StructType([*schema, StructField(corrupt_column, StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+        # a reader that skips fields does not see how many a row has
+        reader = reader.option("columnPruning", False)
     if schema is not None:
         reader = reader.schema(schema)
     else:

@@ -35,11 +35,15 @@ DRIVER_SCHEMAS = {
 }
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return os.path.join(sf_dir, f"{name}.parquet")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in DRIVER_SCHEMAS:
         reader = reader.schema(DRIVER_SCHEMAS[name])
-    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return reader.parquet(table_path(sf_dir, name))
 
 
 def _null_when(cond: Column, value: Column) -> Column:
@@ -155,3 +159,29 @@ def reviews_raw(spark: SparkSession, sf_dir: str, with_order: bool = False) -> D
     if with_order:
         cols.append(F.col("l_orderkey"))
     return table(spark, sf_dir, "lineitem").select(*cols)
+
+
+def listings_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw listings as CSV records (column ``value``, NULL as ``\\N``). Some
+    have a field too many, some end after the first."""
+    raw = listings_raw(spark, sf_dir)
+    options = {"escape": '"', "nullValue": r"\N", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    line = F.to_csv(F.struct(*[F.col(c).cast("string") for c in raw.columns]), options)
+    k = F.col("id")
+    broken = F.when(k % 173 == 0, F.concat(line, F.lit(",one more"))).when(k % 179 == 0, k.cast("string"))
+    return raw.select(F.coalesce(broken, line).alias("value"))
+
+
+def orders_changed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two versions of a table of orders: in the second some rows are gone, some
+    are new, some occur twice, and some differ in one column or two."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    k = F.col("o_orderkey")
+    after = orders.filter(k % 1009 != 0).withColumns(
+        {
+            "o_totalprice": F.when(k % 1013 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+            "o_orderstatus": _null_when((k % 1019 == 0) | (k % 2026 == 0), F.col("o_orderstatus")),
+        }
+    )
+    new = orders.filter(k % 1021 == 0).withColumn("o_orderkey", -k)
+    return orders, after.unionByName(new).unionByName(after.filter(k % 1031 == 0))

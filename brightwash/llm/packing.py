@@ -12,7 +12,8 @@ Method. Best-fit decreasing gives the incumbent. If it needs more bins than
 the lower bound, bin completion runs depth first: around the largest remaining
 piece it enumerates the undominated fillings, best fit first, prunes a branch
 when the waste exceeds what an improvement by one bin allows, and takes every
-improvement as the new incumbent.
+improvement as the new incumbent. Where the search ends without proof, packings
+are sought among pattern columns (``columns``), bin completion settling the rest.
 """
 
 from __future__ import annotations
@@ -29,10 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .columns import pack_by_columns
 from .common import slices, small_batches, written
 
 Pattern = tuple[int, list[tuple[int, int]]]  # multiplicity, [(length, how many)]
 
+MOST_LENGTHS = 400  # different lengths for which pattern columns are worked out
 CACHE_WORDS = 1_500_000  # words whose ids a worker remembers; affects speed only
 
 # Characters for which normalisation works letter by letter, so that a word's
@@ -253,9 +256,14 @@ def bin_completion(counts: dict[int, int], capacity: int, bins: int, nodes: int)
     return None
 
 
-def pack(counts: dict[int, int], capacity: int, nodes: int = 1_000) -> list[Pattern]:
-    """Patterns that pack all pieces of the histogram. ``nodes`` bounds the
-    search beyond best fit, not the pieces: every piece is always packed."""
+def pack(counts: dict[int, int], capacity: int, nodes: int = 1_000, most_lengths: int = MOST_LENGTHS) -> list[Pattern]:
+    """Patterns that pack all pieces of the histogram; every piece is always packed.
+
+    Best fit is improved by bin completion until the lower bound is met, which
+    proves the packing best, or the search of ``nodes`` nodes ends. Then, for a
+    histogram of at most ``most_lengths`` different lengths, pattern columns give
+    a tighter bound and further packings.
+    """
     best = best_fit(counts, capacity)
     least = lower_bound(counts, capacity)
     while (used := sum(n for n, _ in best)) > least:
@@ -263,6 +271,10 @@ def pack(counts: dict[int, int], capacity: int, nodes: int = 1_000) -> list[Patt
         if better is None:
             break
         best = better
+    if used > least and len(counts) <= most_lengths:
+        finish = lambda rest, bins: bin_completion(rest, capacity, bins, nodes)
+        better, _ = pack_by_columns(counts, capacity, used - 1, finish)
+        best = better or best
     return best
 
 

@@ -24,6 +24,7 @@ from .common import Shared, slices, small_batches
 
 UNKNOWN = "und"
 CHUNK = 1 << 19  # bytes scored at a time
+PIECE = 1 << 12  # characters of a text drawn for training together
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -174,20 +175,31 @@ def train(
 ) -> PPM:
     """Learn from the rows with a text and a language.
 
-    About ``sample_bytes`` of text per language are used (texts are drawn by
-    their hash), which bounds the trees; without labelled rows the model knows
-    no language.
+    About ``sample_bytes`` of text per language are used, in distinct pieces of
+    ``PIECE`` characters drawn by a hash, which bounds the trees; a language of
+    no more is learned from whole. Null texts and languages are passed over;
+    without labelled rows the model knows no language.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter("lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    # a text counts once for its language, however many copies there are
+    own = rows.groupBy("lang", "h").agg(F.max(F.octet_length("text")).alias("n"))
+    sizes = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
         return PPM([], 0, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
     share = F.element_at(
         F.create_map(*[x for g in langs for x in (F.lit(g), F.lit(min(1.0, sample_bytes / max(1, sizes[g]))))]), F.col("lang")
     )
-    drawn = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
+    # pieces are drawn by the hash of text and place, so that long texts and
+    # repeated ones give their share like all others
+    last = F.floor((F.greatest(F.char_length("text"), F.lit(1)) - 1) / PIECE).cast("long")
+    taken = F.filter(
+        F.sequence(F.lit(0).cast("long"), last), lambda i: F.pmod(F.xxhash64("h", i), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    )
+    piece = F.transform(taken, lambda i: F.substring("text", (i * PIECE + 1).cast("int"), F.lit(PIECE)))
+    drawn = rows.withColumn("share", share).select("lang", F.explode(piece).alias("text")).distinct()
     found = count_grams(drawn, "lang", "text", order).toArrow()
     number = {g: i for i, g in enumerate(langs)}
     lang = np.array([number[g] for g in found.column("lang").to_pylist()], np.int64)

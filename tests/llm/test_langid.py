@@ -92,3 +92,20 @@ def test_no_labels_and_empty(make_docs):
     model = langid.train(make_docs(["a b", None], [None, "en"]))
     assert [(r.lang_pred, r.score) for r in langid.identify(make_docs(["words here", None]), model).collect()] == [("und", 0.0)] * 2
     assert langid.identify(make_docs([]), model).collect() == []
+
+
+def test_languages_of_one_long_text_are_learned(make_docs):
+    """Each has its share of the sample, though it is a single text, and a text
+    repeated often neither fills the sample nor is missed."""
+    texts, langs = [], []
+    for i in range(8):
+        r = random.Random(i)
+        parts = ["".join(r.choice("abcdefghijklmnop") for _ in range(3)) for _ in range(12)]
+        texts.append(" ".join("".join(r.choice(parts) for _ in range(3)) for _ in range(30_000)))
+        langs.append(f"l{i}")
+    model = langid.train(make_docs(texts + texts[:1] * 20, langs + langs[:1] * 20), sample_bytes=60_000)
+    assert model.langs == langs
+    rows = langid.identify(make_docs([t[-2000:] for t in texts]), model).collect()
+    assert [r.lang_pred for r in sorted(rows, key=lambda r: r.doc_id)] == langs and min(r.score for r in rows) > 0.99
+    grams = langid.train(make_docs(texts[:1] * 20, langs[:1] * 20), sample_bytes=60_000)
+    assert len(grams.langs) == 1 and len(grams.cost[3]) > 100

@@ -86,6 +86,18 @@ def _usable(vector: str, label: str) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0) & F.col(label).isNotNull(), F.lit(False))
 
 
+def _scaled(vector: Column) -> Column:
+    """The vector divided by a power of two near its largest component, which
+    rounds nothing and leaves every cosine as it is: products of the result
+    neither overflow nor all vanish."""
+    power = F.floor(F.log2(F.array_max(F.transform(vector, lambda x: F.abs(x)))))
+    half = F.floor(power / 2)  # two factors: 2**-1074 has no finite inverse
+    two = F.lit(2.0)
+    factors = F.struct(F.pow(two, half.cast("double")).alias("p"), F.pow(two, (power - half).cast("double")).alias("q"))
+    # as the element of an array the factors are worked out once a vector
+    return F.element_at(F.transform(F.array(factors), lambda f: F.transform(vector, lambda x: x / f["p"] / f["q"])), 1)
+
+
 def _cosine(a: str, b: str) -> Column:
     total = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
     return total(a, b) / (F.sqrt(total(a, a)) * F.sqrt(total(b, b)))
@@ -158,7 +170,8 @@ def near_duplicates(
     cosine is at least ``threshold``; ``recall`` is the share of pairs exactly
     at the threshold that retrieval keeps (of closer ones it keeps more).
     Vectors that are null, empty or zero or hold null or non-finite components
-    link with nothing and are their own component. ``component_id`` is the
+    link with nothing and are their own component; magnitudes do not matter
+    (1e200 and 1e-200 alike). ``component_id`` is the
     smallest id of the component, null ids aside; ``kept`` marks it (false for
     a null id). Repeated rows link to each other. The quantiser is fitted on
     about ``sample_rows`` vectors of each length; every vector is indexed.
@@ -167,6 +180,7 @@ def near_duplicates(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("vector")
     )
     usable = _usable("vector", "label")
+    base = base.withColumn("vector", F.when(usable, _scaled(F.col("vector"))).otherwise(F.col("vector")))
     classes = base.filter(usable).groupBy("label", "vector").agg(F.count("*").alias("copies"), F.min("id").alias("least"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "vectors")
     if classes.isEmpty():

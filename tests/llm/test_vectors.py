@@ -64,3 +64,26 @@ def test_recall_at_the_threshold():
     # any two codes within the radius share a posted value of a substring
     for shift, bits, masks in model.tables(10_000):
         assert 0 in masks and max(masks) < 1 << bits
+
+
+def test_magnitudes_do_not_matter(spark):
+    """Products of these components overflow or vanish; the cosines are ordinary."""
+    rng = np.random.default_rng(4)
+    rows, plain = [], []
+    for i in range(60):
+        base = rng.standard_normal(16)
+        base /= np.linalg.norm(base)
+        for c in (1.0, 0.99, 0.975):
+            plain.append(near(rng, base, c))
+            rows.append((plain[-1] * 10.0 ** rng.choice([-300, -200, -5, 0, 9, 200, 300])).tolist())
+    pairs = [[1e200, 1e200], [1e200, 0.0], [1e-200, 0.0], [5e-324, 0.0], [1.7e308, 1.7e308], [-1e-320, 0.0]]
+    for v in pairs:
+        rows.append(v)
+        plain.append(np.array(v) / max(abs(x) for x in v))
+    table = spark.createDataFrame([(i, v, 1) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(table).collect()}
+    unit = [v / np.linalg.norm(v) for v in plain]
+    links = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.98]
+    label = brute_components(range(len(rows)), links)
+    assert {(180, 184), (181, 182), (181, 183), (182, 183)} <= set(links) and (180, 181) not in links
+    assert found == {i: (sum(i in e for e in links), label[i], label[i] == i) for i in range(len(rows))}

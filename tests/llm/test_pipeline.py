@@ -16,7 +16,7 @@ SF001 = "/root/testdata/sf0.001"
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.partition("_")[0] for q in names if q.startswith("op")} 
+    assert {f"op{n}" for n in range(1, 14)} == {q.partition("_")[0] for q in names if q.startswith("op")} 
     assert names["pipeline"] is corpus_pipeline.run and set(QUERIES) <= set(names)
     for _, stage in corpus_pipeline.STAGES:
         assert list(inspect.signature(stage).parameters) == ["spark", "docs", "sf_dir"]
@@ -106,3 +106,27 @@ def test_unlabelled_corpus_is_kept(make_docs, spark, rng):
     kept = corpus_pipeline.language_id(spark, docs, SF001)
     assert kept.dtypes == docs.dtypes
     assert sorted((r.doc_id, r.lang) for r in kept.collect()) == [(0, None), (1, None), (2, None)]
+
+
+OWN = ["score", "matches", "spans", "redacted", "lang_pred", "base_sha256", "n_email", "__text", "__row", "row", "doc", "rest", "a.b"]
+
+
+def test_stages_leave_other_columns_alone(spark, make_docs, rng):
+    """Columns with the names of an operator's results, or of those that stages
+    use inside, come back as they were, in their place."""
+    same = prose(rng, 60)
+    texts = [same, same, prose(rng, 4000), "mail ann.lee@example.org now " + prose(rng, 30), None, "", prose(rng, 20, "de")]
+    docs = make_docs(texts, ["en", None, "en", "en", "en", "en", "de"]).drop("n_chars")
+    docs = docs.select(*[F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in OWN[:6]], "*",
+                       F.lit(7).cast("long").alias("n_chars"), *[F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in OWN[6:]])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(docs, "before")
+        after = written(stage(spark, docs, SF001), name)
+        assert after.dtypes == docs.dtypes
+        for r in after.collect():
+            assert [r[c] for c in OWN] == [f"{c}-{r.doc_id}" for c in OWN]
+        docs = after
+    left = {r.doc_id: r for r in docs.collect()}
+    assert sorted(left) == [0, 2, 3, 6] and left[2].text == texts[2] and left[3].text.startswith("mail [EMAIL] now")
+    assert left[3].n_chars == len(left[3].text) and left[0].n_chars == 7
+    assert corpus_pipeline.pack(spark, docs, SF001).count() >= 4

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import join_one, small_batches, written
 
-BLOCK = 4
+BLOCK = 3
 LETTERS = "A-Za-zÀ-ÿ"
 
 
@@ -98,21 +98,26 @@ def _step(states: DataFrame, nodes: DataFrame) -> DataFrame:
     """The states one level deeper."""
     met = join_one(states, nodes, ["node"])
     letter = F.substring("block", F.col("pos") + F.lit(1), F.lit(1))
-
-    def move(label: Column) -> Column:
-        own = label == letter
-        # the edit of this search: an extra letter leaves the position where it is
-        edited = F.struct(
-            _child("node", label).alias("node"), (F.col("pos") + F.when(F.col("grows"), 0).otherwise(1)).alias("pos"), F.lit(1).alias("edits")
-        )
-        kept = F.struct(_child("node", label).alias("node"), (F.col("pos") + 1).alias("pos"), F.col("edits").alias("edits"))
-        exact = F.when(own, F.array(kept))
-        spent = F.when((F.col("edits") == 0) & (F.col("grows") | ~own), F.array(edited))
-        none = F.array().cast("array<struct<node:bigint,pos:int,edits:int>>")
-        return F.concat(F.coalesce(exact, none), F.coalesce(spent, none))
-
-    moves = F.flatten(F.transform("labels", move))
-    return met.select("id", "grows", "block", F.explode(moves).alias("m")).select("id", "grows", "block", "m.node", "m.pos", "m.edits")
+    ways = met.select("id", "grows", "block", "node", "pos", "edits", letter.alias("letter"), F.explode("labels").alias("label"))
+    own, free = F.col("label") == F.col("letter"), F.col("edits") == 0
+    # along a label: without an edit (0) if it is the own letter, with one (1) if
+    # none is spent; an inserted letter may be the own one as well
+    edit = F.explode(
+        F.when(own & free & F.col("grows"), F.array(F.lit(0), F.lit(1)))
+        .when(own, F.array(F.lit(0)))
+        .when(free, F.array(F.lit(1)))
+        .otherwise(F.array().cast("array<int>"))
+    )
+    moved = ways.select("id", "grows", "block", "node", "pos", "edits", "label", edit.alias("edit"))
+    stays = F.col("grows") & (F.col("edit") == 1)  # an inserted letter leaves the position where it is
+    return moved.select(
+        "id",
+        "grows",
+        "block",
+        _child("node", F.col("label")).alias("node"),
+        F.when(stays, F.col("pos")).otherwise(F.col("pos") + 1).alias("pos"),
+        (F.col("edits") + F.col("edit")).alias("edits"),
+    )
 
 
 def neighbours(words: DataFrame) -> DataFrame:

@@ -193,7 +193,7 @@ months AS (
   SELECT host_id, CAST(unnest(generate_series(MIN(month), MAX(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM counted GROUP BY host_id)""",
     )
     q["orphans_large_dimension"] = (
-        "SELECT c_custkey AS custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)"
+        "SELECT c_custkey AS custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'O')"
     )
     q["file_counts"] = """
 SELECT 'listings' AS dataset, COUNT(*) AS rows, CAST(1 AS BIGINT) AS files FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey

@@ -21,21 +21,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, small_batches, utf8_values
-from .lm import tokens
 
 SAMPLES = 64
 SHINGLE = 2
 SLICE = 1 << 20  # bytes of text signed at a time
+CHUNK = 1 << 15  # terms
 PART_BYTES = 16 << 20  # text per range of ids
 MAX_PARTS = 1 << 20  # their lower ends are broadcast: 8 MB at most
 
-# -ln u at the middles of 2**16 equal steps of (0, 1): an exponential variate per 16 bits
-_EXPONENTIAL = -np.log((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
+_BLANKS = bytes(0x20 if b in b"\x09\x0a\x0b\x0c\x0d" else b for b in range(256))
+_TWICE = np.float32(2 * np.log(2.0**16))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -44,14 +44,25 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _part(h: np.ndarray, i: int) -> np.ndarray:
-    """The i-th 16 bits of each hash."""
-    return (h >> np.uint64(16 * i) & np.uint64(0xFFFF)).astype(np.intp)
+def _coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the different lower-cased words of all texts, the place there of
+    each word, an end mark (place 0) after each text's words, and the words and
+    mark of each text."""
+    data = b"".join(t.lower() + b" \xff " for t in (b"", *texts))  # no UTF-8 text holds the mark's byte
+    data = np.frombuffer(data.translate(_BLANKS), np.uint8)
+    inside = data != 0x20
+    change = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    ends = np.r_[0, np.cumsum(change[1::2] - change[::2])].astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data[inside].tobytes())])
+    coded = words.dictionary_encode()
+    of = coded.indices.to_numpy().astype(np.int64)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, 11) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    return hashes, of[1:], np.diff(np.flatnonzero(of == 0))
 
 
 def weighted_terms(texts: list[bytes], shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, term, weight) of all distinct terms of all texts, by text."""
-    hashes, of, sizes = tokens(texts)
+    hashes, of, sizes = _coded(texts)
     text = np.repeat(np.arange(len(texts)), sizes)
     begin = np.cumsum(sizes) - sizes
     left = np.repeat(begin + sizes - 1, sizes) - np.arange(len(of))  # words from here to the text's end
@@ -65,10 +76,53 @@ def weighted_terms(texts: list[bytes], shingle: int) -> tuple[np.ndarray, np.nda
         word = np.where(there, hashes[of[np.minimum(starts + k, len(of) - 1)]], np.uint64(k))
         term = _mixed(term * np.uint64(0x9E3779B97F4A7C15) + word)
     text = text[starts]
-    order = np.lexsort((term, text))
-    text, term = text[order], term[order]
-    new = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (term[1:] != term[:-1])]) if len(term) else order
-    return text[new], term[new], np.diff(np.r_[new, len(term)])
+    # equal terms of a text meet under one hash, then the texts come in order again
+    met = _mixed(term + text.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+    order = np.argsort(met)
+    start = np.flatnonzero(np.diff(met[order], prepend=~met[order[:1]]))
+    weight, one = np.diff(np.r_[start, len(order)]), order[start]
+    by_text = np.argsort(text[one], kind="stable")
+    return text[one][by_text], term[one][by_text], weight[by_text]
+
+
+def _draws(term: np.ndarray, log_weight: np.ndarray, samples: int) -> np.ndarray:
+    """For each sample (row) and weighted term, its value as the upper 32 bits
+    in ascending order, and below them a mark of (term, t)."""
+    out = np.empty((samples, len(term)), np.uint64)
+    for at in range(0, len(term), CHUNK):  # what is worked on stays in the cache
+        part = slice(at, at + CHUNK)
+        own, heavy = term[part] >> np.uint64(32), np.flatnonzero(log_weight[part] > 0)  # a weight of 1 has t = 0
+        log_heavy = log_weight[part][heavy]
+        for j in range(samples):
+            drawn = term[part] * np.uint64(0xD1342543DE82EF95 * (2 * j + 1) & 0xFFFFFFFFFFFFFFFF)
+            drawn ^= drawn >> np.uint64(29)
+            drawn *= np.uint64(0xBF58476D1CE4E5B9)
+            drawn ^= drawn >> np.uint64(32)
+            parts = drawn.view(np.uint16).reshape(-1, 4)
+            even = parts.astype(np.float32)  # evenly spread over (0, 2**16)
+            even += np.float32(0.5)
+            # sums of two exponential variates each
+            r = _TWICE - np.log(even[:, 0] * even[:, 1])
+            c = _TWICE - np.log(even[:, 2] * even[:, 3])
+            drawn *= np.uint64(0x9E3779B97F4A7C15)
+            b = parts[:, 3] * np.float32(2.0**-16)
+            value = np.log(c)
+            value -= r * (np.float32(1) - b)
+            row = out[j, part]
+            if len(heavy):
+                t = np.floor(log_heavy / r[heavy] + b[heavy])
+                value[heavy] -= r[heavy] * t
+            # floats in their order as integers: of negative ones all bits but the sign change
+            bits = value.view(np.int32)
+            bits ^= (bits >> np.int32(31)) & np.int32(0x7FFFFFFF)
+            np.add(bits, np.int64(1 << 31), out=row.view(np.int64), dtype=np.int64)
+            row <<= np.uint64(32)
+            row |= own
+            if len(heavy):
+                later = heavy[t > 0]
+                mark = _mixed(own[later] + (t[t > 0].astype(np.uint64) << np.uint64(32))) >> np.uint64(32)
+                row[later] += mark - own[later]
+    return out
 
 
 def sign(texts: list[bytes], samples: int = SAMPLES, shingle: int = SHINGLE) -> np.ndarray:
@@ -77,32 +131,12 @@ def sign(texts: list[bytes], samples: int = SAMPLES, shingle: int = SHINGLE) ->
     text, term, weight = weighted_terms(texts, shingle)
     if not len(term):
         return tags
-    order = np.lexsort((weight, term))
-    changed = (term[order][1:] != term[order][:-1]) | (weight[order][1:] != weight[order][:-1])
-    first = np.r_[0, np.flatnonzero(changed) + 1]
-    place = np.empty(len(term), np.int64)
-    place[order] = np.cumsum(np.r_[False, changed])
-    term, log_weight = term[order[first]], np.log(weight[order[first]]).astype(np.float32)
-    heavy = np.flatnonzero(log_weight > 0)  # a weight of 1 has t = 0
+    _, one, place = np.unique(_mixed(term ^ _mixed(weight.astype(np.uint64))), return_index=True, return_inverse=True)
     signed, starts = np.unique(text, return_index=True)
+    draws = _draws(term[one], np.log(weight[one]).astype(np.float32), samples)
     for j in range(samples):
-        drawn = _mixed(term + np.uint64(0xD1342543DE82EF95 * (2 * j + 1) & 0xFFFFFFFFFFFFFFFF))
-        more = _mixed(drawn + np.uint64(0x9E3779B97F4A7C15))
-        r = _EXPONENTIAL[_part(drawn, 0)] + _EXPONENTIAL[_part(drawn, 1)]
-        c = _EXPONENTIAL[_part(drawn, 2)] + _EXPONENTIAL[_part(drawn, 3)]
-        b = _part(more, 0).astype(np.float32) * np.float32(2.0**-16)
-        t = np.zeros(len(term), np.int64)
-        t[heavy] = np.floor(log_weight[heavy] / r[heavy] + b[heavy]).astype(np.int64)
-        value = np.log(c) - r * (t - b + 1).astype(np.float32)
-        # floats in their order as unsigned integers; below them the tag of (term, t)
-        bits = value.view(np.uint32)
-        rank = np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(1 << 31))
-        tag = more >> np.uint64(32)
-        later = np.flatnonzero(t)
-        tag[later] = _mixed(more[later] + t[later].astype(np.uint64)) >> np.uint64(32)
-        packed = (rank.astype(np.uint64) << np.uint64(32)) | tag
-        least = np.minimum.reduceat(packed[place], starts)
-        tags[signed, j] = 1 + (least & np.uint64(0xFFFFFFFF)) % np.uint64(0xFFFF)
+        least = np.minimum.reduceat(draws[j].take(place, mode="clip"), starts) & np.uint64(0xFFFFFFFF)
+        tags[signed, j] = 1 + _mixed(least) % np.uint64(0xFFFF)
     return tags
 
 

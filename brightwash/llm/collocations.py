@@ -4,26 +4,29 @@ A phrase is a run of at most ``max_words`` words inside a piece of text; it is
 frequent if it occurs ``min_count`` times in its language. A phrase can only be
 frequent if the two phrases that it holds one word shorter are.
 
-1. A sample of the documents proposes words and shorter phrases: those that
-   occur there about as often as a frequent one should (with a margin).
-2. One pass over all documents counts exactly every proposed phrase and the
-   negative border: all phrases that are not proposed but whose two shorter
-   phrases are (any word, any pair of proposed words and so on).
+1. A sample of the documents proposes phrases: those that occur there about as
+   often as a frequent one should (with a margin).
+2. One pass over all documents counts every proposed phrase and the negative
+   border: all phrases that are not proposed but whose two shorter phrases are
+   (any word, any pair of proposed words and so on).
 3. A phrase of the border that turns out frequent is a failure: longer phrases
    around it were not counted. Failures join the proposals, and a further pass
-   counts exactly what they made countable and no pass counted before, until
-   no failure is left. Each pass ends at least one length, so there are at
-   most ``max_words`` passes over all documents.
+   counts what they made countable and no pass counted before, until no failure
+   is left. Each pass ends at least one length, so there are at most
+   ``max_words`` of them.
+4. The phrases found frequent, by now few, are named and counted by their text.
+
+Until step 4 phrases are told apart by 64-bit hashes, so that the many rare ones
+of the border cross the shuffle as two numbers each. Two phrases of one hash
+can only make a count too large; step 4 then drops them, so the result is exact.
 
 The proposals reach the tasks as a bit table of their hashes, sized by their
 number up to ``MAX_BITS``. A false hit is a proposal like any other: it adds
-phrases to count and never changes a count. Phrases are counted by their text,
-so hashes cannot merge two of them.
+phrases to count and never changes a count.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,11 +42,13 @@ SAMPLE_SHARE = 0.25  # of the documents
 MARGIN = 0.8  # of the count that a phrase at min_count is expected to have there
 MIN_BITS, MAX_BITS = 20, 29  # of the bit table (64 MB at most)
 SLICE = 4 << 20  # bytes of text counted at a time
+HELD = 400_000  # phrases that a task counts before it hands them on
 BUCKETS = 64  # partial rankings of a language
 
 _BREAK = b"\xff"  # no UTF-8 text holds this byte
-_PIECE_ENDS = re.compile(rb"[.,;:!?\x0a-\x0d]+")
-_COUNTS = "lang string, phrase string, words int, key long, proposed boolean, n long"
+_PIECE_ENDS = bytes(0xFF if b in b".,;:!?\x0a\x0b\x0c\x0d" else b for b in range(256))
+# the lowest bits of a counted key: whether it is proposed, and its words
+_FLAGS, MOST_WORDS = 4, 7
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -52,13 +57,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _words(texts: list[bytes]) -> list[bytes]:
-    """The lower-cased words of all texts; ``_BREAK`` stands between pieces."""
-    out: list[bytes] = []
-    for t in texts:
-        out += _PIECE_ENDS.sub(b" \xff ", t.lower()).split()  # bytes: A-Z and ASCII blanks only
-        out.append(_BREAK)
-    return out
+def _words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The different lower-cased words of all texts, and the row of words as
+    places among them; ``_BREAK``, at place 0, stands between pieces."""
+    data = _BREAK.join([b"", *texts, b""]).lower().translate(_PIECE_ENDS)  # bytes: A-Z only
+    data = np.frombuffer(data.replace(_BREAK, b" \xff "), np.uint8)
+    inside = (data != 0x20) & (data != 0x09)
+    change = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    ends = np.r_[0, np.cumsum(change[1::2] - change[::2])]
+    buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[inside].tobytes())]
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, buffers).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
 
 
 def _passes(table: Broadcast | None, keys: np.ndarray) -> np.ndarray:
@@ -66,79 +75,97 @@ def _passes(table: Broadcast | None, keys: np.ndarray) -> np.ndarray:
     if table is None:
         return np.ones(len(keys), bool)
     bits = np.frombuffer(table.value, np.uint8)
-    slot = keys.astype(np.int64) & (8 * len(bits) - 1)
+    slot = (keys >> np.uint64(_FLAGS)).astype(np.int64) & (8 * len(bits) - 1)
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
-def _phrases(texts: list[bytes], lang: str, max_words: int, old: Broadcast | None, new: Broadcast | None, first: bool):
-    """Columns (phrase, words, key, proposed, n) of the phrases of ``texts`` that
-    the proposals ``new`` make countable and ``old`` did not. ``first``: nothing
-    was counted before; then all words and their total (0 words) are counted too."""
-    words = _words(texts)
-    distinct = set(words)
-    distinct.discard(_BREAK)
-    place = {w: i for i, w in enumerate((_BREAK, *distinct))}
-    names = list(place)
-    at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-    seed = xxhash.xxh64_intdigest(lang.encode())
-    keys = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in names), np.uint64, len(names))
-    where = np.flatnonzero(at > 0)  # where a phrase of the present length begins
-    index = at[where]  # which distinct phrase it is
-    text = np.array(names, object)
-    out = []
-    if first:
-        out.append((["".encode()], 0, np.zeros(1, np.uint64), np.ones(1, bool), np.array([len(where)])))
-        out.append((text[1:], 1, keys[1:], _passes(new, keys[1:]), np.bincount(index, minlength=len(names))[1:]))
-    hit_new, hit_old = _passes(new, keys), np.zeros(len(keys), bool) if first else _passes(old, keys)
-    for size in range(2, max_words + 1):
-        # a longer phrase begins where one begins and the next place begins one too
-        follows = np.flatnonzero(np.diff(where) == 1)
-        left, right = index[follows], index[follows + 1]
-        able = hit_new[left] & hit_new[right]
-        left, right, where = left[able], right[able], where[follows][able]
-        known = hit_old[left] & hit_old[right]
-        last = at[where + size - 1]
-        codes, one, index = np.unique(left * len(names) + last, return_index=True, return_inverse=True)
-        counts = np.bincount(index, minlength=len(codes))
-        head = text[left[one]]
-        tail = np.array([names[i] for i in last[one].tolist()], object)
-        text = np.array([a + b" " + b for a, b in zip(head, tail)], object)
-        keys = _mixed(keys[left[one]] * np.uint64(0x9E3779B97F4A7C15) + keys[right[one]] + np.uint64(size))
-        hit_new, before = _passes(new, keys), known[one]
-        hit_old = np.zeros(len(keys), bool) if first else _passes(old, keys) & before
-        fresh = ~before
-        out.append((text[fresh], size, keys[fresh], hit_new[fresh], counts[fresh]))
-    return out
+class _Slice:
+    """Some texts of one language as a row of words."""
+
+    def __init__(self, texts: list[bytes], lang: str):
+        self.names, self.at = _words(texts)
+        seed = xxhash.xxh64_intdigest(lang.encode())
+        self.keys = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.names), np.uint64, len(self.names))
+
+    def phrases(self, max_words: int, old: Broadcast | None, new: Broadcast | None, first: bool):
+        """By length, (size, where, keys, proposed, fresh) of all places where a
+        phrase begins that the proposals ``new`` make countable. ``fresh`` are those
+        that ``old`` did not (``first``: nothing was counted before)."""
+        where = np.flatnonzero(self.at > 0)
+        word = self.at[where]
+        keys, hit_new = self.keys[word], _passes(new, self.keys)[word]
+        hit_old = np.zeros(len(word), bool) if first else _passes(old, self.keys)[word]
+        yield 1, where, keys, hit_new, np.full(len(word), first)
+        for size in range(2, max_words + 1):
+            # a longer phrase begins where one begins and the next place begins one too
+            left = np.flatnonzero(np.diff(where) == 1)
+            left = left[hit_new[left] & hit_new[left + 1]]
+            known = hit_old[left] & hit_old[left + 1]
+            keys = _mixed(keys[left] * np.uint64(0x9E3779B97F4A7C15) + keys[left + 1] + np.uint64(size))
+            where = where[left]
+            hit_new, hit_old = _passes(new, keys), known if first else known & _passes(old, keys)
+            yield size, where, keys, hit_new, ~known
+
+    def counted(self, where: np.ndarray, size: int) -> tuple[list[bytes], list[int]]:
+        """The different phrases of ``size`` words that begin at ``where``, told apart
+        by their words, and how often each does."""
+        code = self.at[where]
+        for k in range(1, size):
+            _, code = np.unique(code, return_inverse=True)
+            code = code * len(self.names) + self.at[where + k]
+        _, one, n = np.unique(code, return_index=True, return_counts=True)
+        names, rows = self.names, np.stack([self.at[where[one] + k] for k in range(size)], axis=1).tolist()
+        return [b" ".join([names[i] for i in row]) for row in rows], n.tolist()
+
+
+def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, _Slice]]:
+    rows: dict[str, list[bytes]] = {}
+    for lang, text in zip(batch.column(0).to_pylist(), utf8_values(batch.column(1))):
+        rows.setdefault(lang, []).append(text)
+    for lang, texts in rows.items():
+        yield lang, _Slice(texts, lang)
 
 
 def _count(docs: DataFrame, max_words: int, old: Broadcast | None, new: Broadcast | None, first: bool) -> DataFrame:
-    """Exact counts of the phrases of one pass, per language."""
+    """(key, n): the counts of one pass, by hash."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
-            texts, langs = utf8_values(batch.column(1)), batch.column(0).to_pylist()
-            rows: dict[str, list[bytes]] = {}
-            for lang, text in zip(langs, texts):
-                rows.setdefault(lang, []).append(text)
-            for lang, own in rows.items():
-                for phrase, size, keys, proposed, n in _phrases(own, lang, max_words, old, new, first):
-                    if len(phrase):
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([lang] * len(phrase)),
-                                pa.array(list(phrase), pa.binary()).cast(pa.string()),
-                                pa.array(np.full(len(phrase), size, np.int32)),
-                                pa.array(keys.astype(np.int64)),
-                                pa.array(proposed),
-                                pa.array(np.asarray(n, np.int64)),
-                            ],
-                            names=["lang", "phrase", "words", "key", "proposed", "n"],
-                        )
-
-    found = docs.mapInArrow(work, _COUNTS)
-    return found.groupBy("lang", "phrase").agg(
-        F.min("words").alias("words"), F.min("key").alias("key"), F.min("proposed").alias("proposed"), F.sum("n").alias("n")
-    )
+            for _, own in _by_lang(batch):
+                for size, _, keys, proposed, fresh in own.phrases(max_words, old, new, first):
+                    flags = np.uint64(size << 1) | proposed[fresh].astype(np.uint64)
+                    keys, n = np.unique(keys[fresh] >> np.uint64(_FLAGS) << np.uint64(_FLAGS) | flags, return_counts=True)
+                    if len(keys):
+                        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
+
+    return docs.mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _named(docs: DataFrame, max_words: int, frequent: Broadcast) -> DataFrame:
+    """(lang, phrase, words, n): exact counts of the phrases whose hashes the bit
+    table holds, and per language the number of words (of 0 words)."""
+
+    def out(held: dict[str, dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+        for lang, counts in held.items():
+            text = pa.array(list(counts), pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counts)), text, pa.array(list(counts.values()), pa.int64())], ["lang", "phrase", "n"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, dict[bytes, int]] = {}  # of the slices so far, so that fewer rows leave the task
+        for batch in slices(batches, "text", SLICE):
+            for lang, own in _by_lang(batch):
+                counts = held.setdefault(lang, {b"": 0})
+                counts[b""] += int(np.count_nonzero(own.at))
+                for size, where, _, hit, _ in own.phrases(max_words, None, frequent, True):
+                    for phrase, n in zip(*own.counted(where[hit], size)):
+                        counts[phrase] = counts.get(phrase, 0) + n
+            if sum(map(len, held.values())) > HELD:
+                yield from out(held)
+                held = {}
+        yield from out(held)
+
+    found = docs.mapInArrow(work, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return found.withColumn("words", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))))
 
 
 def frequent_phrases(
@@ -147,24 +174,31 @@ def frequent_phrases(
     """(lang, phrase, words, n) of every phrase of 1 to ``max_words`` words with
     ``min_count`` or more occurrences in its language, and per language one row
     with 0 words and the number of all word occurrences."""
+    if not 1 <= max_words <= MOST_WORDS:
+        raise ValueError(f"max_words must be 1 to {MOST_WORDS}")
     small_batches(docs.sparkSession)
     docs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     least = max(1, int(min_count * share * margin))
+    # phrases of full length need no proposal: nothing longer is built on them
     sampled = _count(docs.sample(share, seed=7), max_words - 1, None, None, True)
-    proposals = written(sampled.filter((F.col("words") > 0) & (F.col("n") >= least)).select("key"), "proposals")
-    passes, old, new, first = [], None, _table(proposals), True
+    proposals = written(sampled.filter(F.col("n") >= least).select("key"), "proposals")
+    frequent, old, new, first = None, None, _table(proposals), True
     while True:
-        counts = _count(docs, max_words, old, new, first)
-        passes.append(written(counts.filter((F.col("n") >= min_count) | (F.col("words") == 0)), "phrases"))
-        failed = passes[-1].filter(~F.col("proposed") & (F.col("words") < max_words)).select("key")
+        found = written(_count(docs, max_words, old, new, first).filter(F.col("n") >= min_count).select("key"), "counted")
+        frequent = found if frequent is None else frequent.unionByName(found)
+        proposed, words = F.col("key").bitwiseAND(F.lit(1)) == 1, F.shiftright("key", 1).bitwiseAND(F.lit(MOST_WORDS))
+        failed = found.filter(~proposed & (words < max_words))
         if failed.isEmpty():
             break
         proposals = written(proposals.unionByName(failed), "proposals")
         old, new, first = new, _table(proposals), False
-    frequent = passes[0]
-    for more in passes[1:]:
-        frequent = frequent.unionByName(more)
-    return written(frequent.select("lang", "phrase", "words", "n"), "frequent")
+    named = _named(docs, max_words, _table(written(frequent, "frequent_keys")))
+    return written(named.filter((F.col("n") >= min_count) | (F.col("words") == 0)), "frequent")
+
+
+def _table(keys: DataFrame) -> Broadcast:
+    bits = (32 * max(1, keys.count()) - 1).bit_length()
+    return bit_filter(keys.select(F.shiftright("key", _FLAGS).alias("key")), min(MAX_BITS, max(MIN_BITS, bits)))
 
 
 def cut_score(a: str, l: str, r: str) -> Column:  # noqa: E741 - the parts' names
@@ -173,11 +207,6 @@ def cut_score(a: str, l: str, r: str) -> Column:  # noqa: E741 - the parts' name
     return F.call_function("div", F.lit(1_000_000).cast("decimal(38,0)") * a * a, l * r)
 
 
-def _table(proposals: DataFrame) -> Broadcast:
-    bits = (32 * max(1, proposals.count()) - 1).bit_length()
-    return bit_filter(proposals, min(MAX_BITS, max(MIN_BITS, bits)))
-
-
 def collocations(
     docs: DataFrame,
     min_count: int = 10,

@@ -81,7 +81,7 @@ def test_expansion_passes_run_until_closed(make_docs, monkeypatch):  # noqa: F81
     count = c._count
     monkeypatch.setattr(c, "_count", lambda *a: passes.append(a[-1]) or count(*a))
     rows = found(make_docs(["one two three four"] * 12, ["en"] * 12), share=0.0)
-    assert passes == [True, True, False, False]
+    assert passes == [True, True, False, False]  # the sample, all, and two more
     assert [r[2:4] for r in rows] == [("one two three", 12), ("two three four", 12)]
 
 

@@ -42,7 +42,6 @@ SAMPLE_SHARE = 0.25  # of the documents
 MARGIN = 0.8  # of the count that a phrase at min_count is expected to have there
 MIN_BITS, MAX_BITS = 20, 29  # of the bit table (64 MB at most)
 SLICE = 4 << 20  # bytes of text counted at a time
-HELD = 400_000  # phrases that a task counts before it hands them on
 BUCKETS = 64  # partial rankings of a language
 
 _BREAK = b"\xff"  # no UTF-8 text holds this byte
@@ -145,24 +144,14 @@ def _named(docs: DataFrame, max_words: int, frequent: Broadcast) -> DataFrame:
     """(lang, phrase, words, n): exact counts of the phrases whose hashes the bit
     table holds, and per language the number of words (of 0 words)."""
 
-    def out(held: dict[str, dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
-        for lang, counts in held.items():
-            text = pa.array(list(counts), pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counts)), text, pa.array(list(counts.values()), pa.int64())], ["lang", "phrase", "n"])
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict[bytes, int]] = {}  # of the slices so far, so that fewer rows leave the task
-        for batch in slices(batches, "text", SLICE):
+        for batch in slices(batches, "text", 2 * SLICE):  # a phrase counts once for the more text
             for lang, own in _by_lang(batch):
-                counts = held.setdefault(lang, {b"": 0})
-                counts[b""] += int(np.count_nonzero(own.at))
-                for size, where, _, hit, _ in own.phrases(max_words, None, frequent, True):
-                    for phrase, n in zip(*own.counted(where[hit], size)):
-                        counts[phrase] = counts.get(phrase, 0) + n
-            if sum(map(len, held.values())) > HELD:
-                yield from out(held)
-                held = {}
-        yield from out(held)
+                found = [([b""], [int(np.count_nonzero(own.at))])]
+                found += [own.counted(where[hit], size) for size, where, _, hit, _ in own.phrases(max_words, None, frequent, True)]
+                for phrase, n in found:
+                    text = pa.array(phrase, pa.binary()).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrase), pa.string()), text, pa.array(n, pa.int64())], ["lang", "phrase", "n"])
 
     found = docs.mapInArrow(work, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return found.withColumn("words", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))))

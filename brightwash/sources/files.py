@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from brightwash.session import scratch_dir
+
 
 def read_csv(
     spark: SparkSession,
@@ -88,6 +90,28 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def dealt_to_files(df: DataFrame, files: int) -> tuple[DataFrame, str | None]:
+    """The rows in ``files`` partitions, and the folder of a stored copy of them
+    (None if there is none), to be emptied once they are written.
+
+    Several files are dealt out by a shuffle. The one task that writes a single
+    file reads the rows from a stored copy instead, which the upstream tasks
+    write side by side: columnar and compressed, it is several times smaller
+    than the same rows in a shuffle.
+    """
+    if files != 1:
+        return df.repartition(files), None
+    path = scratch_dir(df.sparkSession, "one-file")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).coalesce(1), path
+
+
+def _empty(spark: SparkSession, path: str | None, schema: StructType) -> None:
+    """Drop the data files of a stored copy (the public API has no delete)."""
+    if path is not None:
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -98,14 +122,15 @@ def write_parquet(
     """Snappy Parquet, overwriting ``path``.
 
     By default the upstream stage keeps its parallelism (one file per task).
-    ``files`` asks for an exact file count through ``repartition`` so the
-    expensive upstream work stays parallel (``coalesce(1)`` would pull it all
-    into one task). ``partition_by`` writes Hive-style folders so later
+    ``files`` asks for an exact file count through :func:`dealt_to_files`, so
+    the expensive upstream work stays parallel (a plain ``coalesce(1)`` would
+    pull it all into one task). ``partition_by`` writes Hive-style folders so later
     filters on those columns prune whole folders. ``max_records_per_file``
     caps file size without a shuffle.
     """
+    copy = None
     if files:
-        out = df.repartition(files)
+        out, copy = dealt_to_files(df, files)
     elif partition_by:
         # rows of a partition value meet before the write, so that a task does
         # not open a file for every value; AQE splits values that are large
@@ -118,6 +143,7 @@ def write_parquet(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _empty(df.sparkSession, copy, df.schema)
 
 
 def _fingerprint_columns(df: DataFrame) -> list:
@@ -159,8 +185,9 @@ def write_parquet_observed(
     metrics = _fingerprint_columns(df) + list(extra or [])
     # The counter goes above any repartition, into the stage that writes:
     # there each task's update is applied once even if tasks are retried.
-    out = df.repartition(files) if files else df
+    out, copy = dealt_to_files(df, files) if files else (df, None)
     write_parquet(out.observe(obs, *metrics), path, None, partition_by, max_records_per_file)
+    _empty(df.sparkSession, copy, df.schema)
     return dict(obs.get)
 
 

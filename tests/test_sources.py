@@ -251,3 +251,26 @@ def test_stream_dedup_with_a_hot_row_across_batches(spark):
     query.awaitTermination()
     stored = spark.read.schema(REVIEWS).parquet(sink)
     assert sorted(tuple(r) for r in stored.collect()) == sorted(set(everything))
+
+
+def test_one_file_is_written_from_a_stored_copy(spark):
+    from brightwash.sources.files import dealt_to_files
+
+    rows = [(i, None if i % 7 == 0 else f"n{i}", i % 3 / 2) for i in range(500)] + [(None, None, None)]
+    df = spark.createDataFrame(rows, "`id no` long, name string, v double").repartition(5)
+    one, copy = dealt_to_files(df, 1)
+    # no shuffle hands the whole table to the task that writes the file
+    assert copy is not None and "Exchange" not in one._jdf.queryExecution().toString()
+    assert one.rdd.getNumPartitions() == 1 and one.exceptAll(df).isEmpty() and one.count() == 501
+    several, none = dealt_to_files(df, 4)
+    assert none is None and several.rdd.getNumPartitions() == 4
+    for frame in (df, df.limit(0)):
+        for files in (1, 4):
+            path = scratch_dir(spark, "files")
+            write_parquet(frame, path, files=files)
+            back = spark.read.schema(df.schema).parquet(path)
+            assert back.count() == frame.count() and back.exceptAll(frame).isEmpty()
+            if frame is df:
+                assert len([f for f in os.listdir(_local(path)) if f.endswith(".parquet")]) == files
+    observed = write_parquet_observed(df, scratch_dir(spark, "files"), files=1)
+    assert observed["rows"] == 501

@@ -23,8 +23,13 @@ def price_value(df: DataFrame, src: str = "price") -> Column:
 
 
 def add_clean_price(df: DataFrame, src: str = "price", dst: str = "price_clean") -> DataFrame:
-    """Append the parsed price as a double column."""
-    return df.withColumn(dst, price_value(df, src))
+    """Append the parsed price as a double column.
+
+    Parsed once a row: a filter on a plain column would have the parsing copied
+    into it (and moved below joins) for every mention of the column; none is
+    moved below the generator of one value.
+    """
+    return df.withColumn(dst, F.explode(F.array(price_value(df, src))))
 
 
 def trim_to_range(df: DataFrame, low: Column, high: Column, col: str = "price_clean") -> DataFrame:

@@ -85,3 +85,10 @@ def test_integrity_check_is_a_broadcast_anti_join(spark):
     dim = testdata.neighbourhoods_raw(spark, SF001)
     text = plan_text(analytics.orphans(facts, dim))
     assert "BroadcastHashJoin LeftAnti" in text
+
+
+def test_prices_are_parsed_once_a_row(spark):
+    raw = testdata.listings_raw(spark, SF001)
+    for df in (clean_listings(raw).data, clean_listings(raw).stages["priced"].filter("price_clean IS NOT NULL")):
+        conditions = [line for line in plan_text(df).splitlines() if line.startswith(("Condition", "Join condition"))]
+        assert conditions and not [line for line in conditions if "regexp_replace" in line]

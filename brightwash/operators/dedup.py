@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ROWS_PER_TASK = 1_500_000
+
 
 def dedup_rows(df: DataFrame) -> DataFrame:
     """Full-row deduplication (NULL equals NULL, NaN equals NaN, 0.0 = -0.0).
@@ -16,6 +18,17 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def dealt_by_row(df: DataFrame, rows: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Distinct rows (``rows`` at most) dealt anew, ``rows_per_task`` to a partition.
+
+    A grouping of deduplicated rows by the same columns needs no shuffle, so
+    its tables would stand in the task that still holds the one of the
+    deduplication. From here on they are in tasks of their own, whose size
+    does not grow with the input.
+    """
+    return df.repartition(max(1, -(-rows // rows_per_task)), *df.columns)
+
+
 def dedup_with_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
     """Distinct rows plus the number of copies each had (one aggregate).
 

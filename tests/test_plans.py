@@ -92,3 +92,16 @@ def test_prices_are_parsed_once_a_row(spark):
     for df in (clean_listings(raw).data, clean_listings(raw).stages["priced"].filter("price_clean IS NOT NULL")):
         conditions = [line for line in plan_text(df).splitlines() if line.startswith(("Condition", "Join condition"))]
         assert conditions and not [line for line in conditions if "regexp_replace" in line]
+
+
+def test_duplicates_after_cleaning_are_counted_in_tasks_of_their_own(spark):
+    from brightwash.plans.queries import QUERIES
+
+    # the second grouping does not stand on top of the deduplication's
+    assert "REPARTITION_BY_NUM" in plan_text(QUERIES["duplicates_before_after"](spark, SF001))
+    rows = spark.range(1000).selectExpr("id % 300 AS a", "CASE WHEN id % 2 = 0 THEN id % 5 END AS b")
+    distinct = dedup.dedup_rows(rows)
+    dealt = dedup.dealt_by_row(distinct, 1000, rows_per_task=100)
+    assert dealt.rdd.getNumPartitions() == 10
+    assert dealt.exceptAll(distinct).isEmpty() and distinct.exceptAll(dealt).isEmpty()
+    assert dedup.dealt_by_row(distinct.limit(0), 0).count() == 0

@@ -40,6 +40,8 @@ RANGE_BYTES = 64 << 20  # training text per range of the word hash
 ALPHA = 0.1
 _END = b"\n"  # no word holds white space
 _SEED = 11
+_MARK = b"\xff"
+_IN_WORD = np.array([b not in b"\x20\x09\x0a\x0b\x0c\x0d" for b in range(256)])
 SLICE = 2 << 20  # bytes of text worked on at a time
 
 
@@ -53,17 +55,20 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct lower-cased words of all texts, the place there of
     each token, where an end token (place 0) follows each text's words, and the
     number of tokens of each text."""
-    words, sizes = [], []
-    for t in texts:
-        own = t.lower().split()  # bytes: A-Z and ASCII white space only
-        own.append(_END)
-        sizes.append(len(own))
-        words += own
-    distinct = set(words)
-    distinct.discard(_END)
-    place = {w: i for i, w in enumerate((_END, *distinct))}
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, _SEED) for w in place), np.uint64, len(place))
-    return hashes, np.fromiter(map(place.__getitem__, words), np.int64, len(words)), np.array(sizes, np.int64)
+    # 0xFF, which no UTF-8 text holds, stands for the end token; the first one only takes place 0
+    data = _MARK.join([b"", *texts, b""]).lower()  # bytes: A-Z only
+    if data.count(_MARK) > len(texts) + 1:  # some text is no UTF-8
+        data = _MARK.join([b"", *[t.replace(_MARK, b"\xfe\xfe") for t in texts], b""]).lower()
+    data = np.frombuffer(data.replace(_MARK, b" \xff "), np.uint8)
+    inside = _IN_WORD[data]
+    change = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    ends = np.r_[0, np.cumsum(change[1::2] - change[::2])]
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(data[inside].tobytes())]
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, buffers).dictionary_encode()
+    names = [_END, *coded.dictionary.to_pylist()[1:]]
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, _SEED) for w in names), np.uint64, len(names))
+    of = coded.indices.to_numpy().astype(np.int64)
+    return hashes, of[1:], np.diff(np.flatnonzero(of == 0))
 
 
 def contexts(of: np.ndarray) -> np.ndarray:
@@ -121,10 +126,13 @@ def probe_levels(bits: np.ndarray, offset: np.ndarray, size: np.ndarray, pair: n
         step += 1
         first, move = _hashed(pair[left], step)
         bits_at, bits_in = offset[left], size[left]
+        kept = np.arange(len(left))
         for probe in range(PROBES):
             slot = _slot(first, move, probe, bits_in)
-            held = (bits[bits_at + (slot >> 3)] >> (slot & 7).astype(np.uint8)) & 1 == 1
-            left, first, move, bits_at, bits_in = left[held], first[held], move[held], bits_at[held], bits_in[held]
+            held = np.flatnonzero((bits[bits_at + (slot >> 3)] >> (slot & 7).astype(np.uint8)) & 1)
+            if len(held) < len(slot):
+                kept, first, move, bits_at, bits_in = kept[held], first[held], move[held], bits_at[held], bits_in[held]
+        left = left[kept]
         out[left] = step
     return out
 
@@ -270,9 +278,10 @@ def _pass(rows: DataFrame, model: DataFrame, first: int, last: int, ranges: int,
             base = np.where(own, np.log10(prior), 0.0)
             # tokens of these ranges: their pairs are in the filter
             mine = np.flatnonzero(own[of])
-            pair = pair_keys(word[before[mine]], word[of[mine]])
+            # frequent pairs have the most levels: each different pair is probed once
+            pair, again = np.unique(pair_keys(word[before[mine]], word[of[mine]]), return_inverse=True)
             cell = _cell(pair, ranges, subs) - first * subs
-            level = probe_levels(bits, offset[cell], size[cell], pair)
+            level = probe_levels(bits, offset[cell], size[cell], pair)[again]
             hit = np.flatnonzero(level)
             gain = np.zeros(len(of))
             gain[mine[hit]] = np.log10(1 + level_count(level[hit]) / (totals["m"] * prior[of[mine[hit]]]))

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +99,54 @@ def test_without_training_rows_and_empty(make_docs):
     rows = lm.score_texts(make_docs(["a b", None]), F.lit(False)).collect()
     assert [(r.n_known, r.train_tokens) for r in rows] == [(0, 0)] * 2
     assert lm.score_texts(make_docs([]), F.lit(True)).collect() == []
+
+
+def test_tokens_are_words_and_an_end_for_each_text():
+    texts = [b"", b" ", b"A b\x0bC\x0c\x0d\nb", b"\x1c x \xc2\xa0\x00 A", "É ü É".encode(), b"\xff\xff x", b""]
+    hashes, of, sizes = lm.tokens(texts)
+    told = {}  # hash by word, and the other way round
+    place = 0
+    for text, size in zip(texts, sizes.tolist()):
+        words = [w.replace(b"\xff", b"\xfe\xfe") for w in text.lower().split()] + [None]
+        assert size == len(words)
+        for word in words:
+            assert told.setdefault(word, int(hashes[of[place]])) == hashes[of[place]]
+            place += 1
+        assert of[place - 1] == 0
+    assert place == len(of) and len(set(told.values())) == len(told) == len(hashes)
+    assert [x.tolist() for x in lm.tokens([b""])[1:]] == [[0], [1]]
+
+
+def test_equal_pairs_of_a_slice_are_probed_once(spark, monkeypatch):
+    probed = []
+    real = lm.probe_levels
+    monkeypatch.setattr(lm, "probe_levels", lambda bits, offset, size, pair: probed.append(pair) or real(bits, offset, size, pair))
+
+    class Rows:  # runs the task's function here
+        sparkSession = None
+
+        def __init__(self, batch):
+            self.batch = batch
+
+        def mapInArrow(self, work, schema):
+            return list(work([self.batch]))
+
+    class Model:
+        def __init__(self, table):
+            self.table = table
+
+        filter = drop = lambda self, *args: self
+
+        def toArrow(self):
+            return self.table
+
+    word, of, _ = lm.tokens([b"a b a b a b"] * 3)
+    pair, n = np.unique(lm.pair_keys(word[lm.contexts(of)], word[of]), return_counts=True)
+    bits, size = lm.build_filter(pair, n)
+    counts = np.bincount(of).astype(np.int64)
+    table = pa.table({"segment": [0], "words": [word.tobytes()], "counts": [counts.tobytes()], "bits": [bits], "size": [size]})
+    rows = Rows(pa.RecordBatch.from_pydict({"id": [1, 2], "h": [1, 2], "text": ["a b a b a b", "b a"]}))
+    rows.sparkSession = spark
+    out, _ = lm._pass(rows, Model(table), 0, 0, 1, 1, {"N": int(counts.sum()), "V": 3, "m": 1.0})
+    assert out[0].column(2).to_pylist() == [7, 3]
+    assert len(probed) == 1 and len(np.unique(probed[0])) == len(probed[0])
